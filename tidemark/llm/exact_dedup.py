@@ -25,42 +25,34 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result. Columns of docs called keep_id, group_size or kept give way to the results; all others are returned.
     """
     spark = docs.sparkSession
-    head, dig, salts, salt, text, rank, part_keep, part_size = fresh(docs.columns, "xd_head", "xd_digest", "xd_salts", "xd_salt", "xd_text", "xd_rank", "xd_keep", "xd_size")
-    rows = docs.withColumn(text, F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")))
-    rows = rows.withColumn(dig, F.xxhash64(text))
+    head, dig, salts, salt, rank, part_keep, part_size = fresh(docs.columns, "xd_head", "xd_digest", "xd_salts", "xd_salt", "xd_rank", "xd_keep", "xd_size")
+    content, ident = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`")
+    rows = docs.withColumn(dig, F.xxhash64(content))
     hot = hot_keys(rows.select(dig), dig, split_rows)
     if hot:
         few = spark.createDataFrame([(k, -(-n // split_rows)) for k, n in hot], f"`{dig}` long, `{salts}` long")  # 4 x partitions rows at most
         rows = rows.join(F.broadcast(few), dig, "left").withColumn(salts, F.coalesce(salts, F.lit(1)))
     else:
         rows = rows.withColumn(salts, F.lit(1).cast("long"))
-    rows = rows.withColumn(salt, F.when(F.col(salts) > 1, F.pmod(F.xxhash64(f"`{id_col}`"), salts)).otherwise(F.lit(0)))
-    rows = rows.withColumn(head, F.substring(text, 1, HEAD_CHARS))
+    rows = rows.withColumns({salt: F.when(F.col(salts) > 1, F.pmod(F.xxhash64(ident), salts)).otherwise(F.lit(0)), head: F.substring(content, 1, HEAD_CHARS)})
     ranged = rows.repartitionByRange(partitions(spark), head, dig, salt)
     # the range over (head, digest, salt) already clusters the window's keys, so nothing is shuffled again
-    same = Window.partitionBy(head, dig, salt, text)
-    first = F.col(f"`{id_col}`").desc_nulls_last() if keep == "largest" else F.col(f"`{id_col}`").asc_nulls_last()
-    inner = ranged.withColumns({rank: F.row_number().over(same.orderBy(first)), part_keep: F.first(f"`{id_col}`").over(same.orderBy(first)), part_size: F.count(F.lit(1)).over(same)})
+    same = Window.partitionBy(head, dig, salt, content)
+    first = ident.desc_nulls_last() if keep == "largest" else ident.asc_nulls_last()
+    inner = ranged.withColumns({rank: F.row_number().over(same.orderBy(first)), part_keep: F.first(ident).over(same.orderBy(first)), part_size: F.count(F.lit(1)).over(same)})
     others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {"keep_id", "group_size", "kept"}]
+    alone = inner.where(F.col(salts) == 1) if hot else inner
+    out = alone.select(*others, F.col(part_keep).alias("keep_id"), F.col(part_size).alias("group_size"), (F.col(rank) == 1).alias("kept"))
     if not hot:
-        return inner.select(*others, F.col(part_keep).alias("keep_id"), F.col(part_size).alias("group_size"), (F.col(rank) == 1).alias("kept"))
+        return out
     # of each part of a split group, its representative meets those of the other parts, again in full
-    parts = inner.where((F.col(rank) == 1) & (F.col(salts) > 1)).select(dig, text, salt, part_keep, part_size)
-    group = Window.partitionBy(dig, text)
+    parts = inner.where((F.col(rank) == 1) & (F.col(salts) > 1))
+    group = Window.partitionBy(dig, content)
     best = F.max(part_keep) if keep == "largest" else F.min(part_keep)
-    whole = parts.select(F.col(dig).alias("g_dig"), F.col(salt).alias("g_salt"), F.col(part_keep).alias("g_part"), best.over(group).alias("g_keep"), F.sum(part_size).over(group).alias("g_size"), F.sha2(text, 256).alias("g_sha"), F.min(salt).over(group).alias("g_first"))
-    out = inner.join(
-        whole,
-        (F.col(salts) > 1) & (F.col(dig) == F.col("g_dig")) & (F.col(salt) == F.col("g_salt")) & F.col(part_keep).eqNullSafe(F.col("g_part")) & (F.when(F.col(salts) > 1, F.sha2(text, 256)) == F.col("g_sha")),
-        "left",
-    )
-    mine = (F.col(rank) == 1) & F.when(F.col("g_dig").isNull(), F.lit(True)).when(F.col("g_keep").isNull(), F.col(salt) == F.col("g_first")).otherwise(F.col(part_keep).eqNullSafe(F.col("g_keep")))
-    return out.select(
-        *others,
-        F.when(F.col("g_dig").isNull(), F.col(part_keep)).otherwise(F.col("g_keep")).alias("keep_id"),
-        F.coalesce("g_size", part_size).alias("group_size"),
-        mine.alias("kept"),
-    )
+    whole = parts.select(F.col(dig).alias("g_dig"), F.col(salt).alias("g_salt"), F.sha2(content, 256).alias("g_sha"), best.over(group).alias("g_keep"), F.sum(part_size).over(group).alias("g_size"), F.min(salt).over(group).alias("g_first"))
+    split = inner.where(F.col(salts) > 1).join(whole, (F.col(dig) == F.col("g_dig")) & (F.col(salt) == F.col("g_salt")) & (F.sha2(content, 256) == F.col("g_sha")))
+    stays = F.when(F.col("g_keep").isNull(), F.col(salt) == F.col("g_first")).otherwise(F.col(part_keep).eqNullSafe(F.col("g_keep")))
+    return out.unionByName(split.select(*others, F.col("g_keep").alias("keep_id"), F.col("g_size").alias("group_size"), ((F.col(rank) == 1) & stays).alias("kept")))
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
