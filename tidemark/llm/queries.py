@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.url_filter import judge_urls
 
@@ -31,10 +33,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -48,7 +58,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_packing, op6_url_filter, op8_simhash, op9_mixing)
+    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op6_url_filter, op8_simhash, op9_mixing)
 }
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
