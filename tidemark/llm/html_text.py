@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -133,27 +134,35 @@ def features(found: list[Block]) -> np.ndarray:
     return out
 
 
-#: The labelled table: FEATURES of a block and whether it is main text.
-LABELLED = [
-    # paragraphs, headings and lists of an article, long and short
-    ((120, 0.00, 80, 0.0, 60, 0.0, 1, 0, 1, 1), 1), ((45, 0.05, 9, 0.0, 70, 0.0, 1, 0, 1, 1), 1), ((1, 0.00, 90, 0.0, 40, 0.0, 1, 0, 1, 1), 1), ((2, 0.00, 1, 0.0, 1, 0.0, 1, 0, 1, 1), 1),
-    ((8, 0.00, 12, 0.0, 35, 0.0, 1, 0, 1, 1), 1), ((6, 0.00, 4, 0.9, 3, 0.0, 1, 0, 1, 1), 1), ((14, 0.00, 20, 0.0, 15, 0.0, 1, 0, 0, 1), 1), ((3, 0.00, 4, 0.0, 3, 0.0, 1, 0, 0, 1), 1),
-    ((30, 0.30, 50, 0.0, 50, 0.0, 1, 0, 1, 1), 1), ((5, 1.00, 60, 0.0, 60, 0.0, 1, 0, 1, 1), 1), ((900, 0.00, 10, 0.0, 2, 1.0, 1, 0, 1, 1), 1), ((1, 0.00, 0, 0.0, 0, 0.0, 1, 0, 1, 1), 1),
-    # lists of links inside an article
-    ((3, 1.00, 4, 1.0, 3, 1.0, 1, 0, 0, 1), 0), ((5, 1.00, 40, 0.0, 4, 1.0, 1, 0, 0, 1), 0), ((2, 1.00, 3, 1.0, 60, 0.0, 1, 0, 0, 1), 0), ((4, 0.80, 2, 1.0, 2, 1.0, 1, 0, 0, 1), 0),
-    # menus, headers, footers, sidebars, notices, adverts, forms, comments: short, long, with and without links
-    ((1, 1.00, 1, 1.0, 1, 1.0, 0, 1, 0, 1), 0), ((8, 0.00, 1, 1.0, 10, 0.0, 0, 1, 0, 1), 0), ((12, 0.00, 80, 0.0, 0, 0.0, 0, 1, 0, 1), 0), ((60, 0.00, 30, 0.0, 30, 0.0, 0, 1, 1, 1), 0),
-    ((25, 0.00, 90, 0.0, 30, 0.0, 0, 1, 1, 1), 0), ((3, 0.00, 2, 0.0, 2, 0.0, 0, 1, 1, 1), 0), ((40, 0.10, 5, 0.0, 60, 0.0, 0, 1, 1, 0), 0), ((1, 1.00, 1, 1.0, 1, 1.0, 0, 1, 0, 0), 0),
-    ((120, 0.00, 100, 0.0, 90, 0.0, 0, 1, 1, 0), 0), ((10, 0.00, 60, 0.0, 0, 0.0, 0, 1, 0, 0), 0), ((2, 0.50, 0, 0.0, 2, 1.0, 0, 1, 0, 0), 0), ((7, 0.00, 0, 0.0, 60, 0.0, 0, 1, 0, 0), 0),
-    # what stands beside the article of a page that marks it
-    ((50, 0.00, 3, 0.0, 80, 0.0, 0, 0, 1, 1), 0), ((4, 1.00, 4, 1.0, 9, 0.0, 0, 0, 0, 1), 0), ((9, 0.00, 3, 1.0, 40, 0.0, 0, 0, 0, 1), 0), ((20, 0.00, 70, 0.0, 1, 0.0, 0, 0, 0, 1), 0),
-    # pages without a marked article: prose
-    ((60, 0.00, 40, 0.0, 50, 0.0, 0, 0, 1, 0), 1), ((25, 0.10, 2, 1.0, 40, 0.0, 0, 0, 1, 0), 1), ((18, 0.00, 50, 0.0, 3, 0.0, 0, 0, 0, 0), 1), ((35, 0.00, 1, 1.0, 6, 1.0, 0, 0, 0, 0), 1),
-    ((6, 0.00, 2, 1.0, 60, 0.0, 0, 0, 1, 0), 1), ((4, 0.00, 40, 0.0, 40, 0.0, 0, 0, 1, 0), 1), ((3, 0.00, 30, 0.0, 0, 0.0, 0, 0, 1, 0), 1), ((2, 0.00, 0, 0.0, 0, 0.0, 0, 0, 1, 0), 1),
-    # pages without a marked article: links and scraps
-    ((2, 1.00, 2, 1.0, 2, 1.0, 0, 0, 0, 0), 0), ((12, 0.90, 3, 1.0, 50, 0.0, 0, 0, 0, 0), 0), ((30, 0.80, 4, 1.0, 4, 1.0, 0, 0, 0, 0), 0), ((5, 0.70, 60, 0.0, 2, 1.0, 0, 0, 1, 0), 0),
-    ((4, 0.00, 2, 1.0, 2, 1.0, 0, 0, 0, 0), 0), ((3, 0.00, 0, 0.0, 4, 1.0, 0, 0, 0, 0), 0), ((6, 0.00, 70, 0.0, 0, 0.0, 0, 0, 0, 0), 0), ((7, 0.00, 3, 0.0, 2, 0.0, 0, 0, 0, 0), 0),
-]
+# The labelled table: kinds of blocks as seen on pages, each with the values that its features take together and
+# whether it is main text. (words, link densities, neighbours as (words, density), article, aside, prose, page_has_article)
+_ANY = ((0, 0.0), (1, 1.0), (4, 0.0), (12, 1.0), (40, 0.0), (400, 0.0))
+_TEXT = ((30, 0.0), (120, 0.1), (400, 0.0))
+_LINKS = ((0, 0.0), (1, 1.0), (4, 0.8), (12, 1.0))
+KINDS = [
+    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 1, 0, 1, 1, True),  # paragraphs and headings of an article
+    ((1, 3, 9, 40, 150), (0.0, 0.3), _ANY, 1, 0, 0, 1, True),  # lists and loose text of an article
+    ((1, 3, 9, 20), (0.75, 1.0), _ANY, 1, 0, 0, 1, False),  # lists of links in an article
+    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 1, 1, False),  # menus, headers, footers, sidebars, notices,
+    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 0, 1, False),  # adverts, forms and comments
+    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 1, 0, False),
+    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 0, 0, False),
+    ((1, 3, 9, 40, 150), (0.0, 0.3, 1.0), _ANY, 0, 0, 1, 1, False),  # beside the article of a page that marks one
+    ((1, 3, 9, 40, 150), (0.0, 0.3, 1.0), _ANY, 0, 0, 0, 1, False),
+    ((1, 3, 9, 40, 150, 900), (0.0, 0.3), _ANY, 0, 0, 1, 0, True),  # prose of a page that marks no article
+    ((20, 40, 150, 900), (0.0, 0.3), _ANY, 0, 0, 0, 0, True),
+    ((1, 3, 9), (0.0, 0.3), _TEXT, 0, 0, 0, 0, True),  # short text amid prose
+    ((1, 3, 9), (0.0, 0.3), _LINKS, 0, 0, 0, 0, False),  # scraps amid links
+    ((1, 3, 9, 40), (0.75, 1.0), _ANY, 0, 0, 1, 0, False),  # links
+    ((1, 3, 9, 40, 150), (0.75, 1.0), _ANY, 0, 0, 0, 0, False),
+]
+
+
+def labelled() -> tuple[np.ndarray, np.ndarray]:
+    """The table's rows of FEATURES and their labels."""
+    rows = [((w, d, *b, *a, *kind), label) for words, density, near, *kind, label in KINDS for w, d, b, a in product(words, density, near, near)]
+    return np.array([r for r, _ in rows], float), np.array([v for _, v in rows], float)
+
 
 Tree = tuple
 
@@ -198,7 +207,7 @@ def classify(tree: Tree, x: np.ndarray) -> np.ndarray:
 
 
 def trained_tree() -> Tree:
-    return grow(np.array([r for r, _ in LABELLED], float), np.array([v for _, v in LABELLED], float))
+    return grow(*labelled())
 
 
 def main_text(page: str | None, tree: Tree) -> str:

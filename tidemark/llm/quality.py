@@ -9,6 +9,7 @@ document, also where the labellers are silent or disagree.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ _CLASS[48:58] = DIGIT
 _CLASS[[ord(c) for c in ".,;:'\"()-?"]] = MARK
 
 NAMES = ("symbols", "capitals", "bars", "repetition", "function_words", "letters", "exclamations", "word_length")
+#: Labellers that know good texts as well. The others only accuse: their silence speaks for a text, a little.
+BOTH_WAYS = np.array([n in ("function_words", "letters") for n in NAMES])
 
 
 def measures(raw: bytes, codes: np.ndarray) -> np.ndarray:
@@ -44,9 +47,10 @@ def measures(raw: bytes, codes: np.ndarray) -> np.ndarray:
     solid = max(1, n - int(kinds[SPACE]))
     letters = int(kinds[LETTER] + kinds[UPPER])
     sentences = [s for s in raw.replace(b"\n", b" ").split(b". ") if s]
+    again = max(1 - len(set(sentences)) / max(1, len(sentences)), sum(map(eq, found, found[1:])) / words)
     function = sum(w in FUNCTION_WORDS for w in raw.lower().split()) if found else 0
     return np.array(
-        [kinds[SYMBOL] / solid, kinds[UPPER] / max(1, letters), raw.count(b"|") / words, 1 - len(set(sentences)) / max(1, len(sentences)), function / words, letters / solid, raw.count(b"!") / words, solid / words, words]
+        [kinds[SYMBOL] / solid, kinds[UPPER] / max(1, letters), raw.count(b"|") / words, again, function / words, letters / solid, raw.count(b"!") / words, solid / words, words]
     )
 
 
@@ -55,14 +59,14 @@ def votes(m: np.ndarray) -> np.ndarray:
     symbols, capitals, bars, repetition, function, letters, shouts, length, words = m
     return np.array(
         [
-            -1 if symbols > 0.10 else 1 if symbols < 0.03 else 0,
-            -1 if capitals > 0.50 else 1 if capitals < 0.15 else 0,
-            -1 if bars > 0.20 else 1 if bars == 0 and words >= 20 else 0,
-            -1 if repetition > 0.40 and words >= 8 else 1 if repetition < 0.15 and words >= 20 else 0,
+            -1 if symbols > 0.10 else 0,
+            -1 if capitals > 0.50 else 0,
+            -1 if bars > 0.15 else 0,
+            -1 if repetition > 0.30 and words >= 8 else 0,
             0 if words < 20 else -1 if function < 0.02 else 1 if function > 0.08 else 0,
             -1 if letters < 0.70 else 1 if letters > 0.88 else 0,
-            -1 if shouts > 0.30 else 1 if shouts < 0.05 else 0,
-            0 if words < 20 else -1 if length > 14 or length < 2 else 1 if 3 <= length <= 9 else 0,
+            -1 if shouts > 0.30 else 0,
+            -1 if words >= 20 and not 2 <= length <= 14 else 0,
         ],
         np.int8,
     )
@@ -92,41 +96,41 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tup
     """Expectation-maximisation over vote patterns (rows of -1, 0, 1) and their document counts.
 
     Returns each pattern's posterior of being good, each labeller's accuracy where it votes, and the share of good
-    documents. Labellers are taken as independent given the class; starts from the majority of votes.
+    documents. Labellers are taken as independent given the class; the silence of one that knows both classes says
+    nothing. Starts from the accusations, as each labeller knows one kind of bad text only.
     """
     k = patterns.shape[1]
-    total = patterns.sum(axis=1)
-    post = np.where(total > 0, 0.9, np.where(total < 0, 0.1, 0.5)) if len(patterns) else np.zeros(0)
-    values = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float) if len(patterns) else np.zeros((0, k, 3))
+    post = np.where((patterns == -1).any(axis=1), 0.1, 0.9) if len(patterns) else np.zeros(0)
+    down = (patterns == -1).astype(float)
+    cast = np.where(BOTH_WAYS[:k], patterns != 0, 1).astype(float)  # where the labeller says something
+    up = cast - down
     prior = 0.5
     for _ in range(rounds):
         good, bad = counts * post, counts * (1 - post)
         prior = (good.sum() + 1) / (counts.sum() + 2)
-        # one pseudo-document for each outcome keeps rare votes from deciding alone
-        p_good = (np.einsum("p,pkv->kv", good, values) + 1) / (good.sum() + 3)
-        p_bad = (np.einsum("p,pkv->kv", bad, values) + 1) / (bad.sum() + 3)
-        log = np.log(prior) - np.log(1 - prior) + np.einsum("pkv,kv->p", values, np.log(p_good) - np.log(p_bad))
+        # a pseudo-vote each way keeps rare votes from deciding alone
+        g = (good @ up + 1) / (good @ cast + 2)
+        b = (bad @ up + 1) / (bad @ cast + 2)
+        log = np.log(prior) - np.log(1 - prior) + up @ (np.log(g) - np.log(b)) + down @ (np.log(1 - g) - np.log(1 - b))
         new = 1 / (1 + np.exp(-np.clip(log, -50, 50)))
         done, post = np.abs(new - post).max(initial=0) < 1e-9, new
         if done:
             break
     right = counts @ (post[:, None] * (patterns == 1) + (1 - post[:, None]) * (patterns == -1)) if len(patterns) else np.zeros(k)
-    cast = counts @ (patterns != 0) if len(patterns) else np.zeros(k)
-    return post, right / np.maximum(cast, 1), float(prior)
+    spoken = counts @ (patterns != 0) if len(patterns) else np.zeros(k)
+    return post, right / np.maximum(spoken, 1), float(prior)
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300, penalty: float = 1e-3) -> np.ndarray:
-    """Weights (the bias last) of a logistic scorer for soft labels, by gradient steps with momentum; both classes weigh alike."""
+def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 400, penalty: float = 1e-5) -> np.ndarray:
+    """Weights (the bias last) of a logistic scorer for soft labels, by gradient steps with momentum."""
     if not len(x):
         return np.zeros(DIMS + 1)
     x1 = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    good, bad = max(y.sum(), 1e-9), max((1 - y).sum(), 1e-9)
-    weight = np.minimum(len(y) * (y / good + (1 - y) / bad) / 2, 20.0)
     w, v = np.zeros(x1.shape[1]), np.zeros(x1.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        g = x1.T @ (weight * (p - y)) / len(y) + penalty * np.append(w[:-1], 0)
-        v = 0.9 * v - 0.5 * g
+        g = x1.T @ (p - y) / len(y) + penalty * np.append(w[:-1], 0)
+        v = 0.9 * v - 2.0 * g
         w += v
     return w
 
