@@ -1,6 +1,6 @@
 """Quality classifier from weak labels.
 
-Heuristic labellers vote good, bad or nothing on each document. Expectation-maximisation over the counts of all vote
+Heuristic labellers call documents bad or stay silent. Expectation-maximisation over the counts of all vote
 patterns of the whole corpus estimates how accurate each labeller is, without true labels; the posterior of a pattern
 labels the documents that show it. A linear scorer over hashed features learns these posteriors and judges each
 document, also where the labellers are silent or disagree.
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 #: Hashed features, and the documents at most that the scorer learns from (a bounded sample, by hash of text).
 DIMS, TRAIN_ROWS = 1024, 8192
-#: Documents with a score below this go.
-KEEP_FROM = 0.5
+#: Documents with a score below this go: below one half, as a clean document lost costs more than a bad one kept.
+KEEP_FROM = 0.35
 
 # fixed values: frequent function words of the corpus' languages
 FUNCTION_WORDS = frozenset("the of and to a in is it that be for on as with are this by from or an was et de la le les des un une du en que qui est pour dans par sur au der die das und ein eine mit von zu nicht den dem ist im auf für als auch el los las un una por con para es se al lo su del".encode().split())
@@ -34,8 +34,11 @@ _CLASS[48:58] = DIGIT
 _CLASS[[ord(c) for c in ".,;:'\"()-?"]] = MARK
 
 NAMES = ("symbols", "capitals", "bars", "repetition", "function_words", "letters", "exclamations", "word_length")
-#: Labellers that know good texts as well. The others only accuse: their silence speaks for a text, a little.
-BOTH_WAYS = np.array([n in ("function_words", "letters") for n in NAMES])
+#: An accuser is taken to accuse one good document in 200 at most: each knows one kind of bad text only, and without
+#: this the model would call a kind good that no other labeller knows.
+WRONG_AT_MOST = 0.005
+#: The share of bad documents that no labeller accuses is taken to be this; silence of all speaks for a document.
+MISSED = 0.05
 
 
 def measures(raw: bytes, codes: np.ndarray) -> np.ndarray:
@@ -55,26 +58,15 @@ def measures(raw: bytes, codes: np.ndarray) -> np.ndarray:
 
 
 def votes(m: np.ndarray) -> np.ndarray:
-    """1 (good), -1 (bad) or 0 of each labeller in the order of NAMES."""
+    """1 where the labeller calls the text bad, else 0, in the order of NAMES."""
     symbols, capitals, bars, repetition, function, letters, shouts, length, words = m
-    return np.array(
-        [
-            -1 if symbols > 0.10 else 0,
-            -1 if capitals > 0.50 else 0,
-            -1 if bars > 0.15 else 0,
-            -1 if repetition > 0.30 and words >= 8 else 0,
-            0 if words < 20 else -1 if function < 0.02 else 1 if function > 0.08 else 0,
-            -1 if letters < 0.70 else 1 if letters > 0.88 else 0,
-            -1 if shouts > 0.30 else 0,
-            -1 if words >= 20 and not 2 <= length <= 14 else 0,
-        ],
-        np.int8,
-    )
+    long = words >= 20
+    return np.array([symbols > 0.10, capitals > 0.50, bars > 0.15, repetition > 0.30 and words >= 8, function < 0.02 and long, letters < 0.55, shouts > 0.30, long and not 2 <= length <= 14], np.int8)
 
 
 def pattern(v: np.ndarray) -> int:
-    """A vote pattern as a number; there are 3^8 at most."""
-    return int(((v.astype(np.int64) + 1) * 3 ** np.arange(len(v))).sum())
+    """A vote pattern as a number; there are 2^8 at most."""
+    return int((v.astype(np.int64) << np.arange(len(v))).sum())
 
 
 def hashed(codes: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -92,33 +84,29 @@ def hashed(codes: np.ndarray, m: np.ndarray) -> np.ndarray:
     return out
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
-    """Expectation-maximisation over vote patterns (rows of -1, 0, 1) and their document counts.
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
+    """Expectation-maximisation over vote patterns (rows of 0 and 1) and their document counts.
 
-    Returns each pattern's posterior of being good, each labeller's accuracy where it votes, and the share of good
-    documents. Labellers are taken as independent given the class; the silence of one that knows both classes says
-    nothing. Starts from the accusations, as each labeller knows one kind of bad text only.
+    Returns each pattern's posterior of being good, each labeller's accuracy (the share of its accusations that are
+    right), and the share of good documents. Labellers are taken as independent given the class; one that is silent
+    while others accuse says nothing, as bad texts of other kinds pass it as well. Starts from the accusations.
     """
-    k = patterns.shape[1]
-    post = np.where((patterns == -1).any(axis=1), 0.1, 0.9) if len(patterns) else np.zeros(0)
-    down = (patterns == -1).astype(float)
-    cast = np.where(BOTH_WAYS[:k], patterns != 0, 1).astype(float)  # where the labeller says something
-    up = cast - down
-    prior = 0.5
+    if not len(patterns):
+        return np.zeros(0), np.zeros(0), 0.5
+    fired = patterns.astype(float)
+    post, prior = np.where(fired.any(axis=1), 0.1, 0.9), 0.5
     for _ in range(rounds):
         good, bad = counts * post, counts * (1 - post)
         prior = (good.sum() + 1) / (counts.sum() + 2)
-        # a pseudo-vote each way keeps rare votes from deciding alone
-        g = (good @ up + 1) / (good @ cast + 2)
-        b = (bad @ up + 1) / (bad @ cast + 2)
-        log = np.log(prior) - np.log(1 - prior) + up @ (np.log(g) - np.log(b)) + down @ (np.log(1 - g) - np.log(1 - b))
-        new = 1 / (1 + np.exp(-np.clip(log, -50, 50)))
-        done, post = np.abs(new - post).max(initial=0) < 1e-9, new
+        # one pseudo-document each way keeps rare accusations from deciding alone
+        g = np.clip((good @ fired + 1) / (good.sum() + 2), 1e-4, WRONG_AT_MOST)
+        b = np.clip((bad @ fired + 1) / (bad.sum() + 2), 0.02, 1.0)
+        log = np.where(fired.any(axis=1), fired @ np.log(g / b), np.log((1 - WRONG_AT_MOST) / MISSED))
+        new = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + log, -50, 50)))
+        done, post = np.abs(new - post).max() < 1e-9, new
         if done:
             break
-    right = counts @ (post[:, None] * (patterns == 1) + (1 - post[:, None]) * (patterns == -1)) if len(patterns) else np.zeros(k)
-    spoken = counts @ (patterns != 0) if len(patterns) else np.zeros(k)
-    return post, right / np.maximum(spoken, 1), float(prior)
+    return post, (counts * (1 - post)) @ fired / np.maximum(counts @ fired, 1), float(prior)
 
 
 def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 400, penalty: float = 1e-5) -> np.ndarray:
@@ -154,8 +142,8 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for pdf in batches:
             yield pd.DataFrame({"pattern": [pattern(votes(look(t)[1])) for t in pdf["t"].array]}, dtype="int64")
 
-    counted = plain.select("t").mapInPandas(vote, "pattern long").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()  # 3^8 rows at most
-    seen = np.array([[r["pattern"] // 3**k % 3 - 1 for k in range(len(NAMES))] for r in counted], np.int64).reshape(-1, len(NAMES))
+    counted = plain.select("t").mapInPandas(vote, "pattern long").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()  # 2^8 rows at most
+    seen = np.array([[r["pattern"] >> k & 1 for k in range(len(NAMES))] for r in counted], np.int64).reshape(-1, len(NAMES))
     posterior, _, _ = estimate(seen, np.array([r["n"] for r in counted], float))
     of_pattern = {r["pattern"]: float(p) for r, p in zip(counted, posterior, strict=True)}
 
