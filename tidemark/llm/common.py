@@ -61,3 +61,18 @@ def hot_keys(keys: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> list[tu
         .collect()
     )
     return [(r[0], r[1]) for r in found]
+
+
+def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """The rows of df whose key (a long column) occurs more than once. df is read several times, so it is written first.
+
+    Rows of the hot keys are found by a broadcast of the bounded list of them and are never brought together.
+    """
+    spark = df.sparkSession
+    hot = hot_keys(df.select(key), key, split_rows)
+    many = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).alias("many_key"))
+    if not hot:
+        return df.join(many, F.col(key) == F.col("many_key"), "left_semi")
+    few = F.broadcast(spark.createDataFrame([(k,) for k, _ in hot], "hot_key long"))  # 4 x partitions rows at most
+    rest = df.join(few, F.col(key) == F.col("hot_key"), "left_anti").join(many, F.col(key) == F.col("many_key"), "left_semi")
+    return df.join(few, F.col(key) == F.col("hot_key"), "left_semi").unionByName(rest)

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.ann import search
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.html_text import extract_text
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_scores
@@ -45,10 +47,19 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.char_length("text").cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id % 20 = 0")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -58,7 +69,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op6_url_filter, op8_simhash, op9_mixing)
+    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op5_line_dedup, op6_url_filter, op7_nearest, op8_simhash, op9_mixing)
 }
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
