@@ -63,16 +63,23 @@ def hot_keys(keys: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> list[tu
     return [(r[0], r[1]) for r in found]
 
 
-def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """The rows of df whose key (a long column) occurs more than once. df is read several times, so it is written first.
+def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of df whose key (a long column) occurs more than once; those of hot keys apart, None if there are none.
 
-    Rows of the hot keys are found by a broadcast of the bounded list of them and are never brought together.
+    Hot are the 4 x partitions keys at most with more than split_rows rows. Their list is bounded and broadcast; their
+    rows are never brought together. df is read twice.
     """
     spark = df.sparkSession
-    hot = hot_keys(df.select(key), key, split_rows)
-    many = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).alias("many_key"))
+    many = cut(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).alias("many_key"), "n"))
+    hot = many.where(F.col("n") > split_rows).orderBy(F.col("n").desc(), "many_key").limit(4 * partitions(spark)).collect()
     if not hot:
-        return df.join(many, F.col(key) == F.col("many_key"), "left_semi")
-    few = F.broadcast(spark.createDataFrame([(k,) for k, _ in hot], "hot_key long"))  # 4 x partitions rows at most
+        return df.join(many, F.col(key) == F.col("many_key"), "left_semi"), None
+    few = F.broadcast(spark.createDataFrame([(r[0],) for r in hot], "hot_key long"))  # 4 x partitions rows at most
     rest = df.join(few, F.col(key) == F.col("hot_key"), "left_anti").join(many, F.col(key) == F.col("many_key"), "left_semi")
-    return df.join(few, F.col(key) == F.col("hot_key"), "left_semi").unionByName(rest)
+    return rest, df.join(few, F.col(key) == F.col("hot_key"), "left_semi")
+
+
+def all_repeated(df: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key occurs more than once."""
+    rest, hot = repeated(df, key)
+    return rest if hot is None else rest.unionByName(hot)

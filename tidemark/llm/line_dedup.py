@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, fresh, repeated
+from tidemark.llm.common import all_repeated, cut, fresh
 
 #: Lines of fewer characters are structure (blank lines, headings, marks): they stay, and nothing is compared with them.
 MIN_CHARS = 20
@@ -93,7 +93,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = lines.select("h1", "h2", place.alias("place"), _halves(F.col("line"), F.char_length("line")).alias("halves"))
     distinct = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")))
     halves = cut(distinct.select("h1", "h2", F.explode("halves").alias("key")))
-    shared = repeated(halves, "key").select("h1", "h2").distinct()
+    shared = all_repeated(halves, "key").select("h1", "h2").distinct()
     wanted = distinct.join(shared, ["h1", "h2"], "left_semi").select("h1", "h2", "place")
     # the text of a candidate, read at its first occurrence
     found = wanted.join(lines.select(F.col("id").alias("l_id"), F.col("at").alias("l_at"), F.col("h1").alias("l_h1"), F.col("h2").alias("l_h2"), "line"), (F.col("h1") == F.col("l_h1")) & (F.col("h2") == F.col("l_h2")) & F.col("place.id").eqNullSafe(F.col("l_id")) & (F.col("place.at") == F.col("l_at")))
@@ -103,7 +103,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for pdf in batches:
             yield pd.DataFrame([(a, b, *ks) for a, b, line in zip(pdf["h1"], pdf["h2"], pdf["line"], strict=True) for ks in segment_keys(line)], columns=["h1", "h2", "key", "slot"])
 
-    slotted = repeated(cut(texts.select("h1", "h2", "line").mapInPandas(segments, "h1 long, h2 long, key long, slot int")), "key")
+    slotted = all_repeated(cut(texts.select("h1", "h2", "line").mapInPandas(segments, "h1 long, h2 long, key long, slot int")), "key")
     slots = slotted.groupBy("h1", "h2").agg(F.collect_set("slot").alias("slots"))
 
     def deletions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,6 +16,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.url_filter import judge_urls
 
 #: The tokenizer vocabulary of the packing query, by its name in the public collection.
@@ -68,8 +69,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "source", "mix_tokens", "mix_epoch", "mix_order")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op5_line_dedup, op6_url_filter, op7_nearest, op8_simhash, op9_mixing)
+    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op5_line_dedup, op6_url_filter, op7_nearest, op8_simhash, op9_mixing, op10_suffix_dedup)
 }
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
