@@ -1,0 +1 @@
+"""Point-in-time market analytics on PySpark."""
