@@ -20,16 +20,37 @@ from tidemark.llm.common import partitions
 
 #: Mean number of documents in a packing group.
 GROUP_DOCS = 4096
-#: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
+#: Words, and pieces of text between white space, whose ids a worker remembers.
+CACHE_ENTRIES = 300_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: Characters that Python takes for white space and the tokenizer doesn't.
+_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+
+
+class _Remembered(dict):
+    """A bounded cache in two generations: a full one becomes the old one, whose entries move up when asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        if len(key) <= 64:
+            self[key] = value
+        return value
 
 
 class WordTokenizer:
-    """The ids of a word-level BPE tokenizer file, with remembered words.
+    """The ids of a word-level BPE tokenizer file, as little-endian unsigned 32-bit numbers, with remembered words.
 
-    The file's own normaliser and splitting pattern define the words; the library encodes each new word once. Texts
-    that hold one of the file's special tokens go to the library whole.
+    The file's own normaliser and splitting pattern define the words, which never hold white space; the library
+    encodes each new word once. Texts that hold one of the file's special tokens go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -48,7 +69,11 @@ class WordTokenizer:
         if steps != ["NFC", "Replace", "Lowercase"] or split["type"] != "Split" or not split["invert"]:
             raise ValueError(f"{path} is not a tokenizer of lower-case words")
         self.words = regex.compile(split["pattern"]["Regex"]).findall
-        self.known: dict[str, list[int]] = {}
+        self.of_word = _Remembered(self.encode)
+        self.of_chunk = _Remembered(lambda chunk: b"".join(map(self.of_word.__getitem__, self.words(chunk))))
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def normal(self, text: str) -> str:
         if text.isascii():
@@ -57,21 +82,23 @@ class WordTokenizer:
             return self.whole.normalizer.normalize_str(text)
         return text.lower()
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        known, out = self.known, []
-        extend = out.extend
-        for word in self.words(self.normal(text)):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.whole.encode(word, add_special_tokens=False).ids
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                if len(word) <= 64:
-                    known[word] = ids
-            extend(ids)
-        return np.array(out, dtype="<u4")
+            return self.encode(text)
+        plain = self.normal(text)
+        if any(c in plain for c in _SEPARATORS):
+            return b"".join(map(self.of_word.__getitem__, self.words(plain)))
+        return b"".join(map(self.of_chunk.__getitem__, plain.split()))
+
+
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def tokenizer(path: str) -> WordTokenizer:
+    """The worker's tokenizer of this file: what it remembers serves all tasks of the worker."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,15 +108,15 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int
     """
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = WordTokenizer(tokenizer_path)
+        tok, end = tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["i"].array, pdf["t"].array, strict=True):
-                ids = np.append(tok.ids(text or ""), np.uint32(end_id)).astype("<u4")
-                n = len(ids)
+                ids = tok.ids(text or "") + end
+                n = len(ids) // 4
                 for at in range(0, n, sequence_tokens):
-                    part = ids[at : at + sequence_tokens]
-                    rows.append((doc, at, len(part), zlib.crc32(part.tobytes()), n))
+                    part = ids[4 * at : 4 * (at + sequence_tokens)]
+                    rows.append((doc, at, len(part) // 4, zlib.crc32(part), n))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
             yield out.astype({"doc_id": "Int64"})
 
