@@ -217,8 +217,11 @@ def repeated_offsets(strings: np.ndarray, prefix: np.ndarray, right: np.ndarray,
     return low, high
 
 
-def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """id, start, stop of strings that hold repeated windows, from texts (id, text); they overlap."""
+def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """id, start, stop of strings that hold repeated windows, from texts (id, text); they overlap.
+
+    read and texts are the same rows: as they are read, and dealt out by id.
+    """
     spark = texts.sparkSession
     parts, reach = partitions(spark), span - gram
     width = 8 + span + reach
@@ -238,7 +241,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_r
                 ids = pdf["id"].iloc[a:b]
                 yield pd.DataFrame({"id": ids.iloc[doc[where]].array, "h": np.split(h.view(np.int64), where[1:]), "at": np.split((at - starts[doc]).astype(np.int32), where[1:])})
 
-    marked = cut(texts.mapInPandas(mark, "id long, h array<long>, at array<int>"))
+    marked = cut(read.mapInPandas(mark, "id long, h array<long>, at array<int>"))
     total = marked.agg(F.sum(F.size("h"))).first()[0] or 0
     each = marked.select("id", F.explode(F.arrays_zip("h", "at")).alias("x")).select("id", "x.h", "x.at")
     # a gram is hot if its suffixes are more than a quarter of a task's share
@@ -316,25 +319,31 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_r
         return found
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: set[tuple[int, int, int]] = set()
-        for id_, raw, _, at, is_hot in each_mark(batches):
-            if is_hot:
-                me = NONE if id_ is None or id_ is pd.NA else int(id_)
-                for i in range(max(0, at - reach), min(at, len(raw) - span) + 1):
-                    h = xxhash.xxh3_64_intdigest(raw[i : i + span])
-                    rows.add((me, i, h - (1 << 64) if h >> 63 else h))
+        for pdf in batches:
+            rows = []
+            for id_, text, marks in zip(pdf["id"].array, pdf["text"].array, pdf["marks"].array, strict=True):
+                hot_at = [m["at"] for m in marks if m["hot"]] if marks is not None else []
+                if hot_at:
+                    raw, me = text.encode(), NONE if id_ is None or id_ is pd.NA else int(id_)
+                    starts = {i for at in hot_at for i in range(max(0, at - reach), min(at, len(raw) - span) + 1)}
+                    keys = ((i, xxhash.xxh3_64_intdigest(raw[i : i + span])) for i in sorted(starts))
+                    rows.extend((me, i, h - (1 << 64) if h >> 63 else h) for i, h in keys)
                 if len(rows) > 200_000:
-                    yield pd.DataFrame(list(rows), columns=["id", "start", "key"])
-                    rows.clear()
-        yield pd.DataFrame(list(rows), columns=["id", "start", "key"], dtype="int64")
-
-    # the windows around hot grams are too many for one receiver: each is a key of its own
-    keyed = cut(joined.mapInPandas(windows, "id long, start long, key long").distinct())
-    rest, more = repeated(keyed, "key")
-    both = rest if more is None else rest.unionByName(more)
+                    yield pd.DataFrame(rows, columns=["id", "start", "key"], dtype="int64")
+                    rows = []
+            yield pd.DataFrame(rows, columns=["id", "start", "key"], dtype="int64")
+
+    # The windows around hot grams are too many for one receiver: each is a key of its own. Counts are summed before
+    # they are sent; the join is by a derived key, so both its sides are exchanged for it alone and adaptive execution
+    # can split the rows of a hot window.
+    keyed = joined.mapInPandas(windows, "id long, start long, key long")
+    many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").bitwiseXOR(F.lit(DERIVED)).alias("many"))
+    both = keyed.withColumn("derived", F.col("key").bitwiseXOR(F.lit(DERIVED))).join(many, F.col("derived") == F.col("many"), "left_semi")
     return found.unionByName(both.select("id", "start", (F.col("start") + span).alias("stop")))
 
 
+#: Makes another key of a key, with the same equalities.
+DERIVED = 0x5DEECE66D
 #: Stands for a missing identifier inside runs.
 NONE = -(1 << 63)
 
@@ -350,8 +359,9 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     """
     parts = partitions(docs.sparkSession)
     # dealt out by identifier once; both joins below read the same exchange
-    texts = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text")).repartition(parts, "id")
-    spans = repeated_spans(texts, span, gram, split_rows).select(F.nullif(F.col("id"), F.lit(NONE)).alias("s_id"), "start", "stop")
+    read = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
+    texts = read.repartition(parts, "id")
+    spans = repeated_spans(read, texts, span, gram, split_rows).select(F.nullif(F.col("id"), F.lit(NONE)).alias("s_id"), "start", "stop")
     of_doc = spans.groupBy("s_id").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
     joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("s_id")), "left").select("id", "text", "found")
 
