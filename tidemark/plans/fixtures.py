@@ -24,7 +24,7 @@ _DEALT = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SERIES))
 VIEWS = {
     "series_obs": f"""
         SELECT s.series_id, CAST(o.o_orderdate AS DATE) AS obs_date,
-               round(avg(CASE WHEN o.o_custkey % 97 = 0 THEN NULL ELSE o.o_totalprice / 100000 + 0.5 END), 9) AS value
+               round(avg(CASE WHEN o.o_custkey % 97 = 0 THEN NULL ELSE o.o_totalprice / 100000 + 0.5 END), 9) / 0.97 AS value
         FROM {{orders}} o JOIN (VALUES {_DEALT}) AS s(idx, series_id) ON o.o_custkey % {len(SERIES)} = s.idx
         GROUP BY s.series_id, CAST(o.o_orderdate AS DATE)""",
     "dim_series": f"""
@@ -39,8 +39,8 @@ VIEWS = {
                CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE n_name END AS sector
         FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
     "prices": """
-        SELECT d.ticker, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice / l_quantity) AS close,
-               round(avg(l_extendedprice / l_quantity), 9) AS adj_close, sum(l_quantity) AS volume
+        SELECT d.ticker, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice / l_quantity) / 3.7 AS close,
+               round(avg(l_extendedprice / l_quantity), 9) / 3.7 AS adj_close, sum(l_quantity) AS volume
         FROM {lineitem} JOIN {dim_instrument} d ON l_suppkey = d.suppkey GROUP BY d.ticker, CAST(l_shipdate AS DATE)""",
     "year_sums": """
         SELECT d.ticker, d.suppkey, year(l_shipdate) AS y, round(sum(l_extendedprice), 6) AS rev, round(sum(l_extendedprice * (1 - l_discount)), 6) AS net, sum(l_quantity) AS qty
@@ -48,7 +48,7 @@ VIEWS = {
     "fundamentals_eav": """
         SELECT ticker, 'income' AS statement, CASE WHEN m.k = 12 AND suppkey % 4 = 0 THEN 'quarterly' ELSE 'annual' END AS freq, m.metric,
                make_date(y, 12, 31) AS period_end, make_date(y + 1, 3, 31) AS available_from,
-               round(m.a * rev + m.b * net + m.c * qty, 9) AS value
+               (m.a * rev + m.b * net + m.c * qty) / 0.97 AS value
         FROM {year_sums} CROSS JOIN (VALUES (1, 'Total Revenue', 1.0, 0.0, 0.0), (2, 'Gross Profit', -0.4, 0.9, 0.0), (3, 'Operating Income', -0.7, 0.9, 0.0),
              (4, 'Net Income Common Stockholders', -0.88, 0.95, 0.0), (5, 'Diluted EPS', -0.00088, 0.00095, 0.0), (6, 'Diluted Average Shares', 0.0, 0.0, 1.0),
              (7, 'Total Assets', 2.0, 0.0, 1.0), (8, 'Stockholders Equity', 1.5, -0.6, 0.0), (9, 'Total Debt', 0.3, 0.1, 0.0), (10, 'Operating Cash Flow', -0.8, 0.95, 0.0),
@@ -82,7 +82,7 @@ VIEWS = {
     "universe_facts": """
         SELECT ticker, m.metric, make_date(y, 12, 31) AS period_end, y AS fiscal_year, CASE WHEN y % 3 = 2 AND m.k = 8 THEN 'Q4' ELSE 'FY' END AS fiscal_period,
                CAST(make_date(y + 1, 3, 31) + INTERVAL 1 DAY * CAST(suppkey % 30 + 40 * r.n AS INT) AS DATE) AS filed_date,
-               round((m.a * rev + m.b * net + m.c * qty) * (1 + 0.01 * r.n), 9) AS value
+               (m.a * rev + m.b * net + m.c * qty) * (1 + 0.01 * r.n) / 0.97 AS value
         FROM {year_sums} CROSS JOIN (VALUES (1, 'revenue', 1.0, 0.0, 0.0), (2, 'gross_profit', -0.4, 0.9, 0.0), (3, 'operating_income', -0.7, 0.9, 0.0),
              (4, 'net_income', -0.88, 0.95, 0.0), (5, 'eps_diluted', -0.00088, 0.00095, 0.0), (6, 'shares', 0.0, 0.0, 20.0), (7, 'assets', 2.0, 0.0, 1.0),
              (8, 'equity', 1.5, -0.6, 0.0), (9, 'long_term_debt', 0.3, 0.1, 0.0), (10, 'op_cash_flow', -0.8, 0.95, 0.0), (11, 'capex', 0.01, 0.0, 0.0)) AS m(k, metric, a, b, c)
