@@ -92,11 +92,26 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "at")  # rows without an identifier come last
     keyed = lines.select("h1", "h2", place.alias("place"), _halves(F.col("line"), F.char_length("line")).alias("halves"))
     distinct = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")))
-    halves = cut(distinct.select("h1", "h2", F.explode("halves").alias("key")))
-    shared = all_repeated(halves, "key").select("h1", "h2").distinct()
-    wanted = distinct.join(shared, ["h1", "h2"], "left_semi").select("h1", "h2", "place")
-    # the text of a candidate, read at its first occurrence
-    found = wanted.join(lines.select(F.col("id").alias("l_id"), F.col("at").alias("l_at"), F.col("h1").alias("l_h1"), F.col("h2").alias("l_h2"), "line"), (F.col("h1") == F.col("l_h1")) & (F.col("h2") == F.col("l_h2")) & F.col("place.id").eqNullSafe(F.col("l_id")) & (F.col("place.at") == F.col("l_at")))
+    # the first hash alone stands for a line here: should two lines share it, both are candidates
+    shared = all_repeated(distinct.select("h1", F.explode("halves").alias("key")), "key").select("h1").distinct()
+    wanted = distinct.join(shared, "h1", "left_semi").select("h1", "h2", "place")
+    # the texts of the candidates, each read from its first occurrence's document
+    of_doc = wanted.groupBy(F.col("place.id").alias("w_id")).agg(F.collect_list(F.struct("h1", "h2", "place")).alias("wants"))
+    plain = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), docs[f"`{text_col}`"].cast("string").alias("text"))
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for text, wants in zip(pdf["text"].array, pdf["wants"].array, strict=True):
+                whole = (text or "").split("\n")
+                for w in wants:
+                    at = w["place"]["at"]
+                    # of rows that share an identifier, the one that holds the line
+                    if at < len(whole) and _signed(xxhash.xxh64_intdigest(whole[at].encode(), 42)) == w["h1"]:
+                        rows.append((w["h1"], w["h2"], w["place"], whole[at]))
+            yield pd.DataFrame(rows, columns=["h1", "h2", "place", "line"])
+
+    found = plain.join(of_doc, F.col("id").eqNullSafe(F.col("w_id"))).select("text", "wants").mapInPandas(pick, "h1 long, h2 long, place struct<none: boolean, id: long, at: int>, line string")
     texts = cut(found.groupBy("h1", "h2").agg(F.any_value("place").alias("place"), F.any_value("line").alias("line")))
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
