@@ -39,8 +39,8 @@ VIEWS = {
                CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE n_name END AS sector
         FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
     "prices": """
-        SELECT d.ticker, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice / l_quantity) / 3.7 AS close,
-               round(avg(l_extendedprice / l_quantity), 9) / 3.7 AS adj_close, sum(l_quantity) AS volume
+        SELECT d.ticker, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice / l_quantity) / 3.7193 AS close,
+               round(avg(l_extendedprice / l_quantity), 9) / 3.7193 AS adj_close, sum(l_quantity) AS volume
         FROM {lineitem} JOIN {dim_instrument} d ON l_suppkey = d.suppkey GROUP BY d.ticker, CAST(l_shipdate AS DATE)""",
     "year_sums": """
         SELECT d.ticker, d.suppkey, year(l_shipdate) AS y, round(sum(l_extendedprice), 6) AS rev, round(sum(l_extendedprice * (1 - l_discount)), 6) AS net, sum(l_quantity) AS qty

@@ -114,11 +114,3 @@ QUERIES: dict[str, Query] = {
     "scatter": Query(lambda v: security.scatter(v("factors")), "ticker sector", "value_z momentum_z composite_z", "SELECT * FROM {g_factors_u} WHERE value_z IS NOT NULL AND momentum_z IS NOT NULL"),
     "sector_summary": Query(lambda v: security.sector_summary(v("factors")), "sector n", "avg_composite", "g_sectors"),
 }
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: q.frame for n, q in QUERIES.items()}
-
-
-def oracles() -> dict[str, str]:
-    return {n: s for n, q in QUERIES.items() if (s := q.oracle()) is not None}
