@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPLIT_ROWS, cut, partitions, repeated
 
 #: Bytes of a repeated string, and of the grams whose hashes choose anchors.
-SPAN, GRAM = 200, 48
+SPAN, GRAM = 200, 64
 #: Suffixes in one sorted run at most, and those judged at once.
-RUN_ROWS, JUDGED_ROWS = 32_768, 16_384
+RUN_ROWS, JUDGED_ROWS = 131_072, 16_384
 #: Bytes hashed at once.
 CHUNK = 1 << 18
 
@@ -220,7 +220,7 @@ def repeated_offsets(strings: np.ndarray, prefix: np.ndarray, right: np.ndarray,
 def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """id, start, stop of strings that hold repeated windows, from texts (id, text); they overlap.
 
-    read and texts are the same rows: as they are read, and dealt out by id.
+    read and texts are the same rows: (id, text) as they are read, and (id, packed) dealt out by id.
     """
     spark = texts.sparkSession
     parts, reach = partitions(spark), span - gram
@@ -250,14 +250,14 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
     if hot is not None:
         wanted = wanted.unionByName(hot.select("id", "h", "at", F.lit(True).alias("hot")))
     of_doc = wanted.groupBy(F.col("id").alias("w_id")).agg(F.collect_list(F.struct("h", "at", "hot")).alias("marks"))
-    joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("w_id")), "left").select("id", "text", "marks")
+    joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("w_id")), "left").select("id", "packed", "marks")
     receivers = 4 * parts
 
     def each_mark(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int | None, bytes, int, int, bool]]:
         for pdf in batches:
-            for id_, text, marks in zip(pdf["id"].array, pdf["text"].array, pdf["marks"].array, strict=True):
+            for id_, packed, marks in zip(pdf["id"].array, pdf["packed"].array, pdf["marks"].array, strict=True):
                 if marks is not None and len(marks):
-                    raw = text.encode()
+                    raw = zstandard.decompress(packed)
                     for m in marks:
                         yield id_, raw, m["h"], m["at"], m["hot"]
 
@@ -272,12 +272,12 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
                 b = a
                 while b < len(rows) and to[b] == to[a]:
                     b += 1
-                blob = zstandard.compress(front_code([r[0] for r in rows[a:b]]), 1)
-                out.append((to[a], b - a, blob, *(np.array([r[k] for r in rows[a:b]], np.int64).tobytes() for k in (1, 2, 3, 4))))
+                blob = zstandard.compress(front_code([r[0] for r in rows[a:b]]), 3)
+                out.append((to[a], b - a, blob, zstandard.compress(np.array([r[1:] for r in rows[a:b]], np.int64).T.tobytes(), 3)))
                 a = b
             rows.clear()
             if out:
-                yield pd.DataFrame(out, columns=["receiver", "n", "blob", "ids", "ats", "rights", "lefts"])
+                yield pd.DataFrame(out, columns=["receiver", "n", "blob", "places"])
 
         for id_, raw, h, at, is_hot in each_mark(batches):
             if not is_hot:
@@ -288,12 +288,12 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
         yield from send()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        def run(n: int, blob: bytes, *columns: bytes) -> Iterator[tuple[bytes, int, object]]:
-            values = zip(*(np.frombuffer(c, np.int64).tolist() for c in columns), strict=True)
+        def run(n: int, blob: bytes, places: bytes) -> Iterator[tuple[bytes, int, object]]:
+            values = np.frombuffer(zstandard.decompress(places), np.int64).reshape(4, n).T.tolist()
             for (s, p), v in zip(front_decode(zstandard.decompress(blob), n), values, strict=True):
                 yield s, p, v
 
-        runs = [run(*r) for r in pdf[["n", "blob", "ids", "ats", "rights", "lefts"]].itertuples(index=False, name=None)]
+        runs = [run(*r) for r in pdf[["n", "blob", "places"]].itertuples(index=False, name=None)]
         out: list[pd.DataFrame] = []
         rows: list[bytes] = []
         prefix: list[int] = []
@@ -314,17 +314,17 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
         judge()
         return pd.concat(out) if out else pd.DataFrame({"id": [], "start": [], "stop": []}, dtype="int64")
 
-    found = joined.mapInPandas(sort_out, "receiver int, n int, blob binary, ids binary, ats binary, rights binary, lefts binary").groupBy("receiver").applyInPandas(merge, "id long, start long, stop long")
+    found = joined.mapInPandas(sort_out, "receiver int, n int, blob binary, places binary").repartition(receivers, "receiver").groupBy("receiver").applyInPandas(merge, "id long, start long, stop long")
     if hot is None:
         return found
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for id_, text, marks in zip(pdf["id"].array, pdf["text"].array, pdf["marks"].array, strict=True):
+            for id_, packed, marks in zip(pdf["id"].array, pdf["packed"].array, pdf["marks"].array, strict=True):
                 hot_at = [m["at"] for m in marks if m["hot"]] if marks is not None else []
                 if hot_at:
-                    raw, me = text.encode(), NONE if id_ is None or id_ is pd.NA else int(id_)
+                    raw, me = zstandard.decompress(packed), NONE if id_ is None or id_ is pd.NA else int(id_)
                     starts = {i for at in hot_at for i in range(max(0, at - reach), min(at, len(raw) - span) + 1)}
                     keys = ((i, xxhash.xxh3_64_intdigest(raw[i : i + span])) for i in sorted(starts))
                     rows.extend((me, i, h - (1 << 64) if h >> 63 else h) for i, h in keys)
@@ -348,6 +348,13 @@ DERIVED = 0x5DEECE66D
 NONE = -(1 << 63)
 
 
+def pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, packed): the texts' UTF-8 bytes, compressed."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for pdf in batches:
+        yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "packed": [pack(t.encode()) for t in pdf["text"].array]})
+
+
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """doc_id, n_bytes, spans (array of start and stop, maximal removed runs), kept (binary), for every row of docs.
 
@@ -360,16 +367,17 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     parts = partitions(docs.sparkSession)
     # dealt out by identifier once; both joins below read the same exchange
     read = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
-    texts = read.repartition(parts, "id")
+    # packed by zstandard for the way, as it is the one thing as large as the input
+    texts = read.mapInPandas(pack_texts, "id long, packed binary").repartition(parts, "id")
     spans = repeated_spans(read, texts, span, gram, split_rows).select(F.nullif(F.col("id"), F.lit(NONE)).alias("s_id"), "start", "stop")
     of_doc = spans.groupBy("s_id").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
-    joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("s_id")), "left").select("id", "text", "found")
+    joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("s_id")), "left").select("id", "packed", "found")
 
     def clear(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for text, found in zip(pdf["text"].array, pdf["found"].array, strict=True):
-                raw, runs = text.encode(), []
+            for packed, found in zip(pdf["packed"].array, pdf["found"].array, strict=True):
+                raw, runs = zstandard.decompress(packed), []
                 for a, b in sorted((f["start"], f["stop"]) for f in found) if found is not None else ():
                     b = min(b, len(raw))
                     if runs and a <= runs[-1][1]:
