@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stats import pct_rank, weighted_mean
 from tidemark.operators import dedupe, upsert
 from tidemark.operators.pivot import pivot_last
-from tidemark.plans import gold, insights, marts, registry
+from tidemark.plans import gold, insights, marts, payload_queries, registry
 from tidemark.plans.registry import Query, View
 from tidemark.sources import parse
 
@@ -160,12 +160,12 @@ MARTS = {
     "manifest_violations": Query(lambda v: marts.violations(v("dim_instrument").withColumn("region", F.when(F.col("suppkey") % 9 != 0, "x")), "ticker", ["name", "region", "sector"], {"currency": ["USD", "EUR", "GBP", "GBp"]}, {"ticker": "^(T|\\^)"}), "key rule", "", "SELECT ticker AS key, unnest(list_filter([CASE WHEN suppkey % 9 = 0 THEN 'missing region' END, CASE WHEN sector IS NULL THEN 'missing sector' END, CASE WHEN currency NOT IN ('USD', 'EUR', 'GBP', 'GBp') THEN 'currency not allowed' END], lambda x: x IS NOT NULL)) AS rule FROM {dim_instrument}"),
 }
 
-QUERIES: dict[str, Query] = registry.QUERIES | LOADS | PAYLOADS | STATISTICS | MARTS
+QUERIES: dict[str, Query] = registry.QUERIES | LOADS | PAYLOADS | payload_queries.PAYLOADS | STATISTICS | MARTS
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: q.frame for n, q in QUERIES.items()}
+    return {n: q.frame for n, q in QUERIES.items()} | payload_queries.STREAMS
 
 
 def oracles() -> dict[str, str]:
-    return {n: s for n, q in QUERIES.items() if (s := q.oracle()) is not None}
+    return {n: s for n, q in QUERIES.items() if (s := q.oracle()) is not None} | payload_queries.STREAM_ORACLES
