@@ -7,6 +7,7 @@ sequence with room; a tournament tree over the sequences' remaining capacities f
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -23,6 +24,8 @@ GROUP_DOCS = 4096
 #: Words, and pieces of text between white space, whose ids a worker remembers.
 CACHE_ENTRIES = 300_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: Characters of a word from which it counts as long.
+LONG_WORD = 64
 #: Characters that Python takes for white space and the tokenizer doesn't.
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -30,22 +33,63 @@ _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 class _Remembered(dict):
     """A bounded cache in two generations: a full one becomes the old one, whose entries move up when asked for."""
 
-    def __init__(self, make):
+    def __init__(self, make, make_long):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.make_long, self.old = make, make_long, {}
 
     def __missing__(self, key: str) -> bytes:
+        if len(key) > LONG_WORD:  # rare, and not kept
+            return self.make_long(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(self) >= CACHE_ENTRIES:
             self.old = dict(self)
             self.clear()
-        if len(key) <= 64:
-            self[key] = value
+        self[key] = value
         return value
 
 
+def merges_only(model: dict) -> bool:
+    """Whether a BPE model of the file is one that Merger reads."""
+    plain = ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+    return model["type"] == "BPE" and bool(model["end_of_word_suffix"]) and not any(model.get(k) for k in plain)
+
+
+class Merger:
+    """The file's merges applied to one word: the pair of lowest rank first, of equal ones the leftmost.
+
+    The library does the same, at a cost that new words would dominate here; long words are left to it.
+    """
+
+    def __init__(self, model: dict):
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        # how byte-level vocabularies write a byte: itself if printable, else the next character from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        char = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
+        self.inner, self.last = [vocab[char[b]] for b in range(256)], [vocab[char[b] + end] for b in range(256)]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.rank = {(vocab[a], vocab[b]): rank << 20 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
+
+    def ids(self, word: str) -> bytes:
+        raw, rank, none = word.encode(), self.rank.get, 1 << 60
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        ranks = [rank(p, none) for p in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i, new = ranks.index(best), best & 0xFFFFF
+            ids[i] = new
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((new, ids[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((ids[i - 1], new), none)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokenizer:
     """The ids of a word-level BPE tokenizer file, as little-endian unsigned 32-bit numbers, with remembered words.
 
@@ -69,8 +113,9 @@ class WordTokenizer:
         if steps != ["NFC", "Replace", "Lowercase"] or split["type"] != "Split" or not split["invert"]:
             raise ValueError(f"{path} is not a tokenizer of lower-case words")
         self.words = regex.compile(split["pattern"]["Regex"]).findall
-        self.of_word = _Remembered(self.encode)
-        self.of_chunk = _Remembered(lambda chunk: b"".join(map(self.of_word.__getitem__, self.words(chunk))))
+        self.of_word = _Remembered(Merger(spec["model"]).ids if merges_only(spec["model"]) else self.encode, self.encode)
+        of_chunk = lambda chunk: b"".join(map(self.of_word.__getitem__, self.words(chunk)))
+        self.of_chunk = _Remembered(of_chunk, of_chunk)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
