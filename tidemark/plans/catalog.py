@@ -11,6 +11,7 @@ from tidemark.functions.stats import pct_rank, weighted_mean
 from tidemark.operators import dedupe, upsert
 from tidemark.operators.pivot import pivot_last
 from tidemark.plans import gold, insights, marts, payload_queries, registry
+from tidemark.plans.flags_oracle import FLAGS
 from tidemark.plans.registry import Query, View
 from tidemark.sources import parse
 
@@ -138,7 +139,7 @@ STATISTICS = {
 }
 
 MARTS = {
-    "insight_flags": Query(lambda v: insights.by_severity(_flags(v)), "severity rule category text"),
+    "insight_flags": Query(lambda v: insights.by_severity(_flags(v)), "severity rule category text", "", FLAGS),
     "extremes": Query(lambda v: insights.extremes(v("series")), "series_id obs_date", "primary_zscore", "SELECT * FROM (SELECT * FROM {g_series} WHERE primary_zscore IS NOT NULL QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) = 1) ORDER BY round(abs(primary_zscore), 9) DESC, series_id LIMIT 10"),
     "latest_z": Query(lambda v: insights.latest_z(v("series")), "series_id obs_date", "primary_value primary_zscore", "SELECT * FROM {g_series} WHERE primary_zscore IS NOT NULL QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) = 1"),
     "coverage": Query(lambda v: marts.coverage({"series": (v("series_obs"), "obs_date"), "prices": (v("prices"), "price_date"), "positions": (v("cot"), "report_date")}), "source first_date last_date n_rows", "", "SELECT 'series' AS source, min(obs_date) AS first_date, max(obs_date) AS last_date, count(*) AS n_rows FROM {series_obs} UNION ALL SELECT 'prices', min(price_date), max(price_date), count(*) FROM {prices} UNION ALL SELECT 'positions', min(report_date), max(report_date), count(*) FROM {cot}"),
