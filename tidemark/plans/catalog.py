@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import pct_rank, weighted_mean
@@ -58,7 +58,7 @@ def _expiries(v: View) -> DataFrame:
     return v("option_chain").withColumn("today", F.make_date("capture", F.lit(1), F.lit(1))).select("ticker_id", "capture", "expiry", "today").distinct()
 
 
-def _guid() -> F.Column:
+def _guid() -> Column:
     n = F.col("page_id")
     return F.when(n % 3 == 0, F.lit("  ")).when(n % 3 == 1, F.concat(F.lit(" g"), n.cast("string")))
 
@@ -139,7 +139,7 @@ STATISTICS = {
 }
 
 MARTS = {
-    "insight_flags": Query(lambda v: insights.by_severity(_flags(v)), "severity rule category text", "", FLAGS),
+    "insight_flags": Query(lambda v: insights.by_severity(_flags(v)), "severity rule category text", "", FLAGS, many=True),
     "extremes": Query(lambda v: insights.extremes(v("series")), "series_id obs_date", "primary_zscore", "SELECT * FROM (SELECT * FROM {g_series} WHERE primary_zscore IS NOT NULL QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) = 1) ORDER BY round(abs(primary_zscore), 9) DESC, series_id LIMIT 10"),
     "latest_z": Query(lambda v: insights.latest_z(v("series")), "series_id obs_date", "primary_value primary_zscore", "SELECT * FROM {g_series} WHERE primary_zscore IS NOT NULL QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) = 1"),
     "coverage": Query(lambda v: marts.coverage({"series": (v("series_obs"), "obs_date"), "prices": (v("prices"), "price_date"), "positions": (v("cot"), "report_date")}), "source first_date last_date n_rows", "", "SELECT 'series' AS source, min(obs_date) AS first_date, max(obs_date) AS last_date, count(*) AS n_rows FROM {series_obs} UNION ALL SELECT 'prices', min(price_date), max(price_date), count(*) FROM {prices} UNION ALL SELECT 'positions', min(report_date), max(report_date), count(*) FROM {cot}"),

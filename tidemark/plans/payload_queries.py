@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import marts
@@ -32,7 +32,7 @@ def _facts_payloads(v: View) -> DataFrame:
     x = v("year_sums").select("ticker", "suppkey", F.struct(F.concat(F.col("y").cast("string"), F.lit("-12-31")).alias("end"), F.col("rev").alias("val"), F.col("y").alias("fy"), F.lit("FY").alias("fp"), F.when(F.col("y") % 4 == 0, "8-K").otherwise("10-K").alias("form"), F.concat((F.col("y") + 1).cast("string"), F.lit("-02-01")).alias("filed")).alias("r"), F.col("y"))
     g = x.groupBy("ticker", "suppkey").agg(F.collect_list("r").alias("all"), F.collect_list(F.when(F.col("y") == 1997, F.col("r"))).alias("one"))
 
-    def tag(name: str, rows: str) -> F.Column:
+    def tag(name: str, rows: str) -> Column:
         return F.create_map(F.lit(name), F.struct(F.create_map(F.lit("USD"), F.col(rows)).alias("units")))
 
     second = tag("RevenueFromContractWithCustomerExcludingAssessedTax", "all")

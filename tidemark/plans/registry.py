@@ -24,16 +24,20 @@ class Query:
     doubles: str = ""
     sql: str | None = None
     digits: int = 6
+    many: bool = False  # whether run itself reads a gold table more than once
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        cache: dict[str, DataFrame] = {}
+        kept: dict[str, DataFrame] = {}
 
-        def view(name: str) -> DataFrame:
-            if name not in cache:
-                cache[name] = GOLD[name](view) if name in GOLD else fixtures.view(spark, sf_dir, name)
-            return cache[name]
+        def view(name: str, held: bool = True) -> DataFrame:
+            """A relation. Gold tables that others are built from are held, as a saved table would be: they are read
+            several times in one query, and Spark finds them again by their plan in the next one."""
+            if name not in kept:
+                df = GOLD[name](view) if name in GOLD else fixtures.view(spark, sf_dir, name)
+                kept[name] = df.persist() if held and name in SHARED else df
+            return kept[name]
 
-        out = self.run(view)
+        out = self.run(view if self.many else lambda name: view(name, held=False))
         return out.select(*[F.col(f"`{c}`") for c in self.plain.split()], *[(F.round(F.col(c).cast("double"), self.digits) + F.lit(0.0)).alias(c) for c in self.doubles.split()])
 
     def oracle(self) -> str | None:
@@ -74,6 +78,10 @@ GOLD: dict[str, Callable[[View], DataFrame]] = {
 }
 
 
+#: Gold tables that several others read.
+SHARED = {"series", "fx", "vol", "equity", "strength", "funds", "value", "scores", "stories", "positions", "skews", "security", "factors", "regimes"}
+
+
 def _stamp(df: DataFrame, *names: str) -> DataFrame:
     """Timestamps as text, so that both engines print them alike."""
     return df.withColumns({n: F.date_format(n, "yyyy-MM-dd HH:mm:ss") for n in names})
@@ -110,7 +118,7 @@ QUERIES: dict[str, Query] = {
     "security_metrics": Query(lambda v: v("security"), "ticker asof_date sector", f"{_SECURITY} market_cap", "g_security", digits=4),
     "security_factors": Query(lambda v: v("factors"), "ticker asof_date sector", _FACTOR_COLS, "g_factors_u"),
     "security_factors_sector_neutral": Query(lambda v: security.security_factors(v("security"), sector_neutral=True), "ticker asof_date sector", _FACTOR_COLS, "g_factors_n"),
-    "screens": Query(lambda v: security.screens(v("factors"), v("security")), "screen rank ticker sector", "score earnings_yield market_cap pe ret_12_1m", "g_screens", digits=4),
+    "screens": Query(lambda v: security.screens(v("factors"), v("security")), "screen rank ticker sector", "score earnings_yield market_cap pe ret_12_1m", "g_screens", digits=4, many=True),
     "scatter": Query(lambda v: security.scatter(v("factors")), "ticker sector", "value_z momentum_z composite_z", "SELECT * FROM {g_factors_u} WHERE value_z IS NOT NULL AND momentum_z IS NOT NULL"),
     "sector_summary": Query(lambda v: security.sector_summary(v("factors")), "sector n", "avg_composite", "g_sectors"),
 }
