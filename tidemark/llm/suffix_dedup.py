@@ -282,7 +282,8 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
         for id_, raw, h, at, is_hot in each_mark(batches):
             if not is_hot:
                 r, b = raw[at : at + span], raw[max(0, at - reach) : at][::-1]
-                rows.append(((h & (1 << 64) - 1).to_bytes(8, "big") + r.ljust(span, b"\0") + b.ljust(reach, b"\0"), NONE if id_ is None or id_ is pd.NA else int(id_), at, len(r), len(b)))
+                # anchors have the smallest hashes of their windows, so these are mixed anew to spread over the receivers
+                rows.append((((h * SPREAD) & (1 << 64) - 1).to_bytes(8, "big") + r.ljust(span, b"\0") + b.ljust(reach, b"\0"), NONE if id_ is None or id_ is pd.NA else int(id_), at, len(r), len(b)))
                 if len(rows) >= RUN_ROWS:
                     yield from send()
         yield from send()
@@ -342,6 +343,8 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
     return found.unionByName(both.select("id", "start", (F.col("start") + span).alias("stop")))
 
 
+#: An odd factor: another hash of a hash, one to one.
+SPREAD = 0xC2B2AE3D27D4EB4F
 #: Makes another key of a key, with the same equalities.
 DERIVED = 0x5DEECE66D
 #: Stands for a missing identifier inside runs.
