@@ -21,8 +21,8 @@ from tidemark.llm.common import partitions
 
 #: Mean number of documents in a packing group.
 GROUP_DOCS = 4096
-#: Words, and pieces of text between white space, whose ids a worker remembers.
-CACHE_ENTRIES = 300_000
+#: Words, and pieces of text between white space, whose ids a worker remembers in each of two generations.
+WORD_ENTRIES, CHUNK_ENTRIES = 700_000, 300_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Characters of a word from which it counts as long.
 LONG_WORD = 64
@@ -33,9 +33,9 @@ _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 class _Remembered(dict):
     """A bounded cache in two generations: a full one becomes the old one, whose entries move up when asked for."""
 
-    def __init__(self, make, make_long):
+    def __init__(self, make, make_long, entries: int):
         super().__init__()
-        self.make, self.make_long, self.old = make, make_long, {}
+        self.make, self.make_long, self.entries, self.old = make, make_long, entries, {}
 
     def __missing__(self, key: str) -> bytes:
         if len(key) > LONG_WORD:  # rare, and not kept
@@ -43,7 +43,7 @@ class _Remembered(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -113,13 +113,20 @@ class WordTokenizer:
         if steps != ["NFC", "Replace", "Lowercase"] or split["type"] != "Split" or not split["invert"]:
             raise ValueError(f"{path} is not a tokenizer of lower-case words")
         self.words = regex.compile(split["pattern"]["Regex"]).findall
-        self.of_word = _Remembered(Merger(spec["model"]).ids if merges_only(spec["model"]) else self.encode, self.encode)
-        of_chunk = lambda chunk: b"".join(map(self.of_word.__getitem__, self.words(chunk)))
-        self.of_chunk = _Remembered(of_chunk, of_chunk)
+        self.of_word = _Remembered(Merger(spec["model"]).ids if merges_only(spec["model"]) else self.encode, self.encode, WORD_ENTRIES)
+        self.of_chunk = _Remembered(self.chunk, self.chunk, CHUNK_ENTRIES)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def chunk(self, chunk: str) -> bytes:
+        """The ids of a piece of text without white space; most are a word, or a word and a mark."""
+        if chunk.isalpha():
+            return self.of_word[chunk]
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return self.of_word[chunk[:-1]] + self.of_word[chunk[-1]]
+        return b"".join(map(self.of_word.__getitem__, self.words(chunk)))
+
     def normal(self, text: str) -> str:
         if text.isascii():
             return text.lower()
