@@ -23,9 +23,11 @@ from tidemark.llm.common import cut, partitions
 #: Vectors at most that centroids are fitted on: those of smallest hash of the identifier.
 SAMPLE_ROWS = 16_384
 #: Mean vectors in a list, and lists at most (a list needs some sampled vectors).
-LIST_ROWS, MOST_LISTS = 256, 1024
-#: Vectors and queries at most in one block of a list.
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
+LIST_ROWS, MOST_LISTS = 1024, 1024
+#: Vectors and queries at most in one block of a list; smaller lists share a block of about as many.
+BLOCK_ROWS, BLOCK_QUERIES = 16_384, 8192
+#: Queries that are scored at once.
+BATCH = 64
 #: A vector also joins lists up to this much farther than its nearest, REPLICAS in all at most.
 CLOSURE, REPLICAS = 1.08, 3
 #: A query reads the lists whose centroid's distance is at most this many times its nearest one's.
@@ -105,6 +107,41 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return plain.where(good)
 
 
+NOTHING = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+
+
+def cut_to_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k rows of largest score for each query, each vector once; ties to the smaller vec_id."""
+    q, v, s = (found[c].to_numpy() for c in ("query_id", "vec_id", "score"))
+    order = np.lexsort((-s, v, q))
+    first = np.ones(len(order), bool)
+    first[1:] = (q[order][1:] != q[order][:-1]) | (v[order][1:] != v[order][:-1])
+    keep = order[first]
+    keep = keep[np.lexsort((v[keep], -s[keep], q[keep]))]
+    starts = np.flatnonzero(np.diff(q[keep], prepend=q[keep][0] - 1)) if len(keep) else np.zeros(0, int)
+    place = np.arange(len(keep)) - np.repeat(starts, np.diff(np.append(starts, len(keep))))
+    keep = keep[place < k]
+    return pd.DataFrame({"query_id": q[keep], "vec_id": v[keep], "score": s[keep]})
+
+
+def best_of(part: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best candidates of one list for each of its queries, by matrix products in batches of queries."""
+    asks, ids, v = part["q"].to_numpy(bool), part["vec_id"].to_numpy(np.int64), np.stack(part["vec"].array)
+    qi, qv, ci, cv = ids[asks], v[asks], ids[~asks], v[~asks]
+    if not len(qi) or not len(ci):
+        return NOTHING
+    out = []
+    for at in range(0, len(qi), BATCH):
+        rough = qv[at : at + BATCH] @ cv.T
+        rough[qi[at : at + BATCH, None] == ci[None, :]] = -np.inf
+        bar = np.partition(rough, len(ci) - k, axis=1)[:, len(ci) - k] if len(ci) > k else np.full(len(rough), -np.inf)
+        # a little below the bar, as products may differ in their last digit by the order of sums
+        row, col = np.nonzero((rough >= (bar - 1e-9 * np.maximum(1.0, np.abs(bar)))[:, None]) & (rough > -np.inf)) if len(ci) > k else np.nonzero(rough > -np.inf)
+        exact = (cv[col] * qv[at + row]).sum(axis=1)  # the same order of sums whatever the block
+        out.append(cut_to_best(pd.DataFrame({"query_id": qi[at + row], "vec_id": ci[col], "score": exact}), k))
+    return pd.concat(out)
+
+
 def search(
     vectors: DataFrame,
     is_query: str,
@@ -175,29 +212,15 @@ def search(
     mine = F.pmod(F.xxhash64("vec_id"), F.when(F.col("q"), F.col("bq")).otherwise(F.col("bv")))
     other = F.explode(F.sequence(F.lit(0), F.when(F.col("q"), F.col("bv")).otherwise(F.col("bq")) - 1))
     cells = cells.withColumn("own", mine).withColumn("across", other)
-    cells = cells.select(F.concat_ws("/", "list", F.when(F.col("q"), F.col("across")).otherwise(F.col("own")), F.when(F.col("q"), F.col("own")).otherwise(F.col("across"))).alias("cell"), "vec_id", "vec", "q")
+    blocks = max(1, -(-n // BLOCK_ROWS))
+    split = F.concat_ws("/", "list", F.when(F.col("q"), F.col("across")).otherwise(F.col("own")), F.when(F.col("q"), F.col("own")).otherwise(F.col("across")))
+    whole = (F.col("bv") == 1) & (F.col("bq") == 1)
+    cells = cells.select(F.when(whole, F.concat(F.lit("-"), (F.col("list") % blocks).cast("string"))).otherwise(split).alias("cell"), "list", "vec_id", "vec", "q")
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        asks = pdf["q"].to_numpy(bool)
-        ids = pdf["vec_id"].to_numpy(np.int64)
-        v = np.stack(pdf["vec"].array)
-        qi, qv, ci, cv = ids[asks], v[asks], ids[~asks], v[~asks]
-        out = []
-        if len(qi) and len(ci):
-            for at in range(0, len(qi), 256):
-                rough = qv[at : at + 256] @ cv.T
-                for a in range(len(rough)):
-                    r = np.where(ci == qi[at + a], -np.inf, rough[a])
-                    if len(r) > k:
-                        bar = np.partition(r, len(r) - k)[len(r) - k]
-                        pick = np.flatnonzero(r >= bar - 1e-9 * max(1.0, abs(bar)))
-                    else:
-                        pick = np.arange(len(r))
-                    pick = pick[ci[pick] != qi[at + a]]
-                    exact = (cv[pick] * qv[at + a]).sum(axis=1)  # the same order of sums whatever the block
-                    best = np.lexsort((ci[pick], -exact))[:k]
-                    out.append(pd.DataFrame({"query_id": qi[at + a], "vec_id": ci[pick][best], "score": exact[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        """The k best of the cell's candidates for each of its queries, each query against the lists that it reads."""
+        out = [best_of(part, k) for _, part in pdf.groupby("list", sort=True)]
+        return cut_to_best(pd.concat(out), k) if out else NOTHING
 
     found = cells.groupBy("cell").applyInPandas(score, "query_id long, vec_id long, score double")
     # replicas meet here: k rows of each list read, and of those one for each vector
