@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import all_repeated, cut, fresh
 
-#: Lines of fewer characters are structure (blank lines, headings, marks): they stay, and nothing is compared with them.
+#: Lines of fewer characters go only as exact repeats: one edit makes another word or number of them.
 MIN_CHARS = 20
+#: A line of nothing else is blank: structure, which stays.
+BLANK = " \t\v\f\r"
 SEGMENTS = 8
 
 
@@ -83,14 +85,15 @@ def variants(line: str, slots: list[int]) -> list[tuple[int, str]]:
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, at (line number from 0), line, h1 and h2 (its hash) of every line that is compared."""
     split = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.posexplode(F.split(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")), "\n", -1)).alias("at", "line"))
-    return split.where(F.char_length("line") >= MIN_CHARS).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
+    return split.where(F.btrim("line", F.lit(BLANK)) != "").withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, at) of the compared lines that stay: first occurrences without an earlier line within one edit."""
     lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("id").isNull().alias("none"), "id", "at")  # rows without an identifier come last
-    keyed = lines.select("h1", "h2", place.alias("place"), _halves(F.col("line"), F.char_length("line")).alias("halves"))
+    n = F.char_length("line")
+    keyed = lines.select("h1", "h2", place.alias("place"), F.when(n >= MIN_CHARS, _halves(F.col("line"), n)).alias("halves"))
     distinct = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")))
     # the first hash alone stands for a line here: should two lines share it, both are candidates
     shared = all_repeated(distinct.select("h1", F.explode("halves").alias("key")), "key").select("h1").distinct()
@@ -151,8 +154,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Every row of docs, its text without the lines that go, with n_lines and n_dropped.
 
     Lines are split at newlines and compared as they are. Of equal lines the earliest (by identifier, then line number)
-    stays; a line with an earlier line within one edit goes as well, everywhere. Lines of fewer than MIN_CHARS
-    characters stay. A null text stays null and has no lines; an empty one has one. Rows without an identifier come
+    stays; a line with an earlier line within one edit goes as well, everywhere, if both have MIN_CHARS characters at
+    least. Blank lines stay. A null text stays null and has no lines; an empty one has one. Rows without an identifier come
     after all others and, like rows with the same identifier, share the decisions on each line number. An empty table
     gives an empty result. Columns of docs called n_lines or n_dropped give way to the results.
     """
@@ -168,7 +171,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 out.append((None, 0, 0))
                 continue
             whole, hold = text.split("\n"), set(lines if lines is not None else ())
-            left = [x for i, x in enumerate(whole) if len(x) < MIN_CHARS or i in hold]
+            left = [x for i, x in enumerate(whole) if i in hold or not x.strip(BLANK)]
             out.append(("\n".join(left), len(whole), len(whole) - len(left)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
@@ -194,10 +197,11 @@ def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, list[str]]:
     first: dict[str, tuple[int, int]] = {}
     for doc, text in sorted(docs):
         for at, line in enumerate((text or "").split("\n")):
-            if len(line) >= MIN_CHARS:
+            if line.strip(BLANK):
                 first.setdefault(line, (doc, at))
-    gone = {a for a in first if any(first[b] < first[a] and near(a, b) for b in first if b != a)}
+    whole = [x for x in first if len(x) >= MIN_CHARS]
+    gone = {a for a in whole if any(first[b] < first[a] and near(a, b) for b in whole if b != a)}
     out = {}
     for doc, text in docs:
-        out[doc] = [x for i, x in enumerate((text or "").split("\n")) if len(x) < MIN_CHARS or (first[x] == (doc, i) and x not in gone)]
+        out[doc] = [x for i, x in enumerate((text or "").split("\n")) if not x.strip(BLANK) or (first[x] == (doc, i) and x not in gone)]
     return out
