@@ -125,6 +125,7 @@ PAYLOADS = {
     "names_like": Query(lambda v: parse.names_like(v("supplier"), "s_name", "r#00%").unionByName(parse.names_like(v("nation"), "n_name", "n_1").withColumnRenamed("n_name", "s_name")), "s_name", "", "SELECT DISTINCT n_name AS s_name FROM {nation} WHERE contains(upper(n_name), 'N_1') UNION ALL SELECT DISTINCT s_name FROM {supplier} WHERE contains(upper(s_name), 'R#00%')"),
     "story_ids": Query(lambda v: v("pages").select("page_id", parse.item_id(_guid(), F.col("url")).alias("item_id")), "page_id item_id", "", "SELECT page_id, CASE WHEN page_id % 3 = 1 THEN 'g' || page_id ELSE 'link:' || sha1(trim(url)) END AS item_id FROM {pages}"),
     "clean_text": Query(lambda v: v("documents").select("doc_id", parse.clean(F.concat(F.lit(" &lt;b&gt; "), F.substring("text", 1, 200), F.lit(" &amp;lt; "))).alias("text")), "doc_id text", "", "SELECT doc_id, trim(replace(replace(replace(replace(' &lt;b&gt; ' || substr(text, 1, 200) || ' &amp;lt; ', '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')) AS text FROM {documents}"),
+    "clean_text_whole": Query(lambda v: v("documents").select("doc_id", parse.clean(F.concat(F.lit(" &lt;b&gt; "), "text", F.lit(" &amp;lt; "))).alias("text")), "doc_id text", "", "SELECT doc_id, trim(replace(replace(replace(replace(' &lt;b&gt; ' || text || ' &amp;lt; ', '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')) AS text FROM {documents}"),
     "skew_measures": Query(lambda v: parse.skew_measures(v("option_chain"), ["ticker_id", "capture"]), "ticker_id capture", "spot put_iv atm_iv call_iv put_skew risk_reversal", f"SELECT *, put_iv - atm_iv AS put_skew, put_iv - call_iv AS risk_reversal FROM (SELECT ticker_id, capture, max(spot) AS spot, {_SMILE} FROM (SELECT *, strike / spot AS m FROM {{option_chain}} WHERE strike > 0 AND iv > 0) GROUP BY 1, 2)"),
     "nearest_expiry": Query(lambda v: parse.nearest_expiry(_expiries(v), ["ticker_id", "capture"], "expiry", "today"), "ticker_id capture expiry dte", "", "SELECT DISTINCT ticker_id, capture, expiry, expiry - make_date(capture, 1, 1) AS dte FROM {option_chain} WHERE expiry > make_date(capture, 1, 1) QUALIFY dense_rank() OVER (PARTITION BY ticker_id, capture ORDER BY abs(expiry - make_date(capture, 1, 1) - 30), expiry) = 1"),
     "statements_long": Query(lambda v: parse.unpivot_statements(_wide_years(v), ["ticker"], ["1996-12-31", "1997-12-31"]), "ticker period_end available_from", "value", "SELECT ticker, make_date(y, 12, 31) AS period_end, make_date(y, 12, 31) + 90 AS available_from, max(rev) AS value FROM {year_sums} WHERE y IN (1996, 1997) GROUP BY ALL"),

@@ -52,17 +52,22 @@ def _price_rows(v: View) -> DataFrame:
     return v("prices").select("ticker", F.when(F.col("volume") % 9 == 0, "soon").otherwise(F.col("price_date").cast("string")).alias("Date"), c.alias("Open"), c.alias("High"), c.alias("Low"), F.when(F.col("volume") % 7 == 0, "").otherwise(c).alias("Close"), F.col("volume").cast("string").alias("Volume"))
 
 
-def _feed_rows(v: View) -> DataFrame:
+def _feed_rows(v: View, title: str = "substring(text, 1, 40)") -> DataFrame:
     d = F.col("doc_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (d % 300).cast("int"))
     published = F.when(d % 5 == 0, "yesterday").when(d % 5 == 1, F.concat(day.cast("string"), F.lit("T08:30:00Z"))).otherwise(F.concat(F.lit("Mon, "), F.date_format(day, "dd MMM yyyy"), F.lit(" 08:30:00 GMT")))
-    return v("documents").select(F.when(d % 2 == 0, F.concat(F.lit(" id"), d.cast("string"), F.lit(" "))).alias("guid"), F.when(d % 10 != 7, F.concat(F.lit("https://example.com/"), d.cast("string"))).alias("link"), F.substring("text", 1, 40).alias("title"), F.lit("a &amp; b").alias("description"), published.alias("published"))
+    return v("documents").select(F.when(d % 2 == 0, F.concat(F.lit(" id"), d.cast("string"), F.lit(" "))).alias("guid"), F.when(d % 10 != 7, F.concat(F.lit("https://example.com/"), d.cast("string"))).alias("link"), F.expr(title).alias("title"), F.lit("a &amp; b").alias("description"), published.alias("published"))
 
 
 def _stories(v: View) -> DataFrame:
     return parse.feed_items(_feed_rows(v)).select("item_id", "summary", "link", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"))
 
 
+def _titles(v: View) -> DataFrame:
+    """Whole texts as titles, with references in them."""
+    return parse.feed_items(_feed_rows(v, "concat(' &eacute;&#8217; ', text)")).select("item_id", "title")
+
+
 def _constituents(v: View) -> DataFrame:
     rows = v("supplier").select(F.when(F.col("s_suppkey") % 10 == 0, "  ").when(F.col("s_suppkey") % 10 == 1, "nan").otherwise(F.concat(F.lit(" brk."), F.col("s_suppkey").cast("string"))).alias("Symbol"), F.col("s_name").alias("Security"), F.when(F.col("s_suppkey") % 4 != 0, F.col("s_suppkey").cast("string")).otherwise(F.lit(" ")).alias("CIK"))
     return parse.constituents(rows, {"ticker": ["ticker", "symbol"], "name": ["company", "security"], "sector": ["sector", "gics sector"], "cik": ["cik"]})
@@ -87,6 +92,7 @@ PAYLOADS = {
     "company_facts": Query(_company_facts, "ticker metric xbrl_tag period_end fiscal_year filed_date form", "value", "SELECT ticker, metric, xbrl_tag, make_date(y, 12, 31) AS period_end, CAST(y AS INT) AS fiscal_year, make_date(y + 1, 2, 1) AS filed_date, '10-K' AS form, rev AS value FROM (SELECT *, 'net_income' AS metric, 'NetIncomeLoss' AS xbrl_tag FROM {year_sums} UNION ALL SELECT *, 'revenue', CASE WHEN suppkey % 3 = 0 THEN 'Revenues' ELSE 'RevenueFromContractWithCustomerExcludingAssessedTax' END FROM {year_sums} WHERE suppkey % 3 <> 0 OR y = 1997) WHERE y % 4 <> 0"),
     "daily_prices_parsed": Query(lambda v: parse.daily_prices(_price_rows(v)), "ticker date", "close volume", "SELECT ticker, price_date AS date, close, volume FROM {prices} WHERE volume % 9 <> 0 AND volume % 7 <> 0"),
     "feed_items": Query(_stories, "item_id summary link published_at", "", "SELECT CASE WHEN doc_id % 2 = 0 THEN 'id' || doc_id ELSE 'link:' || sha1('https://example.com/' || doc_id) END AS item_id, 'a & b' AS summary, CASE WHEN doc_id % 10 <> 7 THEN 'https://example.com/' || doc_id END AS link, CASE WHEN doc_id % 5 <> 0 THEN CAST(DATE '2024-01-01' + CAST(doc_id % 300 AS INT) AS STRING) || ' 08:30:00' END AS published_at FROM {documents} WHERE doc_id % 10 <> 7"),
+    "feed_titles": Query(_titles, "item_id title", "", "SELECT CASE WHEN doc_id % 2 = 0 THEN 'id' || doc_id ELSE 'link:' || sha1('https://example.com/' || doc_id) END AS item_id, rtrim('é’ ' || coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS title FROM {documents} WHERE doc_id % 10 <> 7 AND text IS NOT NULL UNION ALL SELECT CASE WHEN doc_id % 2 = 0 THEN 'id' || doc_id ELSE 'link:' || sha1('https://example.com/' || doc_id) END, NULL FROM {documents} WHERE doc_id % 10 <> 7 AND text IS NULL"),
     "constituents": Query(_constituents, "ticker name sector cik", "", "SELECT 'BRK-' || s_suppkey AS ticker, s_name AS name, CAST(NULL AS STRING) AS sector, CASE WHEN s_suppkey % 4 <> 0 THEN lpad(CAST(s_suppkey AS STRING), 10, '0') END AS cik FROM {supplier} WHERE s_suppkey % 10 NOT IN (0, 1)"),
     "manifest_rows": Query(_manifest, "group ticker currency", "", "SELECT \"group\", ticker, CASE WHEN suppkey % 6 <> 0 THEN currency ELSE 'USD' END AS currency FROM {dim_instrument}"),
     "wide_prices_long": Query(_wide_prices, "ticker date", "open close", "SELECT ticker, price_date AS date, adj_close AS open, close FROM {prices} WHERE ticker IN ('T4', 'T9')"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,11 +25,13 @@ MONEYNESS = {"put": 0.90, "atm": 1.00, "call": 1.10}
 
 
 def clean(c: Column) -> Column:
-    """Entities decoded (the named ones in common use, and numbers), trimmed; empty becomes null."""
-    x = c
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(name), F.lit(char))
-    return F.nullif(F.trim(x), F.lit(""))
+    """All references decoded once, named and numeric, then trimmed of white space; empty becomes null."""
+
+    @F.arrow_udf("string")
+    def decoded(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else html.unescape(t).strip() or None for t in texts.to_pylist()], pa.string())
+
+    return decoded(c)
 
 
 def observations(payloads: DataFrame, key: str, body: str) -> DataFrame:
