@@ -30,6 +30,10 @@ def _incoming(v: View) -> DataFrame:
     return v("event_batches").where("batch = 'incoming' AND user_id % 3 <> 0").select("user_id", "event_type", "day", "value", F.col("event_id").alias("ord"))
 
 
+def _all_incoming(v: View) -> DataFrame:
+    return v("event_batches").where("batch = 'incoming'").select("user_id", "event_type", "day", "value", F.col("event_id").alias("ord"))
+
+
 def _status(v: View) -> DataFrame:
     """One status row for each series: rows, and whether the run found any."""
     x = v("dim_series").join(v("series_obs").groupBy("series_id").agg(F.count("value").alias("n_rows")), "series_id", "left")
@@ -54,6 +58,12 @@ def _wide_years(v: View) -> DataFrame:
     return wide.withColumnsRenamed({"1996": "1996-12-31", "1997": "1997-12-31"})
 
 
+def _wide_all_years(v: View) -> DataFrame:
+    """A column for each year that the orders cover; the calendar, not the data, bounds them."""
+    wide = v("year_sums").groupBy("ticker").pivot("y", list(YEARS)).agg(F.max("rev"))
+    return wide.withColumnsRenamed({str(y): f"{y}-12-31" for y in YEARS})
+
+
 def _expiries(v: View) -> DataFrame:
     return v("option_chain").withColumn("today", F.make_date("capture", F.lit(1), F.lit(1))).select("ticker_id", "capture", "expiry", "today").distinct()
 
@@ -70,6 +80,10 @@ def _latest_valued(v: View) -> DataFrame:
 
 _STORED = "SELECT user_id, event_type, max(day) AS day, round(sum(value), 6) AS value, max(event_id) AS ord FROM {event_batches} WHERE batch = 'stored' GROUP BY ALL"
 _INCOMING = "SELECT user_id, event_type, day, value, event_id AS ord FROM {event_batches} WHERE batch = 'incoming' AND user_id % 3 <> 0"
+_ALL_INCOMING = "SELECT user_id, event_type, day, value, event_id AS ord FROM {event_batches} WHERE batch = 'incoming'"
+_ALL_LAST = f"SELECT * FROM ({_ALL_INCOMING}) QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ord DESC) = 1"
+#: Years of the statements' columns.
+YEARS = range(1990, 2031)
 _LAST = f"SELECT * FROM ({_INCOMING}) QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ord DESC) = 1"
 _FILED = "QUALIFY row_number() OVER (PARTITION BY ticker, metric, period_end ORDER BY filed_date DESC NULLS LAST, value DESC) = 1"
 _TYPES = ("click", "view", "purchase")
@@ -104,6 +118,11 @@ LOADS = {
     "replace_by_key_empty_clears": Query(lambda v: upsert.replace_by_key(_stored(v), _incoming(v), ["user_id"], v("event_batches").where("batch = 'incoming'").select("user_id").distinct()), "user_id event_type day ord", "value", f"SELECT * FROM ({_STORED}) WHERE user_id NOT IN (SELECT user_id FROM {{event_batches}} WHERE batch = 'incoming') UNION ALL SELECT * FROM ({_INCOMING})"),
     "upsert_rows": Query(lambda v: upsert.upsert(_stored(v), _incoming(v), ["user_id", "event_type"], "ord")[0], "user_id event_type day ord", "value", f"SELECT s.* FROM ({_STORED}) s ANTI JOIN ({_LAST}) l ON l.user_id = s.user_id AND l.event_type = s.event_type UNION ALL SELECT * FROM ({_LAST})"),
     "upsert_counts": Query(lambda v: upsert.upsert(_stored(v), _incoming(v), ["user_id", "event_type"], "ord")[1], "n_seen n_new", "", f"SELECT count(*) AS n_seen, count(*) FILTER (s.ord IS NULL) AS n_new FROM ({_LAST}) l LEFT JOIN ({_STORED}) s ON l.user_id = s.user_id AND l.event_type = s.event_type"),
+    "replace_by_key_whole": Query(lambda v: upsert.replace_by_key(_stored(v), _all_incoming(v), ["user_id"]), "user_id event_type day ord", "value", f"SELECT * FROM ({_STORED}) WHERE user_id NOT IN (SELECT user_id FROM ({_ALL_INCOMING})) UNION ALL SELECT * FROM ({_ALL_INCOMING})"),
+    "replace_by_key_empty_clears_whole": Query(lambda v: upsert.replace_by_key(_stored(v), _all_incoming(v), ["user_id"], v("event_batches").select("user_id").distinct()), "user_id event_type day ord", "value", _ALL_INCOMING),
+    "upsert_rows_whole": Query(lambda v: upsert.upsert(_stored(v), _all_incoming(v), ["user_id", "event_type"], "ord")[0], "user_id event_type day ord", "value", f"SELECT s.* FROM ({_STORED}) s ANTI JOIN ({_ALL_LAST}) l ON l.user_id = s.user_id AND l.event_type = s.event_type UNION ALL SELECT * FROM ({_ALL_LAST})"),
+    "upsert_counts_whole": Query(lambda v: upsert.upsert(_stored(v), _all_incoming(v), ["user_id", "event_type"], "ord")[1], "n_seen n_new", "", f"SELECT count(*) AS n_seen, count(*) FILTER (s.ord IS NULL) AS n_new FROM ({_ALL_LAST}) l LEFT JOIN ({_STORED}) s ON l.user_id = s.user_id AND l.event_type = s.event_type"),
+    "since_high_water_whole": Query(lambda v: upsert.since_high_water(v("event_batches"), v("event_batches").where("batch = 'stored'"), "user_id", "day", "2024-01-10"), "event_id user_id event_type day", "value", "SELECT e.* FROM {event_batches} e LEFT JOIN (SELECT user_id AS u, max(day) AS hwm FROM {event_batches} WHERE batch = 'stored' GROUP BY 1) ON u = user_id WHERE day > coalesce(hwm, DATE '2024-01-10')"),
     "restatement_upsert": Query(lambda v: upsert.latest_filed_upsert(dedupe.latest_filed_wins(_facts(v, "fiscal_year < 1998"), ["ticker", "metric", "period_end"], "filed_date", "value"), _facts(v, "fiscal_year >= 1997"), ["ticker", "metric", "period_end"], "filed_date", "value"), "ticker metric period_end filed_date", "value", f"SELECT * FROM {{universe_facts}} {_FILED}"),
     "append_new_stories": Query(lambda v: upsert.append_new(_stories(v, True), _stories(v, False), "item_id", "doc_id")[0], "item_id doc_id first_feed", "", "SELECT item_id, doc_id, first_feed FROM {headline_items} WHERE doc_id % 4 <> 0 AND item_id NOT IN (SELECT item_id FROM {headline_items} WHERE doc_id % 4 = 0) QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY doc_id) = 1"),
     "append_counts": Query(lambda v: upsert.append_new(_stories(v, True), _stories(v, False), "item_id", "doc_id")[1], "n_seen n_new", "", "SELECT count(*) AS n_seen, count(*) FILTER (NOT old) AS n_new FROM (SELECT item_id, bool_or(doc_id % 4 = 0) AS old, bool_or(doc_id % 4 <> 0) AS fresh FROM {headline_items} GROUP BY 1) WHERE fresh"),
@@ -129,6 +148,7 @@ PAYLOADS = {
     "skew_measures": Query(lambda v: parse.skew_measures(v("option_chain"), ["ticker_id", "capture"]), "ticker_id capture", "spot put_iv atm_iv call_iv put_skew risk_reversal", f"SELECT *, put_iv - atm_iv AS put_skew, put_iv - call_iv AS risk_reversal FROM (SELECT ticker_id, capture, max(spot) AS spot, {_SMILE} FROM (SELECT *, strike / spot AS m FROM {{option_chain}} WHERE strike > 0 AND iv > 0) GROUP BY 1, 2)"),
     "nearest_expiry": Query(lambda v: parse.nearest_expiry(_expiries(v), ["ticker_id", "capture"], "expiry", "today"), "ticker_id capture expiry dte", "", "SELECT DISTINCT ticker_id, capture, expiry, expiry - make_date(capture, 1, 1) AS dte FROM {option_chain} WHERE expiry > make_date(capture, 1, 1) QUALIFY dense_rank() OVER (PARTITION BY ticker_id, capture ORDER BY abs(expiry - make_date(capture, 1, 1) - 30), expiry) = 1"),
     "statements_long": Query(lambda v: parse.unpivot_statements(_wide_years(v), ["ticker"], ["1996-12-31", "1997-12-31"]), "ticker period_end available_from", "value", "SELECT ticker, make_date(y, 12, 31) AS period_end, make_date(y, 12, 31) + 90 AS available_from, max(rev) AS value FROM {year_sums} WHERE y IN (1996, 1997) GROUP BY ALL"),
+    "statements_long_whole": Query(lambda v: parse.unpivot_statements(_wide_all_years(v), ["ticker"], [f"{y}-12-31" for y in YEARS]), "ticker period_end available_from", "value", "SELECT ticker, make_date(y, 12, 31) AS period_end, make_date(y, 12, 31) + 90 AS available_from, max(rev) AS value FROM {year_sums} GROUP BY ticker, y"),
 }
 
 STATISTICS = {

@@ -86,6 +86,15 @@ def _wide_prices(v: View) -> DataFrame:
     return parse.unpivot_prices(wide.withColumn("T4_open", F.coalesce("T4_open", F.lit(float("nan")))), few)
 
 
+def _wide_maps(v: View) -> DataFrame:
+    """Wide frames of all tickers: a map column by ticker, one row for each date and group of tickers."""
+    nan = F.lit(float("nan"))
+    x = v("prices").select("price_date", "ticker", F.struct(F.when(F.col("ticker") == "T4", nan).otherwise(F.col("adj_close")).alias("open"), "close").alias("x"))
+    # a group holds about a 256th of the tickers, so that no row grows with all of them
+    wide = x.groupBy(F.col("price_date").alias("date"), F.pmod(F.xxhash64("ticker"), F.lit(256)).alias("part")).agg(F.map_from_entries(F.collect_list(F.struct("ticker", "x"))).alias("wide"))
+    return parse.unpivot_price_maps(wide, "wide", ["open", "close"])
+
+
 PAYLOADS = {
     "observations_parsed": Query(lambda v: parse.observations(_observation_payloads(v), "series_id", "body"), "series_id date status", "value", "SELECT series_id, obs_date AS date, 'ok' AS status, value FROM {series_obs} WHERE value IS NOT NULL"),
     "positions_parsed": Query(lambda v: parse.positions(_position_rows(v), ["open_interest", "lev_long"]), "market_id report_date open_interest lev_long", "", "SELECT market_id, report_date, open_interest, CASE WHEN lev_long % 5 <> 0 THEN CAST(lev_long AS BIGINT) END AS lev_long FROM {cot}"),
@@ -96,6 +105,7 @@ PAYLOADS = {
     "constituents": Query(_constituents, "ticker name sector cik", "", "SELECT 'BRK-' || s_suppkey AS ticker, s_name AS name, CAST(NULL AS STRING) AS sector, CASE WHEN s_suppkey % 4 <> 0 THEN lpad(CAST(s_suppkey AS STRING), 10, '0') END AS cik FROM {supplier} WHERE s_suppkey % 10 NOT IN (0, 1)"),
     "manifest_rows": Query(_manifest, "group ticker currency", "", "SELECT \"group\", ticker, CASE WHEN suppkey % 6 <> 0 THEN currency ELSE 'USD' END AS currency FROM {dim_instrument}"),
     "wide_prices_long": Query(_wide_prices, "ticker date", "open close", "SELECT ticker, price_date AS date, adj_close AS open, close FROM {prices} WHERE ticker IN ('T4', 'T9')"),
+    "wide_prices_long_whole": Query(_wide_maps, "ticker date", "open close", "SELECT ticker, price_date AS date, CASE WHEN ticker <> 'T4' THEN adj_close END AS open, close FROM {prices}"),
     "gold_row_counts": Query(lambda v: marts.coverage({n: (v(n), d) for n, d in (("curve", "date"), ("fx", "date"), ("vol", "date"), ("positions", "report_date"), ("skews", "capture_date"))}), "source n_rows", "", "SELECT 'curve' AS source, count(*) AS n_rows FROM {g_curve} UNION ALL SELECT 'fx', count(*) FROM {g_fx} UNION ALL SELECT 'vol', count(*) FROM {g_vol} UNION ALL SELECT 'positions', count(*) FROM {g_positions} UNION ALL SELECT 'skews', count(*) FROM {g_skew}"),
 }
 

@@ -113,6 +113,12 @@ def unpivot_prices(wide: DataFrame, fields: Mapping[str, Sequence[str]]) -> Data
     return wide.select("date", F.explode(each).alias("x")).select("x.ticker", "date", *[f"x.{f}" for f in names]).where("close IS NOT NULL")
 
 
+def unpivot_price_maps(wide: DataFrame, column: str, fields: Sequence[str]) -> DataFrame:
+    """(ticker, date, fields) from a map column of ticker to fields; rows without a close are dropped."""
+    rows = wide.select("date", F.explode(column).alias("ticker", "x"))
+    return rows.select("ticker", "date", *[F.nanvl(F.col(f"x.{f}").cast("double"), F.lit(None).cast("double")).alias(f) for f in fields]).where("close IS NOT NULL")
+
+
 def yahoo_symbol(c: Column | str) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     return F.replace(F.upper(F.trim(x)), F.lit("."), F.lit("-"))
