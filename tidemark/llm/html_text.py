@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 # a tag with quoted attributes; failing that, up to the next > or to the end of a page that breaks off
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
 
 # fixed values: HTML elements by how they are read
 RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "select"}
@@ -29,7 +28,19 @@ ASIDES = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldse
 ARTICLES = {"article", "main"}
 CONTAINERS = ASIDES | ARTICLES | {"header", "section", "div", "ul", "ol", "dl", "table", "figure", "blockquote", "details", "body", "span"}
 ASIDE_NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsored", "sponsor", "banner", "promo", "sidebar", "comment", "comments", "respond", "cookie", "cookies", "consent", "notice", "popup", "modal", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "share", "social", "related", "newsletter", "subscribe", "search", "contentinfo", "complementary", "pagination", "pager", "widget", "toolbar", "login", "disqus"}
-HEADER_NAMES = {"header", "masthead", "topbar"}
+HEADER_NAMES = {"header", "masthead", "topbar", "site-header", "page-header"}
+#: Compound names that mean an aside: by how they begin, and whole.
+ASIDE_PREFIXES = ("ad-slot", "ad-container", "ad-banner", "ad-unit", "adsbygoogle", "cookie-", "consent-", "share-", "social-", "sidebar-", "comments-", "comment-", "breadcrumb-", "navbar-", "nav-", "footer-", "menu-", "newsletter-", "pagination-", "popup-", "modal-")
+ASIDE_NAMES |= {"related-posts", "related-articles", "related-links", "related-stories", "related-content", "search-form", "search-box", "site-search", "site-footer", "page-footer", "main-nav", "site-nav", "main-menu", "site-menu", "side-bar", "login-form", "subscribe-form"}
+
+
+def _names(rest: str) -> set[str]:
+    """The whole tokens of a tag's class, id and role, in lower case, - for _."""
+    return {w for v in _NAMES.findall(rest) for w in "".join(v).lower().replace("_", "-").split()}
+
+
+def _is_aside(names: set[str]) -> bool:
+    return bool(names & ASIDE_NAMES) or any(n.startswith(ASIDE_PREFIXES) for n in names)
 
 
 class Block(NamedTuple):
@@ -102,8 +113,8 @@ def blocks(page: str) -> list[Block]:
                         break
         elif not rest.endswith("/"):
             what = inside[-1]
-            named = {w for v in _NAMES.findall(rest) for w in _WORD.findall("".join(v).lower())} if rest else set()
-            if name in ASIDES or named & ASIDE_NAMES or ((name == "header" or named & HEADER_NAMES) and what != "article"):
+            named = _names(rest) if rest else set()
+            if name in ASIDES or _is_aside(named) or ((name == "header" or named & HEADER_NAMES) and what != "article"):
                 if name == "span" and inside[-1] != "aside":
                     flush()
                 what = "aside"
@@ -142,7 +153,7 @@ _LINKS = ((0, 0.0), (1, 1.0), (4, 0.8), (12, 1.0))
 KINDS = [
     ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 1, 0, 1, 1, True),  # paragraphs and headings of an article
     ((1, 3, 9, 40, 150), (0.0, 0.3), _ANY, 1, 0, 0, 1, True),  # lists and loose text of an article
-    ((1, 3, 9, 20), (0.75, 1.0), _ANY, 1, 0, 0, 1, False),  # lists of links in an article
+    ((1, 3, 9, 20, 40), (0.75, 1.0), _ANY, 1, 0, 0, 1, True),  # lists of links in an article: references, names
     ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 1, 1, False),  # menus, headers, footers, sidebars, notices,
     ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 0, 1, False),  # adverts, forms and comments
     ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 1, 0, False),
