@@ -3,7 +3,7 @@
 Vectors get one more component that makes their norms equal, so that the largest inner product is the smallest
 distance. Centroids are fitted on a bounded sample and split until no list is far above the mean; a neighbour graph
 over them, held in memory, finds the nearest ones. Boundary vectors are replicated to several lists. A query reads
-the lists whose centroids are not much farther than its nearest one. Lists and their queries are cut into blocks of
+the lists whose centroids are not much farther than its nearest one, and more while these hold fewer vectors than it wants. Lists and their queries are cut into blocks of
 bounded size, so no task grows with a list.
 """
 
@@ -177,8 +177,9 @@ def search(
     graph = CentroidGraph(balanced_centroids(lifted(x), lists))
     shared = spark.sparkContext.broadcast(graph)  # MOST_LISTS centroids at most
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pd.DataFrame], held: dict[int, int]) -> Iterator[pd.DataFrame]:
         g = shared.value
+        sizes = np.array([held.get(c, 0) for c in range(len(g.c))], np.int64)
         for pdf in batches:
             v = np.stack(pdf["vec"].array) if len(pdf) else np.zeros((0, dim))
             rows: list[tuple[int, int]] = []
@@ -186,25 +187,34 @@ def search(
             points = np.where(asks[:, None], np.hstack([v, np.zeros((len(v), 1))]), lifted(v))
             for i in range(len(v)):
                 if asks[i]:
-                    # every list within the ratio: the search widens until it sees one beyond
+                    # every list within the ratio, and enough for k others: the search widens until it sees one beyond
                     width = BEAM
                     while True:
                         found, d = g.search(points[i], width)
-                        if len(found) == len(g.c) or len(found) < width or d[-1] > prune * d[0]:
+                        enough = np.searchsorted(np.cumsum(sizes[found]), k + 1) + 1
+                        if len(found) == len(g.c) or len(found) < width or (d[-1] > prune * d[0] and enough <= len(found)):
                             break
                         width *= 2
-                    rows.extend((i, int(c)) for c in found[d <= prune * d[0]])
+                    rows.extend((i, int(c)) for c in found[: max(int((d <= prune * d[0]).sum()), enough)])
                 else:
                     found, d = g.search(points[i], 16)
                     rows.extend((i, int(c)) for c in found[:REPLICAS][d[:REPLICAS] <= CLOSURE * d[0]])
             take = np.array([r[0] for r in rows], int)
             out = pdf.iloc[take].reset_index(drop=True)
             out["list"] = np.array([r[1] for r in rows], np.int64)
+            out["home"] = np.concatenate(([True], take[1:] != take[:-1])) if len(take) else np.zeros(0, bool)
             yield out
 
-    both = usable.select("vec_id", "vec", F.lit(False).alias("q")).unionByName(usable.where(is_query).select("vec_id", "vec", F.lit(True).alias("q")))
-    both = both.repartition(max(partitions(spark), 1))  # routing is the costly part, so it is spread evenly
-    routed = cut(both.mapInPandas(route, T.StructType([*both.schema.fields, T.StructField("list", T.LongType())])))
+    def placed(rows: DataFrame, held: dict[int, int]) -> DataFrame:
+        rows = rows.repartition(max(partitions(spark), 1))  # routing is the costly part, so it is spread evenly
+        fields = [*rows.schema.fields, T.StructField("list", T.LongType()), T.StructField("home", T.BooleanType())]
+        return cut(rows.mapInPandas(lambda batches: route(batches, held), T.StructType(fields)))
+
+    stored = placed(usable.select("vec_id", "vec", F.lit(False).alias("q")), {})
+    # each identifier in one list only, so that lists' sizes add up to distinct candidates; MOST_LISTS rows at most
+    homes = stored.where("home").groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+    asked = placed(usable.where(is_query).select("vec_id", "vec", F.lit(True).alias("q")), {r["list"]: r["n"] for r in homes.collect()})
+    routed = stored.unionByName(asked).drop("home")
     sizes = routed.groupBy("list", "q").agg(F.count(F.lit(1)).alias("n"))  # two rows for each list
     wide = sizes.groupBy("list").agg(F.max(F.when(~F.col("q"), F.col("n"))).alias("nv"), F.max(F.when(F.col("q"), F.col("n"))).alias("nq")).where("nv IS NOT NULL AND nq IS NOT NULL")
     wide = wide.select(F.col("list").alias("l"), F.ceil(F.col("nv") / BLOCK_ROWS).cast("int").alias("bv"), F.ceil(F.col("nq") / BLOCK_QUERIES).cast("int").alias("bq"))
