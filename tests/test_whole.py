@@ -24,6 +24,26 @@ def test_whole_tables(spark, name):
     test_oracle.test_query_equals_oracle(spark, name)
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["factor_matrix", "manifest_rows"])
+def test_no_step_holds_the_whole_table(spark, name):
+    import __spark_entry__ as entry
+    from tidemark.plans import fixtures, payload_queries
+
+    test_oracle.test_query_equals_oracle(spark, name)
+    if name == "factor_matrix":
+        plan = entry.queries()[name](spark, test_oracle.SF)._jdf.queryExecution().analyzed().toString()
+        assert "max(price_date" in plan and "_w0" not in plan and not [x for x in plan.split("\n") if "Window" in x and "windowspecdefinition(1" in x]
+    else:
+        seen = []
+        packs, payload_queries.marts.manifest_rows = payload_queries.marts.manifest_rows, lambda m, *_: seen.append(m.count()) or m
+        try:
+            payload_queries._manifest(lambda n: fixtures.view(spark, test_oracle.SF, n))
+        finally:
+            payload_queries.marts.manifest_rows = packs
+        assert seen[0] > 1
+
+
 def test_keys_that_one_side_lacks(spark):
     from tidemark.operators import upsert
 

@@ -65,7 +65,8 @@ def change_over(df: DataFrame, key: str, date: str, value: str, k: int) -> DataF
 
 def factor_matrix(scores: DataFrame, names: Sequence[str], n: int = 12) -> DataFrame:
     """(ticker, factor): z of the n names whose composite is farthest from zero on the last date."""
-    newest = scores.withColumn("_last", F.max("price_date").over(Window.partitionBy(F.lit(1)))).where("price_date = _last AND composite_z IS NOT NULL")
+    last = scores.agg(F.max("price_date").alias("_last"))
+    newest = scores.join(F.broadcast(last), F.col("price_date") == F.col("_last")).where("composite_z IS NOT NULL")
     few = newest.orderBy(F.round(F.abs("composite_z"), 9).desc(), "ticker").limit(n)
     return few.unpivot(["ticker"], list(names), "factor", "z")
 
