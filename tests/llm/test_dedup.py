@@ -9,6 +9,9 @@ import xxhash
 from tidemark.llm import line_dedup, simhash, suffix_dedup
 from tidemark.llm.exact_dedup import distinct_documents, exact_dedup
 
+#: Beyond it, doubles don't hold all integers.
+BIG = 1 << 60
+
 
 @pytest.mark.parametrize("split_rows", [256, 2])
 def test_exact(docs, texts, split_rows):
@@ -131,44 +134,63 @@ def test_lines(spark):
             lines.append(x)
         rows.append((i, "\n".join(lines)))
     rows += [(50, None), (51, ""), (52, "short\n\nshort"), (53, "long " * 20_000), (54, "long " * 20_000 + "x")]
-    want = line_dedup.brute_force(rows)
-    out = {x.doc_id: x for x in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {i: x.text or "" for i, x in out.items()} == {i: "\n".join(v) for i, v in want.items()}
-    assert out[50].text is None and out[50].n_lines == 0 and out[51].n_lines == 1 and out[54].n_dropped == 1
+    # short lines of all lengths, rows without an identifier, with the same one, and equal rows
+    rows += [(60 + i, "\n".join("".join(r.choice("abé") for _ in range(r.randint(0, 9))) for _ in range(6))) for i in range(12)]
+    rows += [(None, rows[3][1]), (None, "only here, of no one"), (None, "only here, of no one"), (61, "another text of sixty-one\nab"), (61, "another text of sixty-one\nab"), (BIG + 1, "of the large"), (BIG, "of the larger")]
+    want = Counter(zip([i for i, _ in rows], ["\n".join(x) for x in line_dedup.brute_force(rows)], strict=True))
+    for parts in (1, 5):
+        out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        assert Counter((x.doc_id, x.text or "") for x in out) == want
+    by = {x.doc_id: x for x in out}
+    assert by[50].text is None and by[50].n_lines == 0 and by[51].n_lines == 1 and by[54].n_dropped == 1
 
 
 def test_lines_odd_rows(odd, none):
     out = line_dedup.dedup_lines(odd)
-    assert out.count() == 8 and set(out.columns) == set(odd.columns) | {"n_dropped"}
+    assert set(out.columns) == set(odd.columns) | {"n_dropped"} and all((r.kept, r.keep_id) in {(1, 1), (1, None), (1, 2)} for r in out.collect())
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(1, "same"), (1, ""), (2, ""), (None, ""), (None, "alone"), (None, ""), (3, None), (4, "")])
     assert line_dedup.dedup_lines(none).count() == 0
 
 
-def removed_by_force(texts, span=200):
-    count, out = Counter(), {}
-    raws = {i: (t or "").encode() for i, t in texts}
-    for raw in raws.values():
+def removed_by_force(rows, span=200):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
+    count, out = Counter(), []
+    raws = [(i, (t or "").encode()) for i, t in rows]
+    for _, raw in raws:
         count.update(raw[k : k + span] for k in range(len(raw) - span + 1))
-    for i, raw in raws.items():
+    for i, raw in raws:
         gone = bytearray(len(raw))
         for k in range(len(raw) - span + 1):
             if count[raw[k : k + span]] > 1:
                 gone[k : k + span] = b"\1" * span
         runs = sum(1 for k, x in enumerate(gone) if x and (k == 0 or not gone[k - 1]))
-        out[i] = (len(raw), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(raw, gone, strict=True) if not g)).hexdigest())
-    return out
+        out.append((i, len(raw), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(raw, gone, strict=True) if not g)).hexdigest()))
+    return Counter(out)
+
+
+def removed(df, **how):
+    return Counter((r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.remove_repeats(df, **how).collect())
 
 
 @pytest.mark.parametrize("split_rows", [256, 2])
 def test_suffixes(docs, texts, split_rows, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "RUN_ROWS", 50)
-    out = suffix_dedup.remove_repeats(docs, split_rows=split_rows).collect()
-    got = {r.doc_id: (r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out}
     want = removed_by_force(texts)
-    assert got == want and sum(v[1] for v in want.values()) > 5000
+    assert removed(docs, split_rows=split_rows) == want and sum(k[2] for k in want) > 5000
+
+
+@pytest.mark.parametrize("split_rows", [256, 1])
+def test_suffixes_of_rows_without_an_identifier_of_their_own(spark, texts, split_rows):
+    p, u, v = "p" * 3 + "repeated passage %d " * 20, "".join(map(str, range(300))), " ".join(map(str, range(7000, 7200)))
+    rows = [(1, p), (2, p), (2, u), (None, p), (None, v), (None, v), (3, "y" + v[:250]), (4, "a" * 700), (None, "lone " + " ".join(map(str, range(500, 700)))), (BIG + 1, p + "1"), (BIG + 2, p + "2"), (5, None), (6, "")]
+    want = removed_by_force(rows)
+    for parts in (1, 4):
+        assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), split_rows=split_rows) == want
+    assert sum(n for k, n in want.items() if k[1] == len(u) and k[2] == 0) == 1
 
 
 def test_suffixes_odd_rows(odd, none):
-    assert suffix_dedup.remove_repeats(odd).count() == 8 and suffix_dedup.remove_repeats(none).count() == 0
+    assert removed(odd) == removed_by_force([(r.doc_id, r.text) for r in odd.collect()]) and suffix_dedup.remove_repeats(none).count() == 0
 
 
 def test_loser_tree_merges_front_coded_runs():

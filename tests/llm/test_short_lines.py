@@ -1,10 +1,10 @@
-"""Repeats of short lines."""
+"""Repeats and near copies of short lines."""
 
 from tidemark.llm import line_dedup
 
 
 def test_short_repeats_go_and_blank_lines_stay(spark):
-    rows = [(1, "Read more\n\nHome\n \t\nx\nRead more"), (2, "Home\n\nRead more\nRead mora\n\r\n1\n \t"), (3, "x"), (None, "1\nnew")]
+    rows = [(1, "Read more\n\nHome\n \t\nxyz\nRead more"), (2, "Home\n\nRead more\nRead mora\n\r\n1\n \t"), (3, "xyz"), (None, "1\nnew")]
     out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert out[1].text == "Read more\n\nHome\n \t\nx" and out[2].text == "\nRead mora\n\r\n1\n \t"
+    assert out[1].text == "Read more\n\nHome\n \t\nxyz" and out[2].text == "\n\r\n1\n \t"
     assert (out[3].text, out[3].n_dropped) == ("", 1) and out[None].text == "new"

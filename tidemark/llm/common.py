@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one key from which the key counts as hot and is split.
 SPLIT_ROWS = 256
@@ -25,15 +30,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the checkpoint folder that all executors share, and reads it from there.
 
-    The folder is the one in spark.checkpoint.dir; a temporary one only where none is set (tests).
+    The folder is the one in spark.checkpoint.dir. Where none is set, a temporary one serves a session whose driver
+    is its only executor; on a cluster that is an error, as executors wouldn't see each other's files.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.match(r"local(\[|$)", context.master):
+                raise ValueError("spark.checkpoint.dir names no shared folder")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
+def row_keys(ident: Column, text: Column) -> tuple[Column, Column]:
+    """Two longs that tell a row from all others but those equal in identifier and text.
+
+    The identifier itself, or a hash of the text where it is null, and another hash of the text (null counts as
+    empty). So rows without an identifier, or with the same one, are spread and judged each for itself.
+    """
+    plain = F.coalesce(text, F.lit(""))
+    return F.coalesce(ident, F.xxhash64(F.concat(plain, F.lit("\0")))), F.xxhash64(plain)
+
+
+def packed(rows: DataFrame, merge: bool = False) -> DataFrame:
+    """rows (with k1, k2 and text) with text packed by zstandard into the binary column packed, and copies.
+
+    merge: rows of one Arrow batch that share (k1, k2) become one; copies counts them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            copies = np.ones(b.num_rows, np.int64)
+            if merge and b.num_rows:
+                both = np.stack([b.column("k1").to_numpy(), b.column("k2").to_numpy()], axis=1)
+                _, first, copies = np.unique(both, axis=0, return_index=True, return_counts=True)
+                b = b.take(pa.array(first))
+            texts = [None if t is None else pack(t.encode()) for t in b.column("text").to_pylist()]
+            others = [n for n in b.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in others], pa.array(texts, pa.binary()), pa.array(copies, pa.int64())], names=[*others, "packed", "copies"])
+
+    fields = [f for f in rows.schema.fields if f.name != "text"]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("packed", T.BinaryType()), T.StructField("copies", T.LongType())]))
+
+
 def fresh(taken: Iterable[str], *bases: str) -> list[str]:
     """Column names like bases that clash with none of taken (names don't differ by case)."""
     seen, out = {x.lower() for x in taken}, []
@@ -79,7 +122,15 @@ def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> tuple[Dat
     return rest, df.join(few, F.col(key) == F.col("hot_key"), "left_semi")
 
 
+#: Makes another key of a key, with the same equalities.
+DERIVED = 0x5DEECE66D
+
+
 def all_repeated(df: DataFrame, key: str) -> DataFrame:
-    """The rows of df whose key occurs more than once."""
-    rest, hot = repeated(df, key)
-    return rest if hot is None else rest.unionByName(hot)
+    """The rows of df whose key (a long column) occurs more than once.
+
+    Counts are summed before they are sent. The join is by a derived key, so both its sides are exchanged for it alone
+    and adaptive execution can split the rows of a hot key. df is read twice; nothing runs while the plan is built.
+    """
+    many = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).bitwiseXOR(F.lit(DERIVED)).alias("many_key"))
+    return df.withColumn("derived_key", F.col(key).bitwiseXOR(F.lit(DERIVED))).join(many, F.col("derived_key") == F.col("many_key"), "left_semi").drop("derived_key")

@@ -7,6 +7,8 @@ equal keys are joined, and the edit distance of each found pair is verified on t
 Variants are emitted only where they can meet another line's. An edit leaves one half of a line intact, and seven of
 its eight segments: lines that share no half, then no seven segments, with another line have no partner, so these two
 filters lose none. The variants are then those of the segment that differs.
+
+All of it is one plan: texts travel once, packed, and both joins with them read the same exchange.
 """
 
 from __future__ import annotations
@@ -14,14 +16,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import all_repeated, cut, fresh
+from tidemark.llm.common import all_repeated, packed, partitions, row_keys
 
-#: Lines of fewer characters go only as exact repeats: one edit makes another word or number of them.
-MIN_CHARS = 20
 #: A line of nothing else is blank: structure, which stays.
 BLANK = " \t\v\f\r"
 SEGMENTS = 8
@@ -82,58 +85,66 @@ def variants(line: str, slots: list[int]) -> list[tuple[int, str]]:
     return sorted(out)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, at (line number from 0), line, h1 and h2 (its hash) of every line that is compared."""
-    split = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.posexplode(F.split(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")), "\n", -1)).alias("at", "line"))
-    return split.where(F.btrim("line", F.lit(BLANK)) != "").withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
+#: Where a line stands, in the order in which lines count as earlier: rows without an identifier last.
+PLACE = "none boolean, k1 long, k2 long, at int"
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, at) of the compared lines that stay: first occurrences without an earlier line within one edit."""
-    lines = _lines(docs, id_col, text_col)
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "at")  # rows without an identifier come last
-    n = F.char_length("line")
-    keyed = lines.select("h1", "h2", place.alias("place"), F.when(n >= MIN_CHARS, _halves(F.col("line"), n)).alias("halves"))
-    distinct = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")))
-    # the first hash alone stands for a line here: should two lines share it, both are candidates
-    shared = all_repeated(distinct.select("h1", F.explode("halves").alias("key")), "key").select("h1").distinct()
-    wanted = distinct.join(shared, "h1", "left_semi").select("h1", "h2", "place")
-    # the texts of the candidates, each read from its first occurrence's document
-    of_doc = wanted.groupBy(F.col("place.id").alias("w_id")).agg(F.collect_list(F.struct("h1", "h2", "place")).alias("wants"))
-    plain = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), docs[f"`{text_col}`"].cast("string").alias("text"))
+def _distinct_lines(rows: DataFrame) -> DataFrame:
+    """h1, h2 (its hash) of every distinct line that is compared, and first: the first place, with the keys of its halves.
 
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for text, wants in zip(pdf["text"].array, pdf["wants"].array, strict=True):
-                whole = (text or "").split("\n")
-                for w in wants:
-                    at = w["place"]["at"]
-                    # of rows that share an identifier, the one that holds the line
-                    if at < len(whole) and _signed(xxhash.xxh64_intdigest(whole[at].encode(), 42)) == w["h1"]:
-                        rows.append((w["h1"], w["h2"], w["place"], whole[at]))
-            yield pd.DataFrame(rows, columns=["h1", "h2", "place", "line"])
-
-    found = plain.join(of_doc, F.col("id").eqNullSafe(F.col("w_id"))).select("text", "wants").mapInPandas(pick, "h1 long, h2 long, place struct<none: boolean, id: long, at: int>, line string")
-    texts = cut(found.groupBy("h1", "h2").agg(F.any_value("place").alias("place"), F.any_value("line").alias("line")))
+    What is known of a line is one column, so that all readers of this aggregation share its exchange.
+    """
+    split = rows.select(F.col("id").isNull().alias("none"), "k1", "k2", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
+    lines = split.where(F.btrim("line", F.lit(BLANK)) != "")
+    known = F.struct("none", "k1", "k2", "at", _halves(F.col("line"), F.char_length("line")).alias("halves"))
+    return lines.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")).agg(F.min(known).alias("first"))
+
+
+def kept_lines(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(k1, k2, at) of the lines that stay: first occurrences without an earlier line within one edit.
+
+    rows and texts are the same rows: (id, k1, k2, text) as they are read, and packed, dealt out by (k1, k2).
+    """
+    distinct = _distinct_lines(rows)
+    # the first hash alone stands for a line here: should two lines share it, both are candidates
+    shared = all_repeated(distinct.select("h1", F.explode("first.halves").alias("key")), "key").select("h1").distinct()
+    wanted = distinct.join(shared, "h1", "left_semi")
+    # the texts of the candidates, each read from its first occurrence's row
+    wants = F.collect_list(F.struct("h1", "h2", "first.none", "first.at")).alias("wants")
+    of_row = wanted.groupBy(F.col("first.k1").alias("w1"), F.col("first.k2").alias("w2")).agg(wants)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            columns = (b.column(c).to_pylist() for c in ("k1", "k2", "packed", "wants"))
+            for k1, k2, text, lines in zip(*columns, strict=True):
+                whole = zstandard.decompress(text).decode().split("\n") if text is not None else [""]
+                out += [(w["h1"], w["h2"], w["none"], k1, k2, w["at"], whole[w["at"]]) for w in lines]
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+            made = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(made, names=["h1", "h2", "none", "k1", "k2", "at", "line"])
+
+    # every column of texts goes in, so that this join and the last one read one exchange
+    found = texts.join(of_row, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).mapInArrow(pick, f"h1 long, h2 long, {PLACE}, line string")
+    lines = found.groupBy("h1", "h2").agg(F.any_value(F.struct("none", "k1", "k2", "at", "line")).alias("what"))
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame([(a, b, *ks) for a, b, line in zip(pdf["h1"], pdf["h2"], pdf["line"], strict=True) for ks in segment_keys(line)], columns=["h1", "h2", "key", "slot"])
 
-    slotted = all_repeated(cut(texts.select("h1", "h2", "line").mapInPandas(segments, "h1 long, h2 long, key long, slot int")), "key")
+    slotted = all_repeated(lines.select("h1", "h2", F.col("what.line").alias("line")).mapInPandas(segments, "h1 long, h2 long, key long, slot int"), "key")
     slots = slotted.groupBy("h1", "h2").agg(F.collect_set("slot").alias("slots"))
 
     def deletions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(a, b, *v) for a, b, line, s in zip(pdf["h1"], pdf["h2"], pdf["line"], pdf["slots"], strict=True) for v in variants(line, [int(x) for x in s])]
-            yield pd.DataFrame(rows, columns=["h1", "h2", "key", "role"])
+            columns = ("h1", "h2", "none", "k1", "k2", "at", "line", "slots")
+            rows = [(*known, *v) for *known, line, s in zip(*(pdf[c].array for c in columns), strict=True) for v in variants(line, [int(x) for x in s])]
+            yield pd.DataFrame(rows, columns=["h1", "h2", "none", "k1", "k2", "at", "key", "role"])
 
-    emitted = texts.join(slots, ["h1", "h2"]).select("h1", "h2", "line", "slots").mapInPandas(deletions, "h1 long, h2 long, key long, role string")
-    emitted = emitted.join(texts.select("h1", "h2", "place"), ["h1", "h2"])
+    emitted = lines.join(slots, ["h1", "h2"]).select("h1", "h2", "what.*", "slots").mapInPandas(deletions, f"h1 long, h2 long, {PLACE}, key long, role string")
     # lines that share a key are those with one character put into one string: by their alphabet, never many
     group = Window.partitionBy("key", F.col("role") == "same")
-    me = F.struct("place", "h1", "h2")
+    me = F.struct("none", "k1", "k2", "at", "h1", "h2")
     found_in = emitted.withColumns(
         {
             "me": me,
@@ -143,45 +154,61 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         }
     )
     partner = F.when(F.col("role") == "same", F.col("same")).when(F.col("role") == "self", F.col("longer")).otherwise(F.col("self"))
-    pairs = found_in.withColumn("earlier", partner).where("earlier.place < place").select("h1", "h2", F.col("earlier.h1").alias("e1"), F.col("earlier.h2").alias("e2")).distinct()
-    of = texts.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("line").alias("earlier_line"))
-    verified = pairs.join(texts.select("h1", "h2", "line"), ["h1", "h2"]).join(of, (F.col("e1") == F.col("t1")) & (F.col("e2") == F.col("t2"))).where(F.levenshtein("line", "earlier_line", 1).between(0, 1))
+    pairs = found_in.withColumn("earlier", partner).where("earlier < me").select("h1", "h2", F.col("earlier.h1").alias("e1"), F.col("earlier.h2").alias("e2")).distinct()
+    of = lines.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("what.line").alias("earlier_line"))
+    own = lines.select("h1", "h2", F.col("what.line").alias("line"))
+    verified = pairs.join(own, ["h1", "h2"]).join(of, (F.col("e1") == F.col("t1")) & (F.col("e2") == F.col("t2"))).where(F.levenshtein("line", "earlier_line", 1).between(0, 1))
     dropped = verified.select("h1", "h2").distinct()
-    return distinct.join(dropped, ["h1", "h2"], "left_anti").select("place.id", "place.at")
+    return distinct.join(dropped, ["h1", "h2"], "left_anti").select("first.k1", "first.k2", "first.at")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of docs, its text without the lines that go, with n_lines and n_dropped.
 
-    Lines are split at newlines and compared as they are. Of equal lines the earliest (by identifier, then line number)
-    stays; a line with an earlier line within one edit goes as well, everywhere, if both have MIN_CHARS characters at
-    least. Blank lines stay. A null text stays null and has no lines; an empty one has one. Rows without an identifier come
-    after all others and, like rows with the same identifier, share the decisions on each line number. An empty table
-    gives an empty result. Columns of docs called n_lines or n_dropped give way to the results.
+    Lines are split at newlines and compared as they are. Of equal lines the earliest stays (by identifier, then line
+    number; rows with the same identifier by a hash of their texts, rows without one after all others); a line with an
+    earlier line within one edit goes as well, everywhere, however short or long it is. Blank lines stay. A null text
+    stays null and has no lines; an empty one has one. Of rows equal in identifier and text the second and later ones
+    lose all their lines. An empty table gives an empty result. Columns of docs called n_lines or n_dropped give way
+    to the results, whatever other columns are called.
     """
-    of, stay, edited = fresh(docs.columns, "ld_id", "ld_stay", "ld_edited")
-    kept = kept_lines(docs, id_col, text_col).groupBy(F.col("id").alias(of)).agg(F.collect_list("at").alias(stay))
-    rows = docs.join(kept, docs[f"`{id_col}`"].cast("long").eqNullSafe(F.col(of)), "left")
-
-    @F.pandas_udf("text string, n_lines long, n_dropped long")
-    def rebuild(texts: pd.Series, stays: pd.Series) -> pd.DataFrame:
-        out = []
-        for text, lines in zip(texts.array, stays.array, strict=True):
-            if text is None:
-                out.append((None, 0, 0))
-                continue
-            whole, hold = text.split("\n"), set(lines if lines is not None else ())
-            left = [x for i, x in enumerate(whole) if i in hold or not x.strip(BLANK)]
-            out.append(("\n".join(left), len(whole), len(whole) - len(left)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
-
-    rows = rows.withColumn(edited, rebuild(docs[f"`{text_col}`"].cast("string"), F.col(stay)))
-    columns = [F.col(f"{edited}.text").alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`") for c in docs.columns if c.lower() not in {"n_lines", "n_dropped"}]
-    return rows.select(*columns, F.col(f"{edited}.n_lines"), F.col(f"{edited}.n_dropped"))
-
-
-def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, list[str]]:
-    """The lines that stay by comparing all with all; for tests on small tables."""
+    made = {"n_lines", "n_dropped"}
+    held = [c for c in docs.columns if c.lower() not in made]
+    names = [f"c{i}" for i in range(len(held))]
+    ident, text = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"].cast("string")
+    k1, k2 = row_keys(ident, text)
+    others = [(c, n) for c, n in zip(held, names, strict=True) if c.lower() != text_col.lower()]
+    rows = docs.select(k1.alias("k1"), k2.alias("k2"), ident.alias("id"), text.alias("text"))
+    texts = packed(docs.select(*[docs[f"`{c}`"].alias(n) for c, n in others], k1.alias("k1"), k2.alias("k2"), text.alias("text"))).repartition(partitions(docs.sparkSession), "k1", "k2")
+    stay = kept_lines(rows, texts).groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.collect_list("at").alias("stay"))
+    joined = texts.join(stay, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left")
+
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            out = []
+            columns = (b.column(c).to_pylist() for c in ("k1", "k2", "packed", "stay"))
+            for k1, k2, text, lines in zip(*columns, strict=True):
+                first, last = last != (k1, k2), (k1, k2)
+                if text is None:
+                    out.append((None, 0, 0))
+                    continue
+                whole, hold = zstandard.decompress(text).decode().split("\n"), set(lines or ()) if first else ()
+                left = [x for i, x in enumerate(whole) if i in hold or not x.strip(BLANK)]
+                out.append(("\n".join(left), len(whole), len(whole) - len(left)))
+            made_ = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True) if out else [[]] * 3, (pa.string(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for _, n in others], *made_], names=[*[n for _, n in others], "text", "n_lines", "n_dropped"])
+
+    fields = [T.StructField(n, docs.schema[c].dataType) for c, n in others]
+    results = [T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+    # equal rows stand together, so that the first is told from the rest
+    out = joined.sortWithinPartitions("k1", "k2").select(*[n for _, n in others], "k1", "k2", "packed", "stay").mapInArrow(rebuild, T.StructType([*fields, *results]))
+    place = dict(others)
+    return out.select(*[(F.col("text") if c.lower() == text_col.lower() else F.col(place[c])).alias(c) for c in held], "n_lines", "n_dropped")
+
+
+def brute_force(docs: list[tuple[int | None, str | None]]) -> list[list[str]]:
+    """The lines that stay in each row by comparing all with all; for tests on small tables."""
 
     def near(a: str, b: str) -> bool:
         if abs(len(a) - len(b)) > 1:
@@ -194,14 +221,15 @@ def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, list[str]]:
             s += 1
         return max(len(a), len(b)) - p - s <= 1
 
+    def order(i: int) -> tuple:
+        ident, text = docs[i][0], docs[i][1] or ""
+        return ident is None, _signed(xxhash.xxh64_intdigest((text + "\0").encode(), 42)) if ident is None else ident, _signed(xxhash.xxh64_intdigest(text.encode(), 42)), i
+
+    places = sorted((order(i), at, i, line) for i, (_, text) in enumerate(docs) for at, line in enumerate((text or "").split("\n")) if line.strip(BLANK))
     first: dict[str, tuple[int, int]] = {}
-    for doc, text in sorted(docs):
-        for at, line in enumerate((text or "").split("\n")):
-            if line.strip(BLANK):
-                first.setdefault(line, (doc, at))
-    whole = [x for x in first if len(x) >= MIN_CHARS]
-    gone = {a for a in whole if any(first[b] < first[a] and near(a, b) for b in whole if b != a)}
-    out = {}
-    for doc, text in docs:
-        out[doc] = [x for i, x in enumerate((text or "").split("\n")) if not x.strip(BLANK) or (first[x] == (doc, i) and x not in gone)]
-    return out
+    for _, at, i, line in places:
+        first.setdefault(line, (i, at))
+    order_of = {line: k for k, line in enumerate(first)}
+    gone = {a for a in first if any(order_of[b] < order_of[a] and near(a, b) for b in first)}
+    kept = {place for line, place in first.items() if line not in gone}
+    return [[x for at, x in enumerate((text or "").split("\n")) if not x.strip(BLANK) or (i, at) in kept] for i, (_, text) in enumerate(docs)]

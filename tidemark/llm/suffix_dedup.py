@@ -19,12 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPLIT_ROWS, cut, partitions, repeated
+from tidemark.llm.common import SPLIT_ROWS, all_repeated, cut, packed, partitions, repeated, row_keys
+
+#: An odd factor: another hash of a hash, one to one.
+SPREAD = 0xC2B2AE3D27D4EB4F
 
 #: Bytes of a repeated string, and of the grams whose hashes choose anchors.
 SPAN, GRAM = 200, 64
@@ -217,10 +221,26 @@ def repeated_offsets(strings: np.ndarray, prefix: np.ndarray, right: np.ndarray,
     return low, high
 
 
+Marked = tuple[int, int, bytes, np.ndarray, np.ndarray, np.ndarray]
+
+
+def each_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[Marked]:
+    """(k1, k2, bytes, grams, places, hot) of the rows that have marks; rows that stand for several come twice."""
+    for b in batches:
+        lists, copies = b.column("marks"), b.column("copies").to_numpy()
+        k1, k2, texts = b.column("k1").to_numpy(), b.column("k2").to_numpy(), b.column("packed")
+        ends, found = lists.offsets.to_numpy(), lists.values
+        h, at, hot = (found.field(n).to_numpy(zero_copy_only=False) for n in ("h", "at", "hot"))
+        for i in np.flatnonzero(np.diff(ends)).tolist():
+            part = slice(ends[i], ends[i + 1])
+            for _ in range(min(int(copies[i]), 2)):
+                yield int(k1[i]), int(k2[i]), zstandard.decompress(texts[i].as_py()), h[part], at[part], hot[part]
+
+
 def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """id, start, stop of strings that hold repeated windows, from texts (id, text); they overlap.
+    """k1, k2, start, stop of strings that hold repeated windows; they overlap.
 
-    read and texts are the same rows: (id, text) as they are read, and (id, packed) dealt out by id.
+    read and texts are the same rows: (k1, k2, text) as they are read, and packed, dealt out by (k1, k2).
     """
     spark = texts.sparkSession
     parts, reach = partitions(spark), span - gram
@@ -238,33 +258,26 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
                 doc = np.searchsorted(starts, at, "right") - 1
                 # of empty documents at one start, the last one is found, which is the one with bytes
                 where = np.flatnonzero(np.diff(doc, prepend=-1))
-                ids = pdf["id"].iloc[a:b]
-                yield pd.DataFrame({"id": ids.iloc[doc[where]].array, "h": np.split(h.view(np.int64), where[1:]), "at": np.split((at - starts[doc]).astype(np.int32), where[1:])})
+                of = pdf.iloc[a:b].iloc[doc[where]]
+                yield pd.DataFrame({"k1": of["k1"].array, "k2": of["k2"].array, "h": np.split(h.view(np.int64), where[1:]), "at": np.split((at - starts[doc]).astype(np.int32), where[1:])})
 
-    marked = cut(read.mapInPandas(mark, "id long, h array<long>, at array<int>"))
+    marked = cut(read.select("k1", "k2", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(mark, "k1 long, k2 long, h array<long>, at array<int>"))
     total = marked.agg(F.sum(F.size("h"))).first()[0] or 0
-    each = marked.select("id", F.explode(F.arrays_zip("h", "at")).alias("x")).select("id", "x.h", "x.at")
+    each = marked.select("k1", "k2", F.explode(F.arrays_zip("h", "at")).alias("x")).select("k1", "k2", "x.h", "x.at")
     # a gram is hot if its suffixes are more than a quarter of a task's share
     usual, hot = repeated(each, "h", max(split_rows, total // (4 * parts)))
-    wanted = usual.select("id", "h", "at", F.lit(False).alias("hot"))
+    wanted = usual.select("k1", "k2", "h", "at", F.lit(False).alias("hot"))
     if hot is not None:
-        wanted = wanted.unionByName(hot.select("id", "h", "at", F.lit(True).alias("hot")))
-    of_doc = wanted.groupBy(F.col("id").alias("w_id")).agg(F.collect_list(F.struct("h", "at", "hot")).alias("marks"))
-    joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("w_id")), "left").select("id", "packed", "marks")
+        wanted = wanted.unionByName(hot.select("k1", "k2", "h", "at", F.lit(True).alias("hot")))
+    # a set, as equal rows of several batches mark the same places
+    of_doc = wanted.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_set(F.struct("h", "at", "hot")).alias("marks"))
+    joined = texts.join(of_doc, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")), "left").select("id", "k1", "k2", "packed", "copies", "marks")
     receivers = 4 * parts
 
-    def each_mark(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int | None, bytes, int, int, bool]]:
-        for pdf in batches:
-            for id_, packed, marks in zip(pdf["id"].array, pdf["packed"].array, pdf["marks"].array, strict=True):
-                if marks is not None and len(marks):
-                    raw = zstandard.decompress(packed)
-                    for m in marks:
-                        yield id_, raw, m["h"], m["at"], m["hot"]
-
-    def sort_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple[bytes, int, int, int, int]] = []
+    def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[bytes, int, int, int, int, int]] = []
 
-        def send() -> Iterator[pd.DataFrame]:
+        def send() -> Iterator[pa.RecordBatch]:
             rows.sort(key=lambda r: r[0])
             out, a = [], 0
             to = [int.from_bytes(r[0][:8], "big") * receivers >> 64 for r in rows]
@@ -277,20 +290,22 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
                 a = b
             rows.clear()
             if out:
-                yield pd.DataFrame(out, columns=["receiver", "n", "blob", "places"])
-
-        for id_, raw, h, at, is_hot in each_mark(batches):
-            if not is_hot:
-                r, b = raw[at : at + span], raw[max(0, at - reach) : at][::-1]
-                # anchors have the smallest hashes of their windows, so these are mixed anew to spread over the receivers
-                rows.append((((h * SPREAD) & (1 << 64) - 1).to_bytes(8, "big") + r.ljust(span, b"\0") + b.ljust(reach, b"\0"), NONE if id_ is None or id_ is pd.NA else int(id_), at, len(r), len(b)))
-                if len(rows) >= RUN_ROWS:
-                    yield from send()
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["receiver", "n", "blob", "places"])
+
+        for k1, k2, raw, hs, places, hots in each_marked(batches):
+            # anchors have the smallest hashes of their windows, so these are mixed anew to spread over the receivers
+            for h, at, is_hot in zip((hs.view(np.uint64) * np.uint64(SPREAD)).tolist(), places.tolist(), hots.tolist(), strict=True):
+                if not is_hot:
+                    r, b = raw[at : at + span], raw[max(0, at - reach) : at][::-1]
+                    rows.append((h.to_bytes(8, "big") + r.ljust(span, b"\0") + b.ljust(reach, b"\0"), k1, k2, at, len(r), len(b)))
+                    if len(rows) >= RUN_ROWS:
+                        yield from send()
         yield from send()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         def run(n: int, blob: bytes, places: bytes) -> Iterator[tuple[bytes, int, object]]:
-            values = np.frombuffer(zstandard.decompress(places), np.int64).reshape(4, n).T.tolist()
+            values = np.frombuffer(zstandard.decompress(places), np.int64).reshape(5, n).T.tolist()
             for (s, p), v in zip(front_decode(zstandard.decompress(blob), n), values, strict=True):
                 yield s, p, v
 
@@ -298,14 +313,14 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
         out: list[pd.DataFrame] = []
         rows: list[bytes] = []
         prefix: list[int] = []
-        values: list[tuple[int, int, int, int]] = []
+        values: list[tuple[int, int, int, int, int]] = []
 
         def judge() -> None:
             if rows:
                 v = np.array(values, np.int64)
-                low, high = repeated_offsets(np.frombuffer(b"".join(rows), np.uint8).reshape(-1, width), np.array(prefix), v[:, 2], v[:, 3], span, gram)
+                low, high = repeated_offsets(np.frombuffer(b"".join(rows), np.uint8).reshape(-1, width), np.array(prefix), v[:, 3], v[:, 4], span, gram)
                 hit = low >= 0
-                out.append(pd.DataFrame({"id": v[hit, 0], "start": v[hit, 1] - high[hit], "stop": v[hit, 1] + span - low[hit]}))
+                out.append(pd.DataFrame({"k1": v[hit, 0], "k2": v[hit, 1], "start": v[hit, 2] - high[hit], "stop": v[hit, 2] + span - low[hit]}))
             rows.clear(), prefix.clear(), values.clear()
 
         for s, p, v in LoserTree(runs):
@@ -313,49 +328,26 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
                 judge()
             rows.append(s), prefix.append(p), values.append(v)
         judge()
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "start": [], "stop": []}, dtype="int64")
+        return pd.concat(out) if out else pd.DataFrame({"k1": [], "k2": [], "start": [], "stop": []}, dtype="int64")
 
-    found = joined.mapInPandas(sort_out, "receiver int, n int, blob binary, places binary").repartition(receivers, "receiver").groupBy("receiver").applyInPandas(merge, "id long, start long, stop long")
+    found = joined.mapInArrow(sort_out, "receiver int, n int, blob binary, places binary").repartition(receivers, "receiver").groupBy("receiver").applyInPandas(merge, "k1 long, k2 long, start long, stop long")
     if hot is None:
         return found
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for id_, packed, marks in zip(pdf["id"].array, pdf["packed"].array, pdf["marks"].array, strict=True):
-                hot_at = [m["at"] for m in marks if m["hot"]] if marks is not None else []
-                if hot_at:
-                    raw, me = zstandard.decompress(packed), NONE if id_ is None or id_ is pd.NA else int(id_)
-                    starts = {i for at in hot_at for i in range(max(0, at - reach), min(at, len(raw) - span) + 1)}
-                    keys = ((i, xxhash.xxh3_64_intdigest(raw[i : i + span])) for i in sorted(starts))
-                    rows.extend((me, i, h - (1 << 64) if h >> 63 else h) for i, h in keys)
-                if len(rows) > 200_000:
-                    yield pd.DataFrame(rows, columns=["id", "start", "key"], dtype="int64")
-                    rows = []
-            yield pd.DataFrame(rows, columns=["id", "start", "key"], dtype="int64")
-
-    # The windows around hot grams are too many for one receiver: each is a key of its own. Counts are summed before
-    # they are sent; the join is by a derived key, so both its sides are exchanged for it alone and adaptive execution
-    # can split the rows of a hot window.
-    keyed = joined.mapInPandas(windows, "id long, start long, key long")
-    many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").bitwiseXOR(F.lit(DERIVED)).alias("many"))
-    both = keyed.withColumn("derived", F.col("key").bitwiseXOR(F.lit(DERIVED))).join(many, F.col("derived") == F.col("many"), "left_semi")
-    return found.unionByName(both.select("id", "start", (F.col("start") + span).alias("stop")))
-
-
-#: An odd factor: another hash of a hash, one to one.
-SPREAD = 0xC2B2AE3D27D4EB4F
-#: Makes another key of a key, with the same equalities.
-DERIVED = 0x5DEECE66D
-#: Stands for a missing identifier inside runs.
-NONE = -(1 << 63)
-
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k1, k2, raw, _, places, hots in each_marked(batches):
+            if not hots.any():
+                continue
+            starts = np.unique(np.concatenate([np.arange(max(0, at - reach), min(at, len(raw) - span) + 1) for at in places[hots].tolist()]))
+            keys = np.fromiter((xxhash.xxh3_64_intdigest(raw[i : i + span]) for i in starts.tolist()), np.uint64, len(starts)).view(np.int64)
+            for a in range(0, len(starts), 200_000):
+                part = keys[a : a + 200_000]
+                columns = [np.full(len(part), k1), np.full(len(part), k2), starts[a : a + 200_000], part]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "start", "key"])
 
-def pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(id, packed): the texts' UTF-8 bytes, compressed."""
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for pdf in batches:
-        yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "packed": [pack(t.encode()) for t in pdf["text"].array]})
+    # the windows around hot grams are too many for one receiver: each is a key of its own
+    both = all_repeated(joined.mapInArrow(windows, "k1 long, k2 long, start long, key long"), "key")
+    return found.unionByName(both.select("k1", "k2", "start", (F.col("start") + span).alias("stop")))
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -363,35 +355,38 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
 
     Texts are their UTF-8 bytes, null counts as empty. A byte goes if it lies in a string of span bytes that also
     starts anywhere else, in the same document or another; overlaps count, and the input decides, not what is left.
-    Texts shorter than span lose nothing. What is kept may not be valid UTF-8. Identifiers are taken as unique; rows
-    that share one (or have none) share the removals of each other's positions. An empty table gives an empty result;
-    other columns of docs play no part.
+    Texts shorter than span lose nothing. What is kept may not be valid UTF-8. Every row counts for itself, whether it
+    has an identifier of its own, one that other rows have, or none; rows equal in identifier and text are copies of
+    each other like any copies. A text's marks are gathered in its row: a few for each span bytes, up to one for each
+    byte in a text of a single repeated character. An empty table gives an empty result; other columns of docs play
+    no part.
     """
-    parts = partitions(docs.sparkSession)
-    # dealt out by identifier once; both joins below read the same exchange
-    read = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
-    # packed by zstandard for the way, as it is the one thing as large as the input
-    texts = read.mapInPandas(pack_texts, "id long, packed binary").repartition(parts, "id")
-    spans = repeated_spans(read, texts, span, gram, split_rows).select(F.nullif(F.col("id"), F.lit(NONE)).alias("s_id"), "start", "stop")
-    of_doc = spans.groupBy("s_id").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
-    joined = texts.join(of_doc, F.col("id").eqNullSafe(F.col("s_id")), "left").select("id", "packed", "found")
-
-    def clear(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    ident, text = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"].cast("string")
+    k1, k2 = row_keys(ident, text)
+    read = docs.select(ident.alias("id"), k1.alias("k1"), k2.alias("k2"), F.coalesce(text, F.lit("")).alias("text"))
+    # packed for the way, as it is the one thing as large as the input; both joins below read the same exchange
+    texts = packed(read, merge=True).repartition(partitions(docs.sparkSession), "k1", "k2")
+    spans = repeated_spans(read, texts, span, gram, split_rows)
+    of_doc = spans.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    joined = texts.join(of_doc, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left").select("id", "k1", "k2", "packed", "copies", "found")
+
+    def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
             rows = []
-            for packed, found in zip(pdf["packed"].array, pdf["found"].array, strict=True):
-                raw, runs = zstandard.decompress(packed), []
-                for a, b in sorted((f["start"], f["stop"]) for f in found) if found is not None else ():
-                    b = min(b, len(raw))
-                    if runs and a <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], b)
-                    elif a < b:
-                        runs.append([a, b])
+            for packed_text, found in zip(b.column("packed").to_pylist(), b.column("found").to_pylist(), strict=True):
+                raw, runs = zstandard.decompress(packed_text), []
+                for start, stop in sorted((f["start"], f["stop"]) for f in found or ()):
+                    stop = min(stop, len(raw))
+                    if runs and start <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], stop)
+                    elif start < stop:
+                        runs.append([start, stop])
                 edges = [0, *(x for r in runs for x in r), len(raw)]
                 kept = b"".join(raw[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
-                rows.append((len(raw), [{"start": a, "stop": b} for a, b in runs], kept))
-            out = pd.DataFrame(rows, columns=["n_bytes", "spans", "kept"])
-            out.insert(0, "doc_id", pdf["id"].astype("Int64").array)
-            yield out
+                rows.append((len(raw), [{"start": x, "stop": y} for x, y in runs], kept))
+            n, removed, left = zip(*rows, strict=True) if rows else ((), (), ())
+            span_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+            out = pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(removed, span_type), pa.array(left, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+            yield out.take(pa.array(np.repeat(np.arange(b.num_rows), b.column("copies").to_numpy())))
 
-    return joined.mapInPandas(clear, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    return joined.mapInArrow(clear, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
