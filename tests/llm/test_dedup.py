@@ -104,17 +104,22 @@ def test_links_of_large_buckets_equal_those_of_small_ones(monkeypatch):
 def test_simhash_odd_rows(odd, none):
     out = simhash.near_duplicates(odd).collect()
     assert len(out) == 8 and {r.component_id for r in out if r.fingerprint == "0" * 16} == {3}
-    kept = simhash.one_of_each_group(odd)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} >= {1, 3}
-    assert simhash.near_duplicates(none).count() == 0 and simhash.one_of_each_group(none).count() == 0
+    assert simhash.near_duplicates(none).count() == 0
+
+
+def test_simhash_keeps_identifiers(spark):
+    rows = [(BIG + 1, "one two three"), (None, "four five six seven"), (BIG + 2, "eight nine ten"), (None, None), (BIG + 3, "one two three")]
+    out = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    want = [(i, f"{slow_simhash(t):016x}", {BIG + 3: BIG + 1}.get(i, i)) for i, t in rows]
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
     from tidemark.llm.components import connected_components
 
-    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3), (2, 1)]
+    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(299, k) for k in range(200, 299)] + [(7, 7), (None, 3), (2, 1)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: 0 for i in range(41)} | {k: 100 for k in range(100, 140)}
+    assert got == {i: 0 for i in range(41)} | {k: 100 for k in range(100, 140)} | {k: 200 for k in range(200, 300)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 

@@ -77,6 +77,15 @@ def packed(rows: DataFrame, merge: bool = False) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("packed", T.BinaryType()), T.StructField("copies", T.LongType())]))
 
 
+#: Rows of a side of a few numbers each that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df (a written table of a few numbers a row), to be broadcast if it has at most so many rows, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def fresh(taken: Iterable[str], *bases: str) -> list[str]:
     """Column names like bases that clash with none of taken (names don't differ by case)."""
     seen, out = {x.lower() for x in taken}, []

@@ -85,6 +85,20 @@ def variants(line: str, slots: list[int]) -> list[tuple[int, str]]:
     return sorted(out)
 
 
+def within_one_edit(a: str, b: str) -> bool:
+    """Whether the edit distance is at most 1: what follows the first difference decides. Linear, however long they are."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    at, n = 0, len(a)
+    while at < n and a[at : at + 256] == b[at : at + 256]:
+        at += 256
+    while at < n and a[at] == b[at]:
+        at += 1
+    return a[at + 1 :] == b[at + 1 :] if len(a) == len(b) else a[at:] == b[at + 1 :]
+
+
 #: Where a line stands, in the order in which lines count as earlier: rows without an identifier last.
 PLACE = "none boolean, k1 long, k2 long, at int"
 
@@ -157,8 +171,14 @@ def kept_lines(rows: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = found_in.withColumn("earlier", partner).where("earlier < me").select("h1", "h2", F.col("earlier.h1").alias("e1"), F.col("earlier.h2").alias("e2")).distinct()
     of = lines.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("what.line").alias("earlier_line"))
     own = lines.select("h1", "h2", F.col("what.line").alias("line"))
-    verified = pairs.join(own, ["h1", "h2"]).join(of, (F.col("e1") == F.col("t1")) & (F.col("e2") == F.col("t2"))).where(F.levenshtein("line", "earlier_line", 1).between(0, 1))
-    dropped = verified.select("h1", "h2").distinct()
+    both = pairs.join(own, ["h1", "h2"]).join(of, (F.col("e1") == F.col("t1")) & (F.col("e2") == F.col("t2"))).select("h1", "h2", "line", "earlier_line")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = [within_one_edit(x, y) for x, y in zip(b.column("line").to_pylist(), b.column("earlier_line").to_pylist(), strict=True)]
+            yield b.select(["h1", "h2"]).filter(pa.array(near, pa.bool_()))
+
+    dropped = both.mapInArrow(verify, "h1 long, h2 long").distinct()
     return distinct.join(dropped, ["h1", "h2"], "left_anti").select("first.k1", "first.k2", "first.at")
 
 

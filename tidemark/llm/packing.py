@@ -13,7 +13,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,20 +159,20 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int
     A null or empty text has the one id end_id.
     """
 
-    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        for pdf in batches:
+        for b in batches:
             rows = []
-            for doc, text in zip(pdf["i"].array, pdf["t"].array, strict=True):
-                ids = tok.ids(text or "") + end
+            for row, text in enumerate(b.column("t").to_pylist()):
+                ids = tok.ids(text) + end
                 n = len(ids) // 4
                 for at in range(0, n, sequence_tokens):
                     part = ids[4 * at : 4 * (at + sequence_tokens)]
-                    rows.append((doc, at, len(part) // 4, zlib.crc32(part), n))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            yield out.astype({"doc_id": "Int64"})
+                    rows.append((row, at, len(part) // 4, zlib.crc32(part), n))
+            of, *made = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 5)]
+            yield pa.RecordBatch.from_arrays([b.column("i").take(of), *made], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(docs[f"`{id_col}`"].cast("long").alias("i"), F.coalesce(docs[f"`{text_col}`"], F.lit("")).alias("t")).mapInPandas(cut_up, PIECES)
+    return docs.select(docs[f"`{id_col}`"].cast("long").alias("i"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("t")).mapInArrow(cut_up, PIECES)
 
 
 class FirstFit:
@@ -220,8 +220,8 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = 4096, end_
 
     Sequences hold at most sequence_tokens ids, offsets are gapless from 0. Every id of every document lies in
     exactly one piece; documents of more than sequence_tokens ids are cut, others stay whole. Repeated rows are packed
-    each for itself, rows without an identifier as well; null and empty texts give one piece of one id; an empty
-    table gives an empty result. Other columns of docs play no part, whatever their names.
+    each for itself, rows without an identifier as well; null and empty texts give one piece of one id, very long ones
+    as many pieces as they need; an empty table gives an empty result. Other columns of docs play no part, whatever their names.
     """
     spark = docs.sparkSession
     n = docs.count()
@@ -231,11 +231,10 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = 4096, end_
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("ids_crc32", "doc_tokens", F.lit(seed))).otherwise(F.xxhash64("doc_id", F.lit(seed)))
     pieces = pieces.withColumn("grp", F.pmod(key, F.lit(groups)))
 
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
-        bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), sequence_tokens)
-        pdf["sequence_id"] = pdf["grp"].to_numpy(np.int64) * (1 << 32) + bins
-        pdf["offset"] = offsets
-        return pdf.drop(columns="grp").astype({"doc_id": "Int64"})
+    def fill(found: pa.Table) -> pa.Table:
+        found = found.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        bins, offsets = first_fit_decreasing(found.column("length").to_numpy(), sequence_tokens)
+        sequence = found.column("grp").to_numpy() * (1 << 32) + bins
+        return found.drop_columns(["grp"]).append_column("sequence_id", pa.array(sequence, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
-    return pieces.repartition(max(1, min(groups, 4 * partitions(spark))), "grp").groupBy("grp").applyInPandas(fill, PIECES + ", sequence_id long, offset long")
+    return pieces.repartition(max(1, min(groups, 4 * partitions(spark))), "grp").groupBy("grp").applyInArrow(fill, PIECES + ", sequence_id long, offset long")

@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPLIT_ROWS, cut, fresh, hot_keys
+from tidemark.llm.common import SPLIT_ROWS, cut, hot_keys
 from tidemark.llm.components import connected_components
 
 BITS = 64
@@ -59,11 +60,12 @@ def simhash(text: str | None, words_per_shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
     """doc_id and fp (long) of every row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["i"].astype("Int64"), "fp": np.array([simhash(t, words_per_shingle) for t in pdf["t"].array], np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = pa.array([simhash(t, words_per_shingle) for t in b.column("t").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("i"), found], names=["doc_id", "fp"])
 
-    return docs.select(docs[f"`{id_col}`"].cast("long").alias("i"), docs[f"`{text_col}`"].cast("string").alias("t")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(docs[f"`{id_col}`"].cast("long").alias("i"), docs[f"`{text_col}`"].cast("string").alias("t")).mapInArrow(run, "doc_id long, fp long")
 
 
 def links_in_bucket(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -130,7 +132,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2, words_per_shingle: int = 3
 
     component_id is the smallest identifier reachable through links of at most radius differing bits. Copies share a
     fingerprint, so links are sought between distinct fingerprints only. Null and empty texts, and texts without
-    words, have fingerprint zero and link like any other. A row without an identifier gets its component's id, null if
+    words, have fingerprint zero and link like any other; texts are read whole, however long. A row without an identifier gets its component's id, null if
     no member has one. Repeated rows are returned each; an empty table gives an empty result; other columns of docs
     play no part.
     """
@@ -141,15 +143,3 @@ def near_duplicates(docs: DataFrame, radius: int = 2, words_per_shingle: int = 3
     groups = of.groupBy("root").agg(F.min("least").alias("component_id"))
     named = cut(of.join(groups, "root").select(F.col("fp").alias("of_fp"), "component_id"))
     return prints.join(named, F.col("fp") == F.col("of_fp")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def one_of_each_group(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay: of each group of near-duplicates the one with the smallest identifier.
-
-    Rows that share that identifier all stay (exact_dedup comes first where there may be such). Rows without an
-    identifier can't be told apart: they stay if some group has no other rows.
-    """
-    (kept_id,) = fresh(docs.columns, "nd_kept")
-    groups = near_duplicates(docs, radius, id_col=id_col, text_col=text_col)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept_id)).distinct()
-    return docs.join(kept, docs[f"`{id_col}`"].cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
