@@ -35,7 +35,7 @@ def em_by_force(votes, families, rounds=200):
         start = [0.9 * x + 0.1 / (len(families) + 1) for x in [float(not any(kinds)), *kinds]]
         post.append([x / sum(start) for x in start])
     for _ in range(rounds):
-        share = [(sum(p[c] for p in post) + 2) / (n + 2 * len(classes)) for c in classes]
+        share = [(sum(p[c] for p in post) + (0.5 if c else 16)) / (n + 16 + 0.5 * len(families)) for c in classes]
         against, total = {}, {}
         for c in classes:
             for k in many:

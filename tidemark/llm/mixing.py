@@ -157,6 +157,15 @@ def mix_sources(
     )
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs as often as they are drawn, with docs' own columns in their order, whatever they are called."""
+    names = fresh(["mix_tokens", "mix_epoch", "mix_order"], *[f"c{i}" for i in range(len(docs.columns))])
+    place = {c.lower(): n for c, n in zip(docs.columns, names, strict=True)}
+    plain = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    out = mix_sources(plain, id_col=place[id_col.lower()], text_col=place[text_col.lower()], source_col=place[source_col.lower()])
+    return out.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+
+
 def realised(mixed: DataFrame, docs: DataFrame, max_repeats: float = MAX_REPEATS, evenness: float = EVENNESS, text_col: str = "text", source_col: str = "source") -> DataFrame:
     """source, own_share, target and weight (shares of tokens) of each source with tokens: what was aimed at and drawn."""
     own = docs.groupBy(F.col(f"`{source_col}`").cast("string").alias("of")).agg(F.sum(words(docs[f"`{text_col}`"].cast("string"))).alias("tokens")).where("tokens > 0")

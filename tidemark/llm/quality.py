@@ -52,6 +52,8 @@ NAMES = ("symbols", "letters", "endings", "capitals", "exclamations", "bars", "b
 #: Votes that each labeller is thought to have cast beforehand: for good documents, and either way about bad ones. A weak
 #: prior: what the corpus says outweighs it.
 PRIOR_VOTES = 2.0
+#: Documents thought to have been seen beforehand: good ones, and bad ones of each kind.
+GOOD_DOCS, BAD_DOCS = 16.0, 0.5
 
 
 class Parsed(NamedTuple):
@@ -201,10 +203,12 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, families: list[list[int]]
     cast = np.stack([patterns == v for v in (-1, 1)], axis=2).astype(float)  # pattern, labeller, vote
     thought = np.full((classes, patterns.shape[1], 2), 0.5)
     thought[0] = 0.01, 1.0
+    expected = np.array([GOOD_DOCS, *[BAD_DOCS] * len(families)])
     post = first_guess(patterns, families)
     for _ in range(rounds):
         weight = counts[:, None] * post
-        share = (weight.sum(axis=0) + PRIOR_VOTES) / (counts.sum() + classes * PRIOR_VOTES)
+        share = weight.sum(axis=0) + expected
+        share /= share.sum()
         seen = np.einsum("pc,plv->clv", weight, cast) + PRIOR_VOTES * thought
         rates = seen / seen.sum(axis=2, keepdims=True)
         odds = np.log(share) + np.einsum("plv,clv->pc", cast, np.log(rates))
