@@ -239,6 +239,47 @@ def test_search_recall_and_exactness(spark):
         assert list(zip(-g.score, g.vec_id, strict=True)) == sorted(zip(-g.score, g.vec_id, strict=True))
 
 
+@needs_data
+def test_search_of_the_given_vectors(spark, monkeypatch):
+    """Recall on embeddings with several lists, of which some are left out."""
+    table = spark.read.parquet(f"{SF[:-2]}1/embeddings.parquet")
+    v = {r.vec_id: [float(x) for x in r.embedding] for r in table.collect()}
+    read = []
+    whole = ann.calibrated
+    monkeypatch.setattr(ann, "calibrated", lambda x, points, c, *a: read.append((len(c), whole(x, points, c, *a))) or read[-1][1])
+    out = ann.search(table, "vec_id % 20 = 0").toPandas()
+    want = exact_neighbours(v, [i for i in v if i % 20 == 0], 20)
+    got = {q: set(g.vec_id) for q, g in out.groupby("query_id")}
+    assert all(len(got[q]) == 20 for q in want) and read[0][0] >= 12 and 1 < read[0][1] < 1.15
+    assert sum(len(set(w) & got[q]) for q, w in want.items()) / (20 * len(want)) >= 0.9
+
+
+def test_lists_of_clusters_are_left_out():
+    """Where vectors form clusters, few lists are within the calibrated ratio, and no list is far above the mean."""
+    r = np.random.default_rng(1)
+    x = r.normal(size=(100, 32))[r.integers(0, 100, 5000)] + 0.3 * r.normal(size=(5000, 32))
+    x[:700] += 5  # a crowd
+    points = np.hstack([x, np.sqrt(np.maximum((x**2).sum(axis=1).max() - (x**2).sum(axis=1, keepdims=True), 0))])
+    c = ann.balanced_centroids(points, 40)
+    own = ann._nearest(points, c)
+    assert 40 <= len(c) <= 80 and np.bincount(own).max() <= 2.5 * len(x) / 40 * 1.2
+    d = np.sqrt(((np.hstack([x[:400], np.zeros((400, 1))])[:, None] - c[None]) ** 2).sum(axis=2))
+    assert (d <= ann.calibrated(x, points, c, 20, len(x)) * d.min(axis=1, keepdims=True)).mean() < 0.2
+    assert len(ann.balanced_centroids(np.ones((500, 3)), 10)) <= 20
+
+
+def test_search_among_many_copies(spark):
+    """Of equal vectors the smallest identifiers come first, also for a query that is one of them; clashing columns don't matter."""
+    rows = [(i, [1.0, 2.0, 0.5], 1.0, 0) for i in range(900)] + [(1000 + i, [1.0, 0.01 * i, 0.0], 2.0, 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double, rank int")
+    out = ann.search(df, "vec_id % 100 = 0", list_rows=20).toPandas()
+    v = {i: x for i, x, _, _ in rows}
+    want = exact_neighbours(v, [i for i in v if i % 100 == 0 and i < 1000], 20)
+    for q, w in want.items():
+        assert out[out.query_id == q].sort_values("rank").vec_id.tolist() == w
+    assert set(out.groupby("query_id").size()) == {20}
+
+
 def test_search_leaves_out_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 1.0]), (20, [0.5, 0.5]), (1, [0.4, 0.4]), (40, [])]

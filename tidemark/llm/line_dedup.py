@@ -132,14 +132,16 @@ def kept_lines(rows: DataFrame, texts: DataFrame) -> DataFrame:
             out = []
             columns = (b.column(c).to_pylist() for c in ("k1", "k2", "packed", "wants"))
             for k1, k2, text, lines in zip(*columns, strict=True):
+                if lines is None:
+                    continue
                 whole = zstandard.decompress(text).decode().split("\n") if text is not None else [""]
                 out += [(w["h1"], w["h2"], w["none"], k1, k2, w["at"], whole[w["at"]]) for w in lines]
             kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.string())
             made = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(made, names=["h1", "h2", "none", "k1", "k2", "at", "line"])
 
-    # every column of texts goes in, so that this join and the last one read one exchange
-    found = texts.join(of_row, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).mapInArrow(pick, f"h1 long, h2 long, {PLACE}, line string")
+    # every row and column of texts goes in, so that this join and the last one read one exchange
+    found = texts.join(of_row, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")), "left").mapInArrow(pick, f"h1 long, h2 long, {PLACE}, line string")
     lines = found.groupBy("h1", "h2").agg(F.any_value(F.struct("none", "k1", "k2", "at", "line")).alias("what"))
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
