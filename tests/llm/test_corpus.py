@@ -166,10 +166,41 @@ def test_extraction():
     assert (html_text.classify(tree, x) == y).mean() > 0.99
     plain = "<p>" + "word " * 60 + "<p>Second.<div><a href=1>x</a> <a href=2>y</a></div>"
     assert html_text.main_text(plain, tree) == ("word " * 60).strip() + "\nSecond."
-    assert html_text.main_text(None, tree) == html_text.main_text("", tree) == html_text.main_text("<", tree) == html_text.main_text("<p class='", tree) == ""
+    assert html_text.main_text(None, tree) == html_text.main_text("", tree) == html_text.main_text("<p class='", tree) == ""
     assert len(html_text.main_text("<article><p>" + "w " * 300_000, tree)) == 599_999
 
 
+def test_extraction_without_hints_of_names():
+    tree = html_text.trained_tree()
+    cases = {
+        "<article class='post social-science'><p>Hello there all.</p></article>": "Hello there all.",
+        "<body class='sidebar menu'><article><div class='search-history-essay'><p>A paragraph.</p></div></article>": "A paragraph.",
+        "<main><p>See:</p><ul><li><a href=1>First source</a></li><li><a href=2>Second</a></li></ul></main>": "See:\nFirst source\nSecond",
+        "<div>Roses are red,</div><div>Violets blue,</div><div>Sugar is sweet,</div><div>And so.</div>": "Roses are red,\nViolets blue,\nSugar is sweet,\nAnd so.",
+        "<div><a href=1>Home</a></div><div><a href=2>News</a></div><div>" + "Long text of words. " * 20 + "</div><div><a href=3>Next page</a></div>": ("Long text of words. " * 20).strip(),
+        "<h1>Head</h1><p>" + "text " * 30 + "</p><footer><p>All rights reserved by them and nobody else.</p></footer>": "Head\n" + ("text " * 30).strip(),
+    }
+    for page, text in cases.items():
+        assert html_text.main_text(page, tree) == text, page
+    x, y = html_text.labelled()
+    # learned on pages of every second layout, the tree knows most blocks of the others
+    pages, scales = len(html_text.PAGES), len(html_text.SCALES)
+    rows = [html_text.features(html_text.blocks(html_text._SPELLED.sub("w", p))) for p in html_text.PAGES]
+    of = np.concatenate([[k] * (len(r) * scales) for k, r in enumerate(rows)])
+    half = html_text.grow(x[of % 2 == 0], y[of % 2 == 0])
+    assert pages > 15 and (html_text.classify(half, x[of % 2 == 1]) == y[of % 2 == 1]).mean() > 0.8
+
+
+def test_extraction_is_linear():
+    import time
+
+    tree = html_text.trained_tree()
+    for part in ("<div>a</ul>", "<article>", "<div><p>a</div></span>", "<ul><li>a</div>", "<p x=\">"):
+        began = time.time()
+        html_text.main_text(part * (2_000_000 // len(part)), tree)
+        assert time.time() - began < 20, part
+
+
 @needs_data
 def test_extraction_of_articles(spark):
     import html

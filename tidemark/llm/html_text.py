@@ -1,13 +1,15 @@
 """Main text of web pages: flat text blocks classified by a decision tree.
 
 A page becomes a flat list of text blocks, each with its word count and link density, those of its neighbours, and what
-the markup around it says. A decision tree, trained here on the small labelled table below, keeps or drops each block.
+the elements around it are. A decision tree, trained here on the blocks of the small labelled pages below, keeps or
+drops each block.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import product
 from typing import NamedTuple
@@ -27,11 +29,9 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 ASIDES = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"}
 ARTICLES = {"article", "main"}
 CONTAINERS = ASIDES | ARTICLES | {"header", "section", "div", "ul", "ol", "dl", "table", "figure", "blockquote", "details", "body", "span"}
-ASIDE_NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsored", "sponsor", "banner", "promo", "sidebar", "comment", "comments", "respond", "cookie", "cookies", "consent", "notice", "popup", "modal", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "share", "social", "related", "newsletter", "subscribe", "search", "contentinfo", "complementary", "pagination", "pager", "widget", "toolbar", "login", "disqus"}
-HEADER_NAMES = {"header", "masthead", "topbar", "site-header", "page-header"}
-#: Compound names that mean an aside: by how they begin, and whole.
-ASIDE_PREFIXES = ("ad-slot", "ad-container", "ad-banner", "ad-unit", "adsbygoogle", "cookie-", "consent-", "share-", "social-", "sidebar-", "comments-", "comment-", "breadcrumb-", "navbar-", "nav-", "footer-", "menu-", "newsletter-", "pagination-", "popup-", "modal-")
-ASIDE_NAMES |= {"related-posts", "related-articles", "related-links", "related-stories", "related-content", "search-form", "search-box", "site-search", "site-footer", "page-footer", "main-nav", "site-nav", "main-menu", "site-menu", "side-bar", "login-form", "subscribe-form"}
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "td"}
+#: Whole tokens of a container's class, id or role that hint at an aside: one of the tree's features.
+ASIDE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "sponsored", "banner", "promo", "sidebar", "comment", "comments", "comment-list", "respond", "cookie", "cookies", "cookie-notice", "cookie-banner", "consent", "notice", "popup", "modal", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "share", "share-links", "share-buttons", "social", "social-links", "related", "related-posts", "related-articles", "newsletter", "subscribe", "search-form", "contentinfo", "complementary", "pagination", "pager", "widget", "toolbar", "login"}
 
 
 def _names(rest: str) -> set[str]:
@@ -39,43 +39,55 @@ def _names(rest: str) -> set[str]:
     return {w for v in _NAMES.findall(rest) for w in "".join(v).lower().replace("_", "-").split()}
 
 
-def _is_aside(names: set[str]) -> bool:
-    return bool(names & ASIDE_NAMES) or any(n.startswith(ASIDE_PREFIXES) for n in names)
-
-
 class Block(NamedTuple):
-    """words and linked words of a text block, the markup around it and its text."""
+    """words and linked words of a text block, the elements around it and its text."""
 
     text: str
     words: int
     linked: int
     article: bool
     aside: bool
+    named: bool
     prose: bool
 
 
+class Container(NamedTuple):
+    """An open container: its element, and whether it lies in an article, in an aside, in one named like an aside."""
+
+    element: str
+    article: bool
+    aside: bool
+    named: bool
+
+
+PAGE_ = Container("", False, False, False)
+
+
 def blocks(page: str) -> list[Block]:
-    """The non-empty text blocks of a page in order. White space inside a block is one space."""
+    """The non-empty text blocks of a page in order. White space inside a block is one space. Linear in the page."""
     out: list[Block] = []
     parts: list[str] = []
-    state = {"linked": 0, "links": 0, "prose": False}
-    stack: list[tuple[str, str]] = []  # containers: name and what they hold ("article", "aside" or as above)
-    inside = [""]
+    linked = links = 0
+    prose = False
+    stack = [PAGE_]
+    open_: Counter[str] = Counter()
 
     def flush() -> None:
+        nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                n = text.count(" ") + 1
-                out.append(Block(text, n, min(state["linked"], n), inside[-1] == "article", inside[-1] == "aside", state["prose"]))
+                n, at = text.count(" ") + 1, stack[-1]
+                out.append(Block(text, n, min(linked, n), at.article, at.aside, at.named, prose))
             parts.clear()
-        state["linked"] = 0
+        linked = 0
 
     def say(raw: str) -> None:
+        nonlocal linked
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if state["links"]:
-            state["linked"] += len(text.split())
+        if links:
+            linked += len(text.split())
 
     at, match = 0, _TAG.search
     while (m := match(page, at)) is not None:
@@ -97,31 +109,27 @@ def blocks(page: str) -> list[Block]:
             parts.append(" ")
             continue
         if name == "a":
-            state["links"] = max(0, state["links"] + (-1 if closing else 1))
+            links = max(0, links + (-1 if closing else 1))
         if name not in INLINE:
             flush()
-            state["links"] = 0 if name in CONTAINERS else state["links"]
-            state["prose"] = not closing and (name == "p" or name in {"h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "td"})
+            links = 0 if name in CONTAINERS else links
+            prose = not closing and name in PROSE
         if name not in CONTAINERS or name in VOID:
             continue
         if closing:
-            if any(n == name for n, _ in stack):
-                while True:
-                    n, _ = stack.pop()
-                    inside.pop()
-                    if n == name:
-                        break
+            while open_[name]:  # elements left open inside it end with it
+                last = stack.pop()
+                open_[last.element] -= 1
+                if last.element == name:
+                    break
         elif not rest.endswith("/"):
-            what = inside[-1]
-            named = _names(rest) if rest else set()
-            if name in ASIDES or _is_aside(named) or ((name == "header" or named & HEADER_NAMES) and what != "article"):
-                if name == "span" and inside[-1] != "aside":
-                    flush()
-                what = "aside"
-            elif name in ARTICLES and not any(w == "aside" and n in ASIDES for n, w in stack):
-                what = "article"
-            stack.append((name, what))
-            inside.append(what)
+            around = stack[-1]
+            named = name not in {"body", "main"} and bool(rest) and not _names(rest).isdisjoint(ASIDE_NAMES)
+            aside = name in ASIDES or (name == "header" and not around.article)
+            if name == "span" and named and not around.named:
+                flush()
+            stack.append(Container(name, around.article or (name in ARTICLES and not around.aside), around.aside or aside, around.named or named))
+            open_[name] += 1
     if at < len(page):
         say(page[at:])
     flush()
@@ -129,7 +137,7 @@ def blocks(page: str) -> list[Block]:
 
 
 #: What the tree sees of a block.
-FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "article", "aside", "prose", "page_has_article")
+FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "article", "aside", "named", "prose", "page_has_article")
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -140,45 +148,70 @@ def features(found: list[Block]) -> np.ndarray:
         out[:, 0] = [b.words for b in found]
         out[:, 1] = [b.linked / b.words for b in found]
         out[1:, 2:4], out[:-1, 4:6] = out[:-1, 0:2], out[1:, 0:2]
-        out[:, 6:9] = [(b.article, b.aside, b.prose) for b in found]
-        out[:, 9] = out[:, 6].max()
+        out[:, 6:10] = [(b.article, b.aside, b.named, b.prose) for b in found]
+        out[:, 10] = out[:, 6].max()
     return out
 
 
-# The labelled table: kinds of blocks as seen on pages, each with the values that its features take together and
-# whether it is main text. (words, link densities, neighbours as (words, density), article, aside, prose, page_has_article)
-_ANY = ((0, 0.0), (1, 1.0), (4, 0.0), (12, 1.0), (40, 0.0), (400, 0.0))
-_TEXT = ((30, 0.0), (120, 0.1), (400, 0.0))
-_LINKS = ((0, 0.0), (1, 1.0), (4, 0.8), (12, 1.0))
-KINDS = [
-    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 1, 0, 1, 1, True),  # paragraphs and headings of an article
-    ((1, 3, 9, 40, 150), (0.0, 0.3), _ANY, 1, 0, 0, 1, True),  # lists and loose text of an article
-    ((1, 3, 9, 20, 40), (0.75, 1.0), _ANY, 1, 0, 0, 1, True),  # lists of links in an article: references, names
-    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 1, 1, False),  # menus, headers, footers, sidebars, notices,
-    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 0, 1, False),  # adverts, forms and comments
-    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 1, 0, False),
-    ((1, 3, 9, 40, 150, 900), (0.0, 0.3, 1.0), _ANY, 0, 1, 0, 0, False),
-    ((1, 3, 9, 40, 150), (0.0, 0.3, 1.0), _ANY, 0, 0, 1, 1, False),  # beside the article of a page that marks one
-    ((1, 3, 9, 40, 150), (0.0, 0.3, 1.0), _ANY, 0, 0, 0, 1, False),
-    ((1, 3, 9, 40, 150, 900), (0.0, 0.3), _ANY, 0, 0, 1, 0, True),  # prose of a page that marks no article
-    ((20, 40, 150, 900), (0.0, 0.3), _ANY, 0, 0, 0, 0, True),
-    ((1, 3, 9), (0.0, 0.3), _TEXT, 0, 0, 0, 0, True),  # short text amid prose
-    ((1, 3, 9), (0.0, 0.3), _LINKS, 0, 0, 0, 0, False),  # scraps amid links
-    ((1, 3, 9, 40), (0.75, 1.0), _ANY, 0, 0, 1, 0, False),  # links
-    ((1, 3, 9, 40, 150), (0.75, 1.0), _ANY, 0, 0, 0, 0, False),
+# The labelled pages. T40 stands for 40 words, L3 for a link of 3 words; * before a block says that it is main text. Each
+# page counts as it is and with blocks of over FEW words made shorter and longer (SCALES), as their kinds come in all lengths.
+FEW, SCALES = 10, (0.4, 1.0, 3.0)
+PAGES = [
+    # news: menus, advert, article with links, share bar, comments, sidebar, footer
+    "<header><h1>T2</h1><p>T6</p></header><nav><ul><li>L1</li><li>L1</li><li>L2</li><li>L1</li></ul></nav><div class=ad>T8</div><div>T5</div><article><header><h1>*T8</h1><p>*T4</p></header><p>*T62</p><p>*T3</p><p>*T25 L2 T30</p><h2>*T4</h2><p>*L5</p><ul><li>*T6</li><li>*L3</li><li>*L4</li><li>*T2 L3</li></ul><div class=share><span>T2</span><ul><li>L1</li><li>L1</li></ul></div><p>*T140</p><section class=comments><h3>T2</h3><p>T30</p><p>T4</p><p>T85</p></section></article><aside><h3>T2</h3><p>T24</p><ul><li>L5</li><li>L6</li></ul></aside><form>T3</form><footer><p>T9</p><p>L1</p><p>T40</p></footer>",
+    # essay in main, loose text, table, notice inside
+    "<nav>L1 L1 L2</nav><div class=cookie-notice><p>T30</p></div><main><h1>*T3</h1>*T40<div>*T12</div><div>*L3</div><table><tr><td>*T2</td><td>*L2</td></tr></table><div class=related><p>T6</p><a>L4</a><p>T35</p></div><p>*T5</p><blockquote>*T33</blockquote><ol><li>*L2</li><li>*L9</li></ol><div class=newsletter><p>T14</p></div></main><div><p>T18</p></div><div>T3</div><footer>T6</footer>",
+    # poem in an article: short lines
+    "<nav>L1</nav><article><div>*T4</div><div>*T6</div><div>*T5</div><div>*T1</div><div>*T7</div></article><p>T50</p><footer>T3</footer>",
+    # text of all lengths inside an article, and around it
+    "<div>T1</div><div>T22</div><p>T55</p><div>L1</div><div>T7</div><article><h1>*T9</h1><p>*T1</p><p>*T250</p><p>*T18</p><h2>*T2</h2><p>*T33</p><div>*T3</div><div>*T70</div><div>*L2</div><p>*L12</p><p>*T5 L5</p><p>*T11</p><p>*T2</p><p>*T400</p><p>*T90</p></article><div>T4</div><p>T120</p><div>T2</div><p>L30</p><div>T35</div><div>T14 L3</div>",
+    "<p>T12</p><p>T2</p><main><div>*L1</div><div>*T2</div><div>*T27</div><p>*T160</p><p>*T4</p><p>*T8 L2</p><h3>*T1</h3><div>*T16</div><ul><li>*L1</li><li>*T48</li><li>*T2</li></ul></main><div>T60</div><p>T3</p><p>T44</p>",
+    "<article><p>*T6</p><div class=ad>T1</div><p>*T37</p><div class=promo><p>T64</p><p>T2</p><div>L2</div></div><p>*T2</p><aside>T12</aside><p>*T210</p><div class=ad>T19</div><h2>*T3</h2><p>*T23</p><nav>L2</nav><p>*T13</p><form><p>T3</p></form></article>",
+    # a page that marks nothing: menu, text in divs, links, imprint
+    "<div><div>L1</div><div>L1</div><div>L2</div><div>L1</div><div>L1</div></div><div><div>*T9</div><div>*T55</div><div>*T80</div><div>*T7</div><div>*T46 L3 T20</div></div><div><div>L3</div><div>L4</div><div>L6</div></div>",
+    # short lines in divs, and nothing else
+    "<div>*T3</div><div>*T5</div><div>*T4</div><div>*T2</div><div>*T6</div><div>*T3</div>",
+    "<div>*T1</div><div>*T1</div><div>*T2</div>",
+    "<div>*T8</div>",
+    "*T30",
+    # short lines beside a menu
+    "<ul><li>L1</li><li>L2</li><li>L1</li><li>L1</li></ul><div>*T6</div><div>*T4</div><div>*T7</div><div>*T5</div><div>*T9</div><ul><li>L3</li><li>L2</li></ul>",
+    # labels and dates amid links
+    "<div>L2</div><div>T1</div><div>L3</div><div>T2</div><div>L2</div><div>T1</div><div>L4</div><div>L1</div><p>*T60</p><p>*T3</p><p>*T90</p><div>L2</div><div>T2</div><div>L5</div>",
+    # paragraphs between headings, asides marked by elements only
+    "<header>T3 L1</header><nav>L1 L1</nav><h1>*T5</h1><p>*T44</p><h2>*T2</h2><p>*T7</p><p>*T2</p><p>*T88</p><aside><p>T33</p></aside><p>*T31 L2 T3</p><footer><p>T12</p><p>T30</p></footer>",
+    # asides named only by their classes
+    "<div class=navbar><div>L1</div><div>T2</div></div><div class=sidebar><p>T28</p><div>T9</div><p>L3</p></div><div><p>*T52</p><p>*T6</p><div>*T38</div></div><div class=comments><p>T41</p><div>T7</div></div><div class=ads>T15</div><div class=footer><p>T20</p></div>",
+    # nothing but links
+    "<div>L2</div><div>L3</div><p>L1</p><div>L2</div><p>L5</p><ul><li>L8</li><li>L25</li></ul><td>L3</td>",
+    # paragraphs with many links, and a paragraph of one
+    "<p>*T40 L8 T30</p><p>*T12 L6</p><p>L4</p><p>L7</p><div>*T45 L12</div><h2>L3</h2>",
+    "<table><tr><td>L1</td><td>L1</td></tr></table><table><tr><td>*T70</td></tr><tr><td>*T15</td></tr></table><table><tr><td>L1</td></tr></table>",
 ]
+_SPELLED = re.compile(r"([TL])(\d+)")
+MAIN = "\u2605"
 
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
-    """The table's rows of FEATURES and their labels."""
-    rows = [((w, d, *b, *a, *kind), label) for words, density, near, *kind, label in KINDS for w, d, b, a in product(words, density, near, near)]
-    return np.array([r for r, _ in rows], float), np.array([v for _, v in rows], float)
+    """The labelled pages' blocks: rows of FEATURES, and whether they are main text."""
+
+    def spell(m: re.Match, scale: float) -> str:
+        n = int(m[2])
+        words = " ".join(["w"] * (n if n <= FEW else max(FEW, round(n * scale))))
+        return words if m[1] == "T" else f"<a href=x>{words}</a>"
+
+    x, y = [], []
+    for page, scale in product(PAGES, SCALES):
+        marked = blocks(_SPELLED.sub(lambda m, by=scale: spell(m, by), page.replace("*", MAIN)))
+        x.append(features(marked))
+        y.append([b.text.startswith(MAIN) for b in marked])
+    return np.vstack(x), np.concatenate(y).astype(float)
 
 
 Tree = tuple
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 10) -> Tree:
     """A binary tree by Gini impurity: (feature, threshold, below or equal, above), or (label,) for a leaf.
 
     Of equally good splits the first feature and lowest threshold count, so equal tables give equal trees.
@@ -232,8 +265,8 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Every row of pages, without its html, with text and n_chars (code points).
 
     A null or empty page, and one without main text, has an empty text. Markup that breaks off, is not closed or nests
-    wrongly is read as far as it goes. Repeated rows are extracted each; an empty table gives an empty result. Columns
-    of pages called text or n_chars give way to the results.
+    wrongly is read as far as it goes, in a time that grows with the page's length. Repeated rows are extracted each;
+    an empty table gives an empty result. Columns of pages called text or n_chars give way to the results.
     """
     tree = trained_tree()
     others = [c for c in pages.columns if c.lower() not in {"text", "n_chars", html_col.lower()}]
