@@ -25,38 +25,39 @@ def test_series_growth_over_a_year_and_z(spark):
 
 
 def test_fx_crosses(spark):
-    obs = spark.createDataFrame([("DEXUSUK", D(2024, 1, 1), 1.25), ("DEXUSEU", D(2024, 1, 1), 1.10)], "series_id string, obs_date date, value double")
+    obs = spark.createDataFrame([("DEXUSUK", D(2021, 3, 8), 1.6), ("DEXUSEU", D(2021, 3, 8), 1.2)], "series_id string, obs_date date, value double")
     r = gold.fx(obs).first()
-    assert (r.gbp_per_usd, r.eur_per_gbp, r.gbp_per_eur) == pytest.approx((0.8, 1.25 / 1.1, 0.88))
+    assert (r.gbp_per_usd, r.eur_per_gbp, r.gbp_per_eur) == pytest.approx((0.625, 4 / 3, 0.75))
 
 
 def test_prices_in_pounds(spark):
-    prices = spark.createDataFrame([("P", D(2024, 1, 2), 2500.0, 2500.0), ("U", D(2024, 1, 2), 100.0, 100.0), ("U", D(2023, 1, 2), 90.0, 90.0), ("Y", D(2024, 1, 2), 5.0, 5.0)], "ticker string, price_date date, close double, adj_close double")
-    dim = spark.createDataFrame([("P", "GBp", "g", "s"), ("U", "USD", "g", "s"), ("Y", "JPY", "g", "s")], "ticker string, currency string, group string, sector string")
-    rates = spark.createDataFrame([(D(2024, 1, 1), 0.80, 0.88)], "date date, gbp_per_usd double, gbp_per_eur double")
+    prices = spark.createDataFrame([("N", D(2021, 3, 9), 3120.0, 3120.0), ("V", D(2021, 3, 9), 47.5, 47.5), ("V", D(2021, 3, 5), 44.0, 44.0), ("E", D(2021, 3, 20), 12.0, 10.0), ("K", D(2021, 3, 9), 7.0, 7.0)], "ticker string, price_date date, close double, adj_close double")
+    dim = spark.createDataFrame([("N", "GBp", "g", "s"), ("V", "USD", "g", "s"), ("E", "EUR", "h", "s"), ("K", "SEK", "g", "s")], "ticker string, currency string, group string, sector string")
+    rates = spark.createDataFrame([(D(2021, 3, 8), 0.72, 0.85), (D(2021, 3, 15), 0.73, 0.86)], "date date, gbp_per_usd double, gbp_per_eur double")
     out = rows(gold.equity_analytics(prices, dim, rates), "ticker", "price_date")
-    assert out["P", D(2024, 1, 2)].gbp_adj_close == 25.0 and out["U", D(2024, 1, 2)].gbp_adj_close == 80.0
-    assert out["U", D(2023, 1, 2)].gbp_adj_close is None and out["Y", D(2024, 1, 2)].gbp_adj_close is None
+    assert out["N", D(2021, 3, 9)].gbp_adj_close == pytest.approx(31.2) and out["V", D(2021, 3, 9)].gbp_adj_close == pytest.approx(34.2)
+    assert out["E", D(2021, 3, 20)].gbp_adj_close == pytest.approx(8.6)
+    assert out["V", D(2021, 3, 5)].gbp_adj_close is None and out["K", D(2021, 3, 9)].gbp_adj_close is None
 
 
 def test_vol_states(spark):
-    obs = [(s, D(2024, 1, d), v) for d, a, b in ((1, 14.0, 17.0), (2, 28.0, 26.0), (3, 19.4, 20.0)) for s, v in (("VIXCLS", a), ("VXVCLS", b))]
+    obs = [(s, D(2024, 1, d), v) for d, a, b in ((1, 11.0, 16.0), (2, 33.0, 27.0), (3, 20.9, 21.0)) for s, v in (("VIXCLS", a), ("VXVCLS", b))]
     out = rows(gold.vol_term(spark.createDataFrame(obs, "series_id string, obs_date date, value double")), "date")
     assert [out[(D(2024, 1, d),)].ts_state for d in (1, 2, 3)] == ["contango", "backwardation", "flat"]
 
 
 def test_positioning_percentile_and_z(spark):
-    weeks = [("vix", "VIX", D(2024, 1, 7 * i + 1), D(2024, 1, 7 * i + 4), 1000, n, 0, 0, 0) for i, n in enumerate((-100, 0, 100, 60))]
+    weeks = [("vix", "VIX", D(2024, 1, 1) + dt.timedelta(days=7 * i), D(2024, 1, 4) + dt.timedelta(days=7 * i), 1000, n, 0, 0, 0) for i, n in enumerate((30, -50, 90, 40, 65))]
     out = rows(gold.positioning(spark.createDataFrame(weeks, "market_id string, market string, report_date date, available_from date, open_interest long, lev_long long, lev_short long, am_long long, am_short long")), "report_date")
-    assert out[(D(2024, 1, 15),)].net_lev_pctile == 1.0 and out[(D(2024, 1, 15),)].net_lev_z == pytest.approx(1.0)
-    assert out[(D(2024, 1, 22),)].net_lev_pctile == 0.75 and out[(D(2024, 1, 22),)].net_lev_wow == -40
+    assert out[(D(2024, 1, 15),)].net_lev_pctile == 1.0 and out[(D(2024, 1, 15),)].net_lev_z == pytest.approx((90 - 70 / 3) / (14800 / 3) ** 0.5)
+    assert [out[(D(2024, 1, d),)].net_lev_pctile for d in (22, 29)] == [0.75, 0.8] and out[(D(2024, 1, 29),)].net_lev_wow == 25
 
 
 def test_skew_percentile_and_null_value(spark):
-    days = [("spx", "SPY", D(2024, 1, i + 1), "x", 30, 1.0, 0.2, 0.3, 0.1, v, v) for i, v in enumerate((0.05, 0.08, 0.06, 0.10, None))]
+    days = [("spx", "SPY", D(2024, 1, i + 1), "x", 30, 1.0, 0.2, 0.3, 0.1, v, v) for i, v in enumerate((0.04, 0.03, 0.09, 0.06, None))]
     out = rows(gold.skew(spark.createDataFrame(days, "ticker_id string, ticker string, capture_date date, expiry string, dte int, spot double, atm_iv double, put_iv double, call_iv double, put_skew double, risk_reversal double")), "capture_date")
-    assert out[(D(2024, 1, 3),)].put_skew_pctile == pytest.approx(2 / 3) and out[(D(2024, 1, 4),)].put_skew_pctile == 1.0
-    assert out[(D(2024, 1, 4),)].put_skew_chg == pytest.approx(0.04) and out[(D(2024, 1, 5),)].put_skew_pctile == 0.0
+    assert out[(D(2024, 1, 3),)].put_skew_pctile == 1.0 and out[(D(2024, 1, 4),)].put_skew_pctile == 0.75
+    assert out[(D(2024, 1, 4),)].put_skew_chg == pytest.approx(-0.03) and out[(D(2024, 1, 5),)].put_skew_pctile == 0.0
 
 
 def test_as_of_joins_take_rows_also_with_null_values(spark):
@@ -79,17 +80,18 @@ def test_regime_axis_and_label(spark):
 
 
 def test_momentum_offsets(spark):
-    closes = [100.0] * 300
-    closes[-1], closes[-22], closes[-127], closes[-253] = 120.0, 110.0, 100.0, 80.0
-    prices = spark.createDataFrame([("T", D(2023, 1, 1) + dt.timedelta(days=i), c) for i, c in enumerate(closes)], "ticker string, date date, close double")
-    r = security.momentum(prices, "2024-12-31").first()
-    assert (r.ret_1m, r.ret_6m, r.ret_12_1m, r.dist_52w_high) == pytest.approx((120 / 110 - 1, 0.2, 110 / 80 - 1, 0.0))
+    closes = [50.0] * 290
+    closes[-1], closes[-22], closes[-100], closes[-127], closes[-253] = 66.0, 60.0, 88.0, 55.0, 48.0
+    prices = spark.createDataFrame([("Q", D(2019, 6, 1) + dt.timedelta(days=i), c) for i, c in enumerate(closes)], "ticker string, date date, close double")
+    r = security.momentum(prices, "2020-12-31").first()
+    assert (r.ret_1m, r.ret_6m, r.ret_12_1m, r.dist_52w_high) == pytest.approx((0.1, 0.2, 0.25, -0.25))
 
 
 def test_facts_known_at_two_dates(spark):
-    facts = spark.createDataFrame([("T", "revenue", D(2023, 12, 31), "FY", D(2024, 2, 1), 383e9), ("T", "revenue", D(2022, 12, 31), "FY", D(2023, 2, 1), 394e9), ("T", "revenue", D(2022, 12, 31), "FY", D(2024, 3, 1), 395e9), ("T", "revenue", D(2024, 3, 31), "Q1", D(2024, 5, 1), 90e9)], "ticker string, metric string, period_end date, fiscal_period string, filed_date date, value double")
-    early, late = security.facts_known(facts, "2023-12-31").first(), security.facts_known(facts, "2024-12-31").first()
-    assert early.revenue == 394e9 and early.revenue_prev is None and late.revenue == 383e9 and late.revenue_prev == 395e9
+    known = [(D(2021, 6, 30), "FY", D(2021, 9, 1), 512.0), (D(2020, 6, 30), "FY", D(2020, 9, 3), 430.0), (D(2020, 6, 30), "FY", D(2021, 10, 4), 431.5), (D(2021, 9, 30), "Q1", D(2021, 11, 2), 140.0)]
+    facts = spark.createDataFrame([("Q", "revenue", *k) for k in known], "ticker string, metric string, period_end date, fiscal_period string, filed_date date, value double")
+    early, late = security.facts_known(facts, "2021-08-31").first(), security.facts_known(facts, "2021-12-31").first()
+    assert early.revenue == 430.0 and early.revenue_prev is None and late.revenue == 512.0 and late.revenue_prev == 431.5
 
 
 def test_factors_of_equal_values_are_zero_and_missing_stays_missing(spark):

@@ -37,17 +37,19 @@ def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date
 def asof_calendar(left: DataFrame, right: DataFrame, left_date: str, right_date: str, take: Sequence[str]) -> DataFrame:
     """left with the columns take of the latest right row whose right_date is not after left_date; no key.
 
-    right holds one row for a date at most. It becomes a calendar with a row for each day of its validity, up to left's
-    last date, so the join is by equal day and no window runs over all rows in one task. The calendar is broadcast as
-    long as it is within CALENDAR_DAYS.
+    right holds one row for a date at most. It becomes a calendar with a row for each day up to its last date; later
+    days of left count as that date. So the join is by equal day and no window runs over all rows in one task; left is
+    not read to find its bounds. The calendar is broadcast as long as it is within CALENDAR_DAYS.
     """
-    first, last = right.agg(F.min(right_date)).first()[0], left.agg(F.max(left_date)).first()[0]
     names = list(left.columns)
-    if first is None or last is None or first > last:
+    dated = right.where(F.col(right_date).isNotNull())
+    first, last = dated.agg(F.min(right_date), F.max(right_date)).first()
+    if first is None:
         return left.select(*names, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in take])
-    until = F.coalesce(F.date_sub(F.lead(right_date).over(Window.orderBy(right_date)), 1), F.lit(last))
-    valid = right.where(F.col(right_date).isNotNull()).select(F.col(right_date).alias("_from"), until.alias("_until"), F.struct(*take).alias("_got")).where("_from <= _until")
+    until = F.coalesce(F.date_sub(F.lead(right_date).over(Window.orderBy(right_date)), 1), F.col(right_date))
+    valid = dated.select(F.col(right_date).alias("_from"), until.alias("_until"), F.struct(*take).alias("_got"))
     calendar = valid.select(F.explode(F.sequence("_from", "_until")).alias("_day"), "_got")
     if (last - first).days <= CALENDAR_DAYS:
         calendar = F.broadcast(calendar)
-    return left.join(calendar, F.col(left_date) == F.col("_day"), "left").select(*names, *[F.col(f"_got.{c}").alias(c) for c in take])
+    at = F.least(F.col(left_date), F.lit(last))
+    return left.join(calendar, F.when(F.col(left_date).isNotNull(), at) == F.col("_day"), "left").select(*names, *[F.col(f"_got.{c}").alias(c) for c in take])

@@ -29,10 +29,10 @@ def forward_fill(df: DataFrame, spine: DataFrame, key: str, date: str, value: st
     Filled in long form: a key's intervals between values are spread over the spine, so keys run in parallel.
     """
     days = spine.select(F.col(date).alias("_day")).distinct()  # a calendar: one row a day
-    last = days.agg(F.max("_day")).first()[0]
+    last = days.agg(F.max("_day")).scalar()  # inside the plan
     known = df.where(F.col(value).isNotNull()).select(key, F.col(date).alias("_from"), value)
     nxt = F.lead("_from").over(Window.partitionBy(key).orderBy("_from"))
-    until = F.least(F.coalesce(F.date_sub(nxt, 1), F.lit(last).cast("date")), F.lit(last).cast("date"))
+    until = F.least(F.coalesce(F.date_sub(nxt, 1), last), last)
     spans = known.withColumn("_until", until).where("_from <= _until")
     held = spans.select(key, value, F.explode(F.sequence("_from", "_until")).alias(date))
     return held.join(days, F.col(date) == F.col("_day"), "left_semi").select(key, date, value)
