@@ -201,7 +201,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     k1, k2 = row_keys(ident, text)
     others = [(c, n) for c, n in zip(held, names, strict=True) if c.lower() != text_col.lower()]
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), ident.alias("id"), text.alias("text"))
-    texts = packed(docs.select(*[docs[f"`{c}`"].alias(n) for c, n in others], k1.alias("k1"), k2.alias("k2"), text.alias("text"))).repartition(partitions(docs.sparkSession), "k1", "k2")
+    texts = packed(docs.select(*[docs[f"`{c}`"].alias(n) for c, n in others], k1.alias("k1"), k2.alias("k2"), text.alias("text"))).drop("copies").repartition(partitions(docs.sparkSession), "k1", "k2")
     stay = kept_lines(rows, texts).groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.collect_list("at").alias("stay"))
     joined = texts.join(stay, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left")
 
