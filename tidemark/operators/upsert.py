@@ -47,9 +47,9 @@ def replace_by_key(stored: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return anti(stored, gone, keys).unionByName(incoming, allowMissingColumns=True)
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], ord_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], ord_col: str) -> tuple[DataFrame, DataFrame]:
     """The new table, and counts (n_seen, n_new) of the incoming rows; within the batch the last row by ord_col wins."""
-    rows = last_wins(incoming, keys, ord_col) if ord_col else incoming.dropDuplicates(list(keys))
+    rows = last_wins(incoming, keys, ord_col)
     counts = _counts(rows, stored, keys)
     columns = stored.columns
     return anti(stored, rows, keys).select(*columns).unionByName(rows, allowMissingColumns=True).select(*columns), counts

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.functions.stats import by, change, expanding, growth, row_mean, safe_div, trailing, zscore_over
 from tidemark.operators.asof import asof_calendar, asof_keyed, value_before
@@ -125,28 +128,32 @@ def vol_term(obs: DataFrame) -> DataFrame:
     return wide.withColumn("ts_state", F.when(r >= 1.0, "backwardation").when(r >= 0.95, "flat").when(r.isNotNull(), "contango"))
 
 
-def expanding_percentile(df: DataFrame, key: str, date: str, value: str, out: str) -> DataFrame:
-    """Share of a key's history, the current row included, that is not above the current value; 0 for null.
+def _shares_so_far(values: np.ndarray, step: int = 1024) -> np.ndarray:
+    """For each value the share of values up to its place that are not above it; 0 for NaN.
 
-    A key's history is read in date order once and kept sorted, instead of being counted anew for each row.
+    A block is searched in the sorted values before it and compared with itself: no loop over rows.
     """
-    import bisect
+    out = np.zeros(len(values))
+    before = np.empty(0)
+    for at in range(0, len(values), step):
+        block = values[at : at + step]
+        known = ~np.isnan(block)
+        x = block[known]
+        not_above = np.searchsorted(before, x, side="right") + np.tril(x[None, :] <= x[:, None]).sum(axis=1)
+        out[at : at + step][known] = not_above / (np.flatnonzero(known) + at + 1)
+        before = np.sort(np.concatenate([before, x]), kind="stable")
+    return out
+
 
-    import pandas as pd
+def expanding_percentile(df: DataFrame, key: str, date: str, value: str, out: str) -> DataFrame:
+    """Share of a key's history, the current row included, that is not above the current value; 0 for null.
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
+    A key's history, one row a date, is read once in blocks, instead of being counted anew for each row.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date, kind="stable")
-        seen: list[float] = []
-        shares = []
-        for n, v in enumerate(pdf[value].tolist(), 1):
-            if v is None or v != v:
-                shares.append(0.0)
-            else:
-                bisect.insort(seen, v)
-                shares.append(bisect.bisect_right(seen, v) / n)
-        pdf[out] = shares
+        pdf[out] = _shares_so_far(pdf[value].to_numpy(dtype="float64", na_value=np.nan))
         return pdf
 
     return df.groupBy(key).applyInPandas(run, StructType([*df.schema.fields, StructField(out, DoubleType())]))

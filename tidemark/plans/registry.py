@@ -13,6 +13,15 @@ from tidemark.plans.oracle import ASOF_DATE, STEPS
 
 View = Callable[[str], DataFrame]
 
+#: Gold tables held for the query asked for last; the next one lets them go, so that storage doesn't grow with queries.
+_held: list[DataFrame] = []
+
+
+def release() -> None:
+    """Lets go of held tables. A frame that was built on them still gives its rows, computed anew."""
+    while _held:
+        _held.pop().unpersist()
+
 
 @dataclass
 class Query:
@@ -28,13 +37,16 @@ class Query:
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         kept: dict[str, DataFrame] = {}
+        release()
 
         def view(name: str, held: bool = True) -> DataFrame:
-            """A relation. Gold tables that others are built from are held, as a saved table would be: they are read
-            several times in one query, and Spark finds them again by their plan in the next one."""
+            """A relation. Gold tables that others are built from are held until the next query, as a saved table would
+            be: they are read several times in one query."""
             if name not in kept:
                 df = GOLD[name](view) if name in GOLD else fixtures.view(spark, sf_dir, name)
-                kept[name] = df.persist() if held and name in SHARED else df
+                if held and name in SHARED:
+                    _held.append(df.persist())
+                kept[name] = df
             return kept[name]
 
         out = self.run(view if self.many else lambda name: view(name, held=False))
