@@ -73,8 +73,8 @@ VIEWS = {
                round(avg(CASE WHEN event_type = 'click' THEN value END) - avg(CASE WHEN event_type = 'signup' THEN value END), 6) AS risk_reversal
         FROM {events} GROUP BY user_id % 3, CAST(ts AS DATE)""",
     "headline_items": """
-        SELECT md5(d.text) AS item_id, substr(d.text, 1, 80) AS title, p.html AS summary, 'https://example.com/' || CAST(d.doc_id AS STRING) AS link,
-               CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 MINUTE * CAST(d.doc_id % 40000 AS INT) END AS published_at,
+        SELECT md5(d.text) AS item_id, d.text AS title, p.html AS summary, 'https://example.com/' || CAST(d.doc_id AS STRING) AS link,
+               CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 7 MINUTE * CAST(d.doc_id % 40000 AS INT) END AS published_at,
                d.source AS first_feed, TIMESTAMP '2024-01-02 00:00:00' + INTERVAL 1 MINUTE * CAST(d.doc_id AS INT) AS first_seen_at, d.doc_id
         FROM {documents} d LEFT JOIN {pages} p ON d.doc_id = p.page_id""",
     "news_feeds": """

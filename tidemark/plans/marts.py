@@ -31,6 +31,44 @@ def run_report(status: DataFrame) -> DataFrame:
     return x.orderBy(F.col("failed").desc(), "category")
 
 
+def key_coverage(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
+    """(key): first and last date and rows that hold a value, for the status of a run."""
+    return df.where(F.col(value).isNotNull()).groupBy(key).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.count(F.lit(1)).alias("n_rows"))
+
+
+#: What a run of each kind must show to pass, over counts n, ok, empty, failed.
+PASSES = {"series": "failed = 0", "feeds": "failed = 0", "positions": "failed = 0 AND empty < n", "skew": "failed = 0 AND ok > 0"}
+
+
+def run_summary(status: DataFrame, kind: str, total: str) -> DataFrame:
+    """One row: counts by status, the sum of total, and the result of a run of this kind (a key of PASSES)."""
+    s = F.col("status")
+    x = status.agg(F.count(F.lit(1)).alias("n"), F.count_if(s == "ok").alias("ok"), F.count_if(s == "not_modified").alias("not_modified"), F.count_if(s == "empty").alias("empty"), F.count_if(s == "error").alias("failed"), F.coalesce(F.sum(total), F.lit(0)).alias("total"))
+    return x.withColumn("result", F.when(F.expr(PASSES[kind]), "PASS").otherwise("COMPLETED WITH ISSUES"))
+
+
+def run_lines(status: DataFrame, group: str, key: str) -> DataFrame:
+    """All status rows, failures first, then by group and key."""
+    return status.orderBy((F.col("status") != "error").cast("int"), group, key)
+
+
+def run_flagged(status: DataFrame, kind: str) -> DataFrame:
+    """Rows to look at: errors, and for positions and skew whatever is not ok; an empty market asks for its pattern."""
+    bad = F.col("status") != "ok" if kind in ("positions", "skew") else F.col("status") == "error"
+    note = F.coalesce(F.col("error"), F.when((F.col("status") == "empty") & F.lit(kind == "positions"), "no match - check the pattern"), F.lit(""))
+    return status.where(bad).withColumn("note", note)
+
+
+def transform_summary(counts: DataFrame, checked: DataFrame, label: DataFrame) -> DataFrame:
+    """One row: gold tables and rows, whether gold and staging agree, the regime's label, the result."""
+    one = F.lit(1).alias("one")
+    tables = counts.agg(F.count(F.lit(1)).alias("n_tables"), F.sum("n_rows").alias("n_rows")).select("*", one)
+    agreed = checked.agg(F.bool_and("matched").alias("reconciled")).select("*", one)
+    named = label.agg(F.first("regime_label").alias("regime_label")).select("*", one)
+    x = tables.join(F.broadcast(agreed), "one").join(F.broadcast(named), "one")
+    return x.select("n_tables", "n_rows", "reconciled", F.coalesce("regime_label", F.lit("n/a")).alias("regime_label"), F.when(F.col("reconciled"), "PASS").otherwise("COMPLETED WITH ISSUES").alias("result"))
+
+
 def reconciliation(staged: DataFrame, gold: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """One row: rows staged, rows in gold, rows of keys that the manifest doesn't know, and whether gold accounts for all."""
     known = dim.select(F.col(key).alias("_k")).distinct().withColumn("_known", F.lit(1))
@@ -75,6 +113,24 @@ def recent(stories: DataFrame, n: int = 40) -> DataFrame:
     return stories.where("published_at IS NOT NULL").orderBy(F.col("published_at").desc(), "item_id").limit(n)
 
 
+def kpi_tail(wide: DataFrame, date: str, columns: Sequence[str], n: int = 90) -> DataFrame:
+    """(measure): the value on the last date, its z and percentile against the measure's history, and the values of the
+    last n dates in order; measures without a value on the last date are left out."""
+    long = wide.select(date, *[F.col(c).cast("double") for c in columns]).unpivot([date], list(columns), "measure", "value")
+    history = latest_measures(long, date, "value", "measure").select("measure", "z_latest", "pctile_latest")
+    points = tail(long, "measure", date, n).groupBy("measure").agg(F.sort_array(F.collect_list(F.struct(date, "value"))).alias("p"))
+    x = points.join(history, "measure").withColumn("last", F.get("p", F.size("p") - 1)["value"]).where("last IS NOT NULL")
+    return x.select("measure", "last", "z_latest", "pctile_latest", F.transform("p", lambda q: q["value"]).alias("tail"))
+
+
+def valuation_table(value: DataFrame) -> DataFrame:
+    """The yields of the last date, cheapest first, with the market value in billions."""
+    last = value.agg(F.max("price_date").alias("_last"))
+    newest = value.join(F.broadcast(last), F.col("price_date") == F.col("_last"))
+    x = newest.select("ticker", "earnings_yield", "sales_yield", "fcf_yield", (F.col("market_cap_gbp") / 1e9).alias("market_cap_bn"))
+    return x.orderBy(F.col("earnings_yield").desc_nulls_last(), "ticker")
+
+
 def manifest_rows(manifest: DataFrame, groups: str, defaults: Mapping[str, str]) -> DataFrame:
     """Rows of a manifest column map<group, array<struct>>, with defaults where a field is missing."""
     x = manifest.select(F.explode(groups).alias("group", "members")).select("group", F.explode("members").alias("m")).select("group", "m.*")

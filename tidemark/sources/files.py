@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.parse import outcome
+
 
 def safe_key(c):
     """A key as part of a path: anything beyond letters, digits, dot, underscore and hyphen becomes an underscore."""
@@ -23,19 +27,58 @@ def save_raw(df: DataFrame, path: str, run_date: str, key: str) -> bool:
     return True
 
 
+def land_payloads(df: DataFrame, path: str, run_date: str, key: str, body: str) -> bool:
+    """Raw JSON or XML bodies under their run date and keys, as they came; null and empty ones land nowhere.
+
+    Landing again on the same date replaces the keys that come again. Bodies of one key go to one file, so a key should
+    have one body a run.
+    """
+    x = df.where(F.length(body) > 0).select(F.lit(run_date).alias("run_date"), safe_key(F.col(key).cast("string")).alias("key"), F.col(body).alias("value"))
+    if x.isEmpty():
+        return False
+    x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").partitionBy("run_date", "key").text(path)
+    return True
+
+
 def raw_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(path, body) of landed text payloads, one row a file."""
-    return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
+    """(path, body) of landed text payloads, one row a file, and the run date and key if they were landed under them."""
+    x = spark.read.option("wholetext", True).text(path)
+    return x.select(F.input_file_name().alias("path"), F.col("value").alias("body"), *[c for c in x.columns if c != "value"])
+
+
+@F.arrow_udf("int")
+def _items_in(bodies: pa.Array) -> pa.Array:
+    """Items or entries of each feed; null for what is no XML."""
+
+    def count(body: str | None) -> int | None:
+        try:
+            tags = [e.tag.rsplit("}", 1)[-1] for e in ElementTree.fromstring(body or "").iter()]
+        except (ElementTree.ParseError, ValueError):
+            return None
+        return sum(t in ("item", "entry") for t in tags)
+
+    return pa.array([count(b) for b in bodies.to_pylist()], pa.int32())
+
+
+def feed_status(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """payloads with n_items and status: ok, empty, or error for a feed that is no well-formed XML."""
+    return payloads.withColumn("n_items", _items_in(F.col(body))).withColumn("status", outcome(F.col("n_items"), F.when(F.col("n_items").isNull(), F.lit("XML"))))
 
 
 def feed_file(spark: SparkSession, path: str, row: str = "item") -> DataFrame:
-    """Items of landed RSS ('item') or Atom ('entry') files, as text columns."""
-    schema = "guid string, link string, title string, description string, pubDate string" if row == "item" else "id string, title string, summary string, published string, updated string, link array<struct<_href: string, _rel: string>>"
-    x = spark.read.format("xml").option("rowTag", row).schema(schema).load(path)
+    """Items of landed RSS ('item') or Atom ('entry') files, as text columns.
+
+    RSS dates may stand under dc:date, Atom texts under content. Malformed files give no items here; feed_status names
+    them.
+    """
+    rss = "guid string, link string, title string, description string, pubDate string, `dc:date` string"
+    atom = "id string, title string, summary string, content string, published string, updated string, link array<struct<_href: string, _rel: string>>"
+    x = spark.read.format("xml").option("rowTag", row).option("mode", "DROPMALFORMED").schema(rss if row == "item" else atom).load(path)
     if row == "item":
-        return x.select("guid", "link", "title", "description", F.col("pubDate").alias("published"))
+        return x.select("guid", "link", "title", "description", F.coalesce(F.nullif(F.col("pubDate"), F.lit("")), F.col("`dc:date`")).alias("published"))
     chosen = F.coalesce(F.get(F.filter("link", lambda a: F.coalesce(a["_rel"], F.lit("alternate")) == "alternate"), F.lit(0))["_href"], F.get("link", F.lit(0))["_href"])
-    return x.select(F.col("id").alias("guid"), chosen.alias("link"), "title", F.col("summary").alias("description"), F.coalesce("published", "updated").alias("published"))
+    summary, published = (F.coalesce(F.nullif(F.col(a), F.lit("")), F.col(b)) for a, b in (("summary", "content"), ("published", "updated")))
+    return x.select(F.col("id").alias("guid"), chosen.alias("link"), "title", summary.alias("description"), published.alias("published"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

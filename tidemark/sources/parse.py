@@ -14,11 +14,24 @@ from tidemark.operators.dedupe import first_by
 # fixed values: filing forms, and tags by metric in order of preference (taxonomy, tag, unit)
 FORMS = ["10-K", "10-Q", "10-K/A", "10-Q/A", "20-F"]
 CONCEPTS = [
-    ("revenue", 1, "us-gaap", "Revenues", "USD"), ("revenue", 2, "us-gaap", "RevenueFromContractWithCustomerExcludingAssessedTax", "USD"), ("revenue", 3, "us-gaap", "SalesRevenueNet", "USD"),
-    ("net_income", 1, "us-gaap", "NetIncomeLoss", "USD"), ("assets", 1, "us-gaap", "Assets", "USD"), ("equity", 1, "us-gaap", "StockholdersEquity", "USD"),
-    ("shares", 1, "dei", "EntityCommonStockSharesOutstanding", "shares"), ("shares", 2, "us-gaap", "CommonStockSharesOutstanding", "shares"), ("shares", 3, "us-gaap", "WeightedAverageNumberOfDilutedSharesOutstanding", "shares"),
-    ("long_term_debt", 1, "us-gaap", "LongTermDebtNoncurrent", "USD"), ("long_term_debt", 2, "us-gaap", "LongTermDebt", "USD"),
-]
+    ("revenue", 1, "us-gaap", "Revenues", "USD"),
+    ("revenue", 2, "us-gaap", "RevenueFromContractWithCustomerExcludingAssessedTax", "USD"),
+    ("revenue", 3, "us-gaap", "SalesRevenueNet", "USD"),
+    ("net_income", 1, "us-gaap", "NetIncomeLoss", "USD"),
+    ("gross_profit", 1, "us-gaap", "GrossProfit", "USD"),
+    ("operating_income", 1, "us-gaap", "OperatingIncomeLoss", "USD"),
+    ("eps_diluted", 1, "us-gaap", "EarningsPerShareDiluted", "USD/shares"),
+    ("eps_basic", 1, "us-gaap", "EarningsPerShareBasic", "USD/shares"),
+    ("assets", 1, "us-gaap", "Assets", "USD"),
+    ("equity", 1, "us-gaap", "StockholdersEquity", "USD"),
+    ("shares", 1, "dei", "EntityCommonStockSharesOutstanding", "shares"),
+    ("shares", 2, "us-gaap", "CommonStockSharesOutstanding", "shares"),
+    ("shares", 3, "us-gaap", "WeightedAverageNumberOfDilutedSharesOutstanding", "shares"),
+    ("op_cash_flow", 1, "us-gaap", "NetCashProvidedByUsedInOperatingActivities", "USD"),
+    ("capex", 1, "us-gaap", "PaymentsToAcquirePropertyPlantAndEquipment", "USD"),
+    ("long_term_debt", 1, "us-gaap", "LongTermDebtNoncurrent", "USD"),
+    ("long_term_debt", 2, "us-gaap", "LongTermDebt", "USD"),
+]
 PUBLISH_LAG_DAYS = 90
 TARGET_DTE = 30
 MONEYNESS = {"put": 0.90, "atm": 1.00, "call": 1.10}
@@ -71,8 +84,27 @@ def primary_contracts(rows: DataFrame, key: str, name: str, size: str) -> tuple[
     return rows.join(best, [key, name], "left_semi"), sizes.join(best, [key, name], "left_anti").select(key, name)
 
 
-def names_like(rows: DataFrame, name: str, needle: str) -> DataFrame:
-    return rows.where(matches(name, needle)).select(name).distinct().orderBy(name)
+def combined_only(rows: DataFrame, kind: str) -> DataFrame:
+    """Rows of reports on futures and options combined; a report without a kind is none."""
+    return rows.where(matches(kind, "comb"))
+
+
+def names_like(rows: DataFrame, name: str, needle: str, kind: str | None = None) -> DataFrame:
+    """Distinct names that hold the needle, of combined reports only if the column with their kind is given."""
+    some = rows if kind is None else combined_only(rows, kind)
+    return some.where(matches(name, needle)).select(name).distinct().orderBy(name)
+
+
+def outcome(n: Column, error: Column, http_status: Column | None = None) -> Column:
+    """Status of one fetch: error, not_modified (304), empty or ok."""
+    same = F.lit(False) if http_status is None else F.coalesce(http_status == 304, F.lit(False))
+    return F.when(error.isNotNull(), "error").when(same, "not_modified").when(F.coalesce(n, F.lit(0)) == 0, "empty").otherwise("ok")
+
+
+def company_meta(payloads: DataFrame, ticker: str, body: str) -> DataFrame:
+    """(ticker): reporting currency, shares and market value from JSON; all null where the payload can't be read."""
+    x = payloads.select(F.col(ticker).alias("ticker"), F.from_json(body, "financialCurrency string, sharesOutstanding double, marketCap double").alias("m"))
+    return x.select("ticker", F.col("m.financialCurrency").alias("financial_currency"), F.col("m.sharesOutstanding").alias("shares_outstanding"), F.col("m.marketCap").alias("market_cap"))
 
 
 def company_facts(payloads: DataFrame, ticker: str, body: str, concepts: DataFrame, forms: Sequence[str] = tuple(FORMS)) -> DataFrame:

@@ -10,8 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators.dedupe import latest_filed_wins
+from tidemark.operators.dedupe import first_by, first_wins, latest_filed_wins
+from tidemark.operators.upsert import anti
 
 
 def landed(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -24,6 +26,22 @@ def append_dedupe(stream: DataFrame, id_col: str, event_time: str, delay: str, o
     return once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
+def append_once(stream: DataFrame, id_col: str, ord_col: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Appends each story once, however late it comes again: a batch is compared with all identifiers stored.
+
+    State is the stored table itself. A replayed batch leaves its own rows out of the comparison and replaces them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = first_wins(batch.where(F.col(id_col).isNotNull()), [id_col], ord_col)
+        spark = batch.sparkSession
+        stored = spark.read.schema(StructType([*batch.schema.fields, StructField("batch_id", LongType())])).parquet(out) if batch_id else None
+        fresh = rows if stored is None else anti(rows, stored.where(F.col("batch_id") != batch_id).select(id_col), [id_col])
+        fresh.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
+
+    return each_batch(stream, write, checkpoint)
+
+
 def upsert_log(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Lands batches as an append-only log with batch ids; latest() reads the current rows of it."""
 
@@ -38,6 +56,12 @@ def current(log: DataFrame, keys: list[str], within: str) -> DataFrame:
     return latest_filed_wins(log, keys, "batch_id", within)
 
 
+def restated(log: DataFrame, keys: list[str], filed: str, ord_col: str) -> DataFrame:
+    """The log's current facts: the last batch that has a key overwrites it; within the batch the row filed last wins,
+    of ties the larger ord_col."""
+    return first_by(log, keys, F.col("batch_id").desc(), F.col(filed).desc_nulls_last(), F.col(ord_col).desc_nulls_last())
+
+
 def each_batch(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
