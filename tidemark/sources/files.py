@@ -8,6 +8,7 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tidemark.sources.parse import outcome
 
@@ -42,11 +43,11 @@ def land_payloads(df: DataFrame, path: str, run_date: str, key: str, body: str)
 
 def raw_payloads(spark: SparkSession, path: str) -> DataFrame:
     """(path, body) of landed text payloads, one row a file, and the run date and key if they were landed under them."""
-    x = spark.read.option("wholetext", True).text(path)
+    x = spark.read.text(path, wholetext=True)
     return x.select(F.input_file_name().alias("path"), F.col("value").alias("body"), *[c for c in x.columns if c != "value"])
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(IntegerType())
 def _items_in(bodies: pa.Array) -> pa.Array:
     """Items or entries of each feed; null for what is no XML."""
 
