@@ -115,6 +115,22 @@ def hot_keys(keys: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> list[tu
     return [(r[0], r[1]) for r in found]
 
 
+def large_groups(keys: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> list[tuple[int, int]]:
+    """The keys too large for a task, with the number of parts to split each into.
+
+    Large is a key with more than split_rows rows and more than a (4 P)th of all rows, for P partitions; a part has no
+    more than these. So there are fewer than 4 P keys and 8 P parts, and their list may be collected and broadcast.
+    """
+    most = 4 * partitions(keys.sparkSession)
+    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.where(F.col("n") > split_rows).orderBy(F.col("n").desc(), F.col(key)).limit(most).withColumn("every", F.lit(False))
+    # all rows counted beside them, over the same exchange
+    found = top.unionByName(counts.agg(F.lit(None).cast("long").alias(key), F.sum("n").alias("n"), F.lit(True).alias("every"))).collect()
+    rows = max((r["n"] or 0 for r in found if r["every"]), default=0)
+    size = max(split_rows, -(-rows // most))  # rows of a part
+    return [(r[key], -(-r["n"] // size)) for r in found if not r["every"] and r["n"] > size]
+
+
 def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """The rows of df whose key (a long column) occurs more than once; those of hot keys apart, None if there are none.
 
