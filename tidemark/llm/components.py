@@ -13,8 +13,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     edges: two columns of one orderable type. Loops, repeated and reversed edges are allowed, rows with a null aren't
     edges. Each round every node with a smaller neighbour hooks to the smallest; the forest is flattened by pointer
-    jumping and edges move to the roots. Nodes without smaller neighbours are at most half of those with an edge, so
-    rounds are logarithmic. Joins read written tables on both sides, so adaptive execution can split the edges of a
+    jumping and edges move to the roots. Two rounds leave at most half of the nodes: a root that nothing hooked to has
+    only neighbours that hooked to smaller nodes, so it has a smaller neighbour in the next round and hooks itself; the
+    other roots have two nodes or more in their trees. So rounds are logarithmic, on a star or a chain of any order
+    too, and jumps in a round as well. Joins read written tables on both sides, so adaptive execution can split the edges of a
     hot root; no row stands for more than one edge.
     """
     live = cut(edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
