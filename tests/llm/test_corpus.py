@@ -245,6 +245,15 @@ def test_urls(spark):
     assert twice.verdict == "block"
 
 
+def test_many_rules_that_end_inside_a_segment(spark):
+    rules = [("block" if n % 3 else "allow", "h.com", "/" + "ab" * n + tail) for n in range(40) for tail in ("", "c", "/d")]
+    paths = ["/" + "ab" * n + tail for n in range(0, 45, 3) for tail in ("", "c", "cx", "/d", "/de/f", "a", "/")] + ["", "/é", "/" + "ab" * 50_000]
+    x = spark.createDataFrame([(i, "s://w.h.com" + p) for i, p in enumerate(paths)], "page_id long, url string")
+    for r in url_filter.judge_urls(x, rules).collect():
+        fits = max(((len(p), h + p, v) for v, h, p in rules if paths[r.page_id].startswith(p)), default=(0, None, "allow"))
+        assert (r.rule, r.verdict) == fits[1:]
+
+
 def exact_neighbours(vectors, queries, k):
     out = {}
     for q in queries:

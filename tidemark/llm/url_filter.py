@@ -20,7 +20,7 @@ class UrlTrie:
     """Host labels from the right, then path segments from the left.
 
     A rule's last path segment may end in the middle of a url's segment, so each node keeps the rules that end below
-    it by that partial segment.
+    it by that partial segment, and the lengths of these. A url's segment is looked up once for each length.
     """
 
     def __init__(self, rules: Sequence[Rule]):
@@ -32,13 +32,14 @@ class UrlTrie:
             for label in reversed(host.split(".")):
                 node = node.setdefault(label, {})
             *whole, last = path.split("/")
-            node = node.setdefault("/", {"segments": {}, "ends": {}})  # "/" is no host label
+            node = node.setdefault("/", {"segments": {}, "ends": {}, "lengths": set()})  # "/" is no host label
             for segment in whole:
-                node = node["segments"].setdefault(segment, {"segments": {}, "ends": {}})
+                node = node["segments"].setdefault(segment, {"segments": {}, "ends": {}, "lengths": set()})
             old = node["ends"].get(last)
             # of a rule given twice with both verdicts, block stays
             if old is None or old[0] == "allow":
                 node["ends"][last] = (verdict, host + path)
+                node["lengths"].add(len(last))
 
     def match(self, host: str, path: str) -> tuple[str | None, str]:
         """The longest rule that fits (host and path together) and its verdict."""
@@ -51,9 +52,10 @@ class UrlTrie:
                     break
             here = node.get("/")
             for segment in segments if here else ():
-                for last, (verdict, text) in here["ends"].items():
-                    if segment.startswith(last) and len(text) > size:
-                        found, size = (text, verdict), len(text)
+                for n in here["lengths"]:
+                    end = here["ends"].get(segment[:n]) if n <= len(segment) else None
+                    if end is not None and len(end[1]) > size:
+                        found, size = (end[1], end[0]), len(end[1])
                 here = here["segments"].get(segment)
                 if here is None:
                     break
@@ -73,10 +75,11 @@ def split_url(url) -> tuple:
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url") -> DataFrame:
     """Every row of pages with host, path, rule and verdict.
 
-    The longest rule that fits wins, counted over host and path together; of the same rule as allow and block, block
-    does. Without a fitting rule, rule is null and the verdict DEFAULT. Null urls and urls without :// have empty host
-    and path and fit no rule. Repeated rows are judged each; an empty table gives an empty result. Columns of pages
-    called host, path, rule or verdict give way to the results.
+    The longest rule that fits wins, counted over host and path together; of equally long ones, that of the shorter
+    host; of the same rule as allow and block, block does. Without a fitting rule, rule is null and the verdict DEFAULT.
+    Null urls and urls without :// have empty host and path and fit no rule; urls are read whole, however long.
+    Repeated rows are judged each; an empty table gives an empty result. Columns of pages called host, path, rule or
+    verdict give way to the results.
     """
     spark = pages.sparkSession
     made = {"host", "path", "rule", "verdict"}
