@@ -8,19 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.ann import search
+from tidemark.llm.bpe import decode, encode
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.fim import fill_in_middle, restored
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.resample import resample
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.url_filter import judge_urls
 
 #: The tokenizer vocabulary of the packing query, by its name in the public collection.
 TOKENIZER = "word_bpe_49k.json"
+#: The rank file of the byte-level encoding query, by its name there.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
 
@@ -75,8 +80,27 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer_path(RANKS)
+    out = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN), ranks)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = restored(fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op5_line_dedup, op6_url_filter, op7_nearest, op8_simhash, op9_mixing, op10_suffix_dedup)
+    f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_packing, op4_html_text, op5_line_dedup, op6_url_filter, op7_nearest, op8_simhash, op9_mixing, op10_suffix_dedup, op11_byte_bpe, op12_fill_in_middle, op13_importance_resampling)
 }
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
@@ -94,4 +118,16 @@ ORACLES: dict[str, str] = {
                  ON (u.host = r.host OR u.host LIKE '%.' || r.host) AND starts_with(u.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1""",
+    "op12_fill_in_middle": r"""
+        WITH tokens AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+                               regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS parts FROM documents),
+        draws AS (SELECT doc_id, text, parts, len(parts)::BIGINT AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+                         ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM tokens),
+        cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                             WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+        pieces AS (SELECT doc_id, n, form, text, array_to_string(parts[1:a], '') AS p, array_to_string(parts[a + 1:b], '') AS m, array_to_string(parts[b + 1:], '') AS s FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256 FROM pieces""",
 }
