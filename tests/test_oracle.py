@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-SOME = ["series_analytics", "credit", "valuation", "regime", "headline_block", "security_factors", "upsert_rows", "since_high_water", "company_facts", "feed_items", "skew_measures", "vol_vs_history", "manifest_violations", "stream_upsert"]
+SOME = ["series_analytics", "credit", "valuation", "regime", "headline_block", "security_factors", "upsert_rows", "since_high_water", "company_facts", "feed_items", "skew_measures", "vol_vs_history", "manifest_violations", "stream_upsert", "stream_append_keyed"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 

@@ -187,6 +187,24 @@ def stream_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{at}/out").select("item_id", "event_id")
 
 
+#: Days of events that land at a time.
+LANDING_DAYS = 8
+
+
+def stream_append_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event keys, each once, by keyed state, over batches that land one after the other: a run of the stream for each."""
+    at = _folder(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    part = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / LANDING_DAYS).cast("int")
+    keyed = events.select(F.concat_ws("/", "user_id", "event_type").alias("item_id"), "event_id", part.alias("part"))
+    parts = [r[0] for r in keyed.select("part").distinct().orderBy("part").collect()]  # a row for each landing
+    for k in parts:
+        keyed.where(F.col("part") == k).write.parquet(f"{at}/in/{k}")
+        source = loads.landed(spark, f"{at}/in/*", "item_id string, event_id long, part int")
+        loads.append_keyed(source, "item_id", "event_id", f"{at}/out", f"{at}/state").awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("item_id", "event_id", "part")
+
+
 def stream_restatement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The value filed last for each user and type, events being restatements filed on their day."""
     at = _folder(spark)
@@ -207,10 +225,11 @@ def stream_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_append_dedupe": stream_append_dedupe, "stream_upsert": stream_upsert,
-    "stream_append_once": stream_append_once, "stream_restatement": stream_restatement, "stream_same_day": stream_same_day,
+    "stream_append_keyed": stream_append_keyed, "stream_append_once": stream_append_once, "stream_restatement": stream_restatement, "stream_same_day": stream_same_day,
 }
 
 STREAM_ORACLES = {
+    "stream_append_keyed": f"SELECT user_id || '/' || event_type AS item_id, event_id, CAST(floor((CAST(ts AS DATE) - DATE '2024-01-01') / {LANDING_DAYS}) AS INT) AS part FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY 3, event_id) = 1",
     "stream_append_once": "SELECT user_id || '/' || event_type AS item_id, min(event_id) AS event_id FROM events GROUP BY 1",
     "stream_restatement": "SELECT user_id, event_type, CAST(ts AS DATE) AS filed, event_id, round(value, 6) AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY CAST(ts AS DATE) DESC, event_id DESC) = 1",
     "stream_same_day": "SELECT event_type, CAST(ts AS DATE) AS day, event_id, round(value, 6) AS value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id DESC) = 1",

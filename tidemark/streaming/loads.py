@@ -5,11 +5,13 @@ Batches may be replayed after a failure, so each writes under its batch id and r
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.dedupe import first_by, first_wins, latest_filed_wins
@@ -26,6 +28,69 @@ def append_dedupe(stream: DataFrame, id_col: str, event_time: str, delay: str, o
     return once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
+#: The state store that keyed state with its own processor needs.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; the session's own setting comes back afterwards."""
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STORE)
+        else:
+            spark.conf.set(STORE, before)
+
+
+class FirstRows(StatefulProcessor):
+    """Lets the first row of a key through, by an order column within the batch, and none after it.
+
+    State is one flag for each key: neither rows nor times are kept, and a batch touches the flags of its own keys only.
+    """
+
+    def __init__(self, order: str):
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "flag boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        known, best = self.seen.exists(), None
+        for part in rows:  # a key's rows come in parts, of which one row is held
+            if not known and len(part):
+                first = part.sort_values(self.order, kind="stable", na_position="last").head(1)
+                both = [x for x in (best, first) if x is not None]
+                best = pd.concat(both).sort_values(self.order, kind="stable", na_position="last").head(1)
+        if best is not None:
+            self.seen.update((True,))
+            yield best
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        self.seen.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def append_keyed(stream: DataFrame, id_col: str, ord_col: str, out: str, checkpoint: str, stored: DataFrame | None = None) -> StreamingQuery:
+    """Appends each story once, however late it comes again; rows without an identifier are left out.
+
+    Whether an identifier was seen is keyed state, so the cost of a batch follows the batch, not the table. stored: rows
+    that were loaded before the stream's first start; their identifiers count as seen. Files are written exactly once:
+    a batch that is replayed after a failure starts from the state before it and replaces what it wrote.
+    """
+    rows = stream.where(F.col(id_col).isNotNull())
+    seen = None if stored is None else stored.where(F.col(id_col).isNotNull()).select(id_col).distinct().groupBy(id_col)
+    once = rows.groupBy(id_col).transformWithStateInPandas(statefulProcessor=FirstRows(ord_col), outputStructType=rows.schema, outputMode="append", timeMode="none", initialState=seen)
+    with keyed_state(stream.sparkSession):
+        return once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
 def append_once(stream: DataFrame, id_col: str, ord_col: str, out: str, checkpoint: str) -> StreamingQuery:
     """Appends each story once, however late it comes again: a batch is compared with all identifiers stored.
 
