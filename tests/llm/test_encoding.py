@@ -72,14 +72,23 @@ def test_encoding_equals_the_library(spark, docs, texts, odd, none):
 def test_blocks_list_each_word_once_and_share_one_exchange(spark, docs):
     _, pattern = plain_encoding()
     source = docs.selectExpr("doc_id AS i", "coalesce(text, '') AS t").coalesce(1)
-    rows = bpe.blocks(source, pattern, 2000).collect()
-    assert len(rows) > 10 and all(len(set(r.words)) == len(r.words) for r in rows) and len({r.block for r in rows}) == len(rows)
+    rows = bpe.blocks(source, pattern, 5, 2000).collect()
+    lists = [[w for packed in r.words if packed for w in bpe.unpack_words(packed)] for r in rows]
+    assert len(rows) > 10 and all(len(set(x)) == len(x) for x in lists) and len({r.block for r in rows}) == len(rows)
     assert sum(len(r.ids) for r in rows) == docs.count()
     plan = bpe.encode(docs, tokenizer_path(RANKS), pattern)
     plan.collect()
     assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_packed_numbers_and_words():
+    r = np.random.default_rng(1)
+    for x in (np.zeros(0, np.int64), np.array([0, 254, 255, 256, 65_000, 70_000, 20_000_000]), r.integers(0, 1 << 20, 5000)):
+        assert (bpe.unpack_numbers(bpe.pack_numbers(x)) == x).all()
+    words = sorted({bytes(r.integers(97, 99, r.integers(0, 400)).astype(np.uint8)) for _ in range(300)} | {b"", b"a" * 3000, b"a" * 3001})
+    assert bpe.unpack_words(bpe.pack_words(words)) == words
+
+
 @needs_data
 @needs_ranks
 def test_encoding_query(spark):

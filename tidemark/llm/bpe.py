@@ -1,12 +1,11 @@
 """Byte-level BPE by a global shuffle of distinct words, and decoding by a join with the table of token bytes.
 
 Documents are gathered into blocks. A block lists each of its pre-tokens ("words") once and holds, for every position
-of its documents, the word's place in the list. The words of all blocks are exchanged by word and sorted, so each
-distinct one stands in one run and is encoded once; its ids go back to the blocks that asked, where the documents'
-ids are put together by position.
+of its documents, the word's place in the list. The lists are exchanged by the words' hash, as a packed row for each
+block and bucket of words; the task that gets a bucket encodes each of its distinct words once. The ids go back to the
+blocks that asked, where the documents' ids are put together by position.
 
-A word has one row for each block that holds it, however often it occurs, so a word that makes up a third of all text
-is no hot key: a block lists many thousands of words.
+A block asks for a word once, however often it holds it, so a word that makes up a third of all text is no hot key.
 """
 
 from __future__ import annotations
@@ -30,6 +29,10 @@ from tidemark.llm.common import partitions
 
 #: Characters of text from which a block is full; a single longer text is a block of its own.
 BLOCK_CHARS = 16_000_000
+#: Words whose ids a task that encodes remembers in each of two generations; beyond that a word may be encoded again.
+WORD_ENTRIES = 1_000_000
+#: Words of a block that have codes of one byte.
+SHORT_CODES = 255
 #: Tokens that one step of decoding joins at a time.
 STEP_TOKENS = 4_000_000
 #: The characters of Unicode's White_Space property, which `\s` of the pattern stands for.
@@ -112,8 +115,8 @@ class _Block:
         self.codes.append(np.array([*map(self.numbers.__getitem__, splitter.chunks(text))], np.uint32))
         self.chars += len(text)
 
-    def row(self, splitter: Splitter, number: int) -> tuple:
-        """block, words (the most frequent first), codes of all documents (packed), identifiers, words of each document."""
+    def row(self, splitter: Splitter, number: int, buckets: int) -> tuple:
+        """block, words by bucket (packed), codes of all documents (packed), identifiers, words of each document."""
         of_word: defaultdict[str, int] = defaultdict()
         of_word.default_factory = of_word.__len__
         parts = [[of_word[w] for w in splitter.words(chunk)] for chunk in self.numbers]
@@ -123,31 +126,79 @@ class _Block:
         chunk_of = np.concatenate([*self.codes, np.zeros(0, np.uint32)])
         sizes = [int(lengths[c].sum()) for c in self.codes]
         codes = flat[ragged(starts[chunk_of], lengths[chunk_of])] if len(chunk_of) else flat[:0]
-        counts = np.bincount(codes, minlength=len(of_word))
-        order = np.argsort(-counts, kind="stable")
-        place = np.empty(len(order), np.uint32)
-        place[order] = np.arange(len(order))
-        names = list(of_word)
-        words = [names[i] for i in order.tolist()]
-        planes = np.ascontiguousarray(place[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T)
-        body = zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
-        mark = xxhash.xxh64(f"{number}\n{len(words)}\n".encode() + body)
-        for w in words:
-            mark.update(w)
+        # codes by frequency: most positions then take a byte
+        order = np.argsort(-np.bincount(codes, minlength=len(of_word)), kind="stable")
+        code = np.empty(len(order), np.int64)
+        code[order] = np.arange(len(order))
+        raw = [w.encode() for w in of_word]
+        bucket = np.array([xxhash.xxh32_intdigest(w) % buckets for w in raw], np.int64)
+        listed: list[list[tuple[bytes, int]]] = [[] for _ in range(buckets)]
+        for word, k, c in zip(raw, bucket.tolist(), code.tolist(), strict=True):
+            listed[k].append((word, c))
+        for part in listed:
+            part.sort()
+        words = [pack_words([w for w, _ in part]) if part else None for part in listed]
+        place = np.array([c for part in listed for _, c in part], np.int64)  # the code of each listed word
+        body = pack_numbers(code[codes]) + pack_numbers(place)
+        mark = xxhash.xxh64(f"{number}\n{len(raw)}\n".encode() + body[0] + body[-1])
+        for x in words:
+            mark.update(x or b"-")
         return mark.intdigest() - (1 << 63), words, body, self.ids, sizes
 
 
-def blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """docs (with i and t) as blocks: block, words, codes, ids, sizes."""
+def pack_numbers(x: np.ndarray) -> list[bytes]:
+    """Numbers from 0 to 2 ** 24 or so: one byte each, and two planes of bytes and a rest for those of SHORT_CODES or more."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    long = x[x >= SHORT_CODES] - SHORT_CODES
+    parts = [np.minimum(x, SHORT_CODES).astype(np.uint8), (long & 255).astype(np.uint8), (long >> 8 & 255).astype(np.uint8), (long >> 16).astype("<u4")]
+    return [pack(p.tobytes()) for p in parts]
+
+
+def unpack_numbers(packed: list[bytes]) -> np.ndarray:
+    one, low, middle, high = (np.frombuffer(zstandard.ZstdDecompressor().decompress(p), t) for p, t in zip(packed, (np.uint8, np.uint8, np.uint8, "<u4"), strict=True))
+    out = one.astype(np.int64)
+    out[one == SHORT_CODES] = SHORT_CODES + low.astype(np.int64) + (middle.astype(np.int64) << 8) + (high.astype(np.int64) << 16)
+    return out
+
+
+def pack_words(words: list[bytes]) -> bytes:
+    """Sorted words, each as what differs from the one before."""
+    shared, tails, last = [], [], b""
+    for w in words:
+        n, most = 0, min(len(w), len(last), 255)
+        while n < most and w[n] == last[n]:
+            n += 1
+        shared.append(n)
+        tails.append(w[n:])
+        last = w
+    head = np.array([len(words)], "<u4").tobytes() + bytes(shared) + np.array([*map(len, tails)], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(tails))
+
+
+def unpack_words(packed: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n = int.from_bytes(raw[:4], "little")
+    shared, sizes, at = raw[4 : 4 + n], np.frombuffer(raw, "<u4", n, 4 + n).tolist(), 4 + 5 * n
+    out, last = [], b""
+    for k, size in zip(shared, sizes, strict=True):
+        last = last[:k] + raw[at : at + size]
+        at += size
+        out.append(last)
+    return out
+
+
+def blocks(docs: DataFrame, pattern: str, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """docs (with i and t) as blocks: block, words (a packed list for each bucket), codes, ids, sizes."""
     ident = docs.schema["i"].dataType
-    fields = [("block", T.LongType()), ("words", T.ArrayType(T.StringType())), ("codes", T.BinaryType()), ("ids", T.ArrayType(ident)), ("sizes", T.ArrayType(T.LongType()))]
+    binaries = T.ArrayType(T.BinaryType())
+    fields = [("block", T.LongType()), ("words", binaries), ("codes", binaries), ("ids", T.ArrayType(ident)), ("sizes", T.ArrayType(T.LongType()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, number, kind = loaded(Splitter, pattern), TaskContext.get().partitionId() << 32, None
 
         def emit(b: _Block) -> pa.RecordBatch:
-            block, words, body, ids, sizes = b.row(splitter, number)
-            arrays = [pa.array([block], pa.int64()), pa.array([words], pa.list_(pa.string())), pa.array([body], pa.binary()), pa.array([ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64()))]
+            block, words, body, ids, sizes = b.row(splitter, number, buckets)
+            arrays = [pa.array([block], pa.int64()), pa.array([words], pa.list_(pa.binary())), pa.array([body], pa.list_(pa.binary())), pa.array([ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
         held = _Block()
@@ -165,35 +216,53 @@ def blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> Dat
     return docs.mapInArrow(run, T.StructType([T.StructField(n, t) for n, t in fields]))
 
 
-def listed(packed: DataFrame) -> DataFrame:
-    """The words of blocks: block, place (in the block's list), word. Takes every column, so that the blocks' exchange
-    serves this and the putting together alike."""
+def asked(packed: DataFrame) -> DataFrame:
+    """What blocks ask for: block, bucket, words (packed). Takes every column, so that the blocks' exchange serves this
+    and the putting together alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, words in zip(b.column("block"), b.column("words"), strict=True):
-                flat = words.values
-                for at in range(0, len(flat), 50_000):
-                    part = flat[at : at + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.repeat(block, len(part)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), part], names=["block", "place", "word"])
+                bucket = np.flatnonzero(words.values.is_valid().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([pa.repeat(block, len(bucket)), pa.array(bucket, pa.int32()), words.values.take(pa.array(bucket))], names=["block", "bucket", "words"])
 
-    return packed.mapInArrow(run, "block long, place int, word string")
+    return packed.mapInArrow(run, "block long, bucket int, words binary")
 
 
-def encoded_words(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """block, place and ids of words, whose equal words stand next to each other; each is encoded once."""
+class _Ids(dict):
+    """The ids of words, in two generations: a full one becomes the old one, whose entries move up when asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = np.array(self.encode(word.decode()), "<u4").tobytes()
+        if len(self) >= WORD_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+def answered(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """block, bucket, and for the words asked for how many ids each has (sizes) and these (ids), packed. All rows of a
+    bucket are in one task, which encodes each distinct word once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, ids = loaded(encoder, ranks_path, pattern), None, b""
+        known = _Ids(loaded(encoder, ranks_path, pattern))
         for b in batches:
-            out = []
-            for word in b.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(encode(word), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("place"), pa.array(out, pa.binary())], names=["block", "place", "ids"])
+            sizes, ids = [], []
+            for packed in b.column("words").to_pylist():
+                found = [known[w] for w in unpack_words(packed)]
+                sizes.append(pack_numbers(np.array([len(x) // 4 for x in found], np.int64)))
+                ids.append(pack_numbers(np.frombuffer(b"".join(found), "<u4").astype(np.int64)))
+            kind = pa.list_(pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("bucket"), pa.array(sizes, kind), pa.array(ids, kind)], names=["block", "bucket", "sizes", "ids"])
 
-    return words.mapInArrow(run, "block long, place int, ids binary")
+    return words.mapInArrow(run, "block long, bucket int, sizes array<binary>, ids array<binary>")
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -210,36 +279,32 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
     source = docs.select(F.col(f"`{id_col}`").alias("i"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
     n = partitions(docs.sparkSession)
-    held = blocks(source, pattern, block_chars).repartition(n, "block")
-    words = listed(held).repartition(n, "word").sortWithinPartitions("word")
-    back = encoded_words(words, ranks_path, pattern)
+    held = blocks(source, pattern, n, block_chars).repartition(n, "block")
+    back = answered(asked(held).repartition(n, "bucket"), ranks_path, pattern)
     result = T.StructType([T.StructField(id_col, source.schema["i"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
-    def together(asked: pa.Table, told: pa.Table) -> pa.Table:
-        out = ([], [], [])
-        for row in asked.select(["words", "codes", "ids", "sizes"]).to_batches():
-            for k in range(row.num_rows):
-                if len(row.column("words")[k]) != told.num_rows:
-                    raise RuntimeError("a block was read in another order than before: write docs to a table first")
-                ids = told.column("ids").combine_chunks()
-                ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-                ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4 if len(ids) else np.zeros(1, np.int32)
-                flat = np.frombuffer(ids.buffers()[2], "<u4", int(ends[-1])) if len(ids) else np.zeros(0, "<u4")
-                starts, lengths = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-                place = told.column("place").to_numpy()
-                starts[place], lengths[place] = ends[:-1], np.diff(ends)
-                planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.column("codes")[k].as_py()), np.uint8).reshape(4, -1)
-                sizes, at = row.column("sizes")[k].values.to_numpy(), 0
-                for size in sizes.tolist():
-                    codes = np.ascontiguousarray(planes[:, at : at + size].T).view("<u4").ravel()
-                    at += size
-                    made = flat[ragged(starts[codes], lengths[codes])] if size else flat[:0]
-                    out[1].append(len(made))
-                    out[2].append(made.tobytes())
-                out[0].append(row.column("ids")[k].values)
-        kind = asked.schema.field("ids").type.value_type
-        idents = pa.concat_arrays(out[0]) if out[0] else pa.array([], kind)
-        return pa.table([idents, pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], names=[id_col, "n_tokens", "ids"])
+    def together(own: pa.Table, told: pa.Table) -> pa.Table:
+        told = told.sort_by("bucket")
+        sizes, flat = ([unpack_numbers(x) for x in told.column(c).to_pylist()] for c in ("sizes", "ids"))
+        sizes, flat = np.concatenate([*sizes, np.zeros(0, np.int64)]), np.concatenate([*flat, np.zeros(0, np.int64)]).astype("<u4")
+        idents, counts, made = [], [], []
+        for row in range(own.num_rows):  # one, as blocks are told apart by what they hold
+            packed = own.column("codes")[row].as_py()
+            codes, place = unpack_numbers(packed[:4]), unpack_numbers(packed[4:])
+            if len(place) != len(sizes):
+                raise RuntimeError("a block was read in another order than before: write docs to a table first")
+            starts, lengths = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+            starts[place], lengths[place] = np.cumsum(sizes) - sizes, sizes
+            at = 0
+            for size in own.column("sizes")[row].as_py():
+                these = codes[at : at + size]
+                at += size
+                ids = flat[ragged(starts[these], lengths[these])]
+                counts.append(len(ids))
+                made.append(ids.tobytes())
+            idents.append(own.column("ids")[row].values)
+        kind = own.schema.field("ids").type.value_type
+        return pa.table([pa.concat_arrays(idents) if idents else pa.array([], kind), pa.array(counts, pa.int64()), pa.array(made, pa.binary())], names=[id_col, "n_tokens", "ids"])
 
     return held.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(together, result)
 
