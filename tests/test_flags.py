@@ -2,10 +2,9 @@
 
 import datetime as dt
 
-import numpy as np
 import pytest
 
-from tidemark.plans import gold, insights
+from tidemark.plans import insights
 
 D = dt.date
 DAYS = [D(2023, 5, 1) + dt.timedelta(days=i) for i in range(10)]
@@ -94,11 +93,3 @@ def test_words_and_severity(spark):
     got = [tuple(r) for r in insights.by_severity(insights.flags(**frames)).collect()]
     assert got[0] == (3, 17, "positioning", "Fragile calm") and [g[0] for g in got] == sorted((g[0] for g in got), reverse=True)
     assert (2, 18, "skew", "Tails bid at 0.90") in got and (2, 10, "vol", "Complacency: ratio 0.85, percentile 10") in got and (2, 13, "positioning", "Crowded short volatility at 0.12") in got
-
-
-@pytest.mark.parametrize("step", [1, 3, 7, 100])
-def test_expanding_shares_equal_counting(step):
-    x = np.random.default_rng(5).integers(0, 9, 50).astype("float64")
-    x[[0, 11, 12, 49]] = np.nan
-    want = [0.0 if np.isnan(v) else sum(w <= v for w in x[: i + 1]) / (i + 1) for i, v in enumerate(x)]
-    assert gold._shares_so_far(x, step).tolist() == want

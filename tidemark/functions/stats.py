@@ -77,25 +77,3 @@ def change(c: Column | str, w: WindowSpec, rows: int = 1) -> Column:
 def growth(c: Column | str, w: WindowSpec, rows: int = 1) -> Column:
     """value / value rows before - 1; null where that is zero or missing."""
     return safe_div(c, F.lag(c, rows).over(w)) - 1
-
-
-def percentile_bounds(c: str, w: WindowSpec, low: float = 0.01, high: float = 0.99) -> Column:
-    """The value clipped to the frame's quantiles (linear interpolation); as it is with fewer than three values."""
-    x = F.col(c)
-    clipped = F.least(F.greatest(x, F.percentile(x, low).over(w)), F.percentile(x, high).over(w))
-    return F.when(F.count(x).over(w) < 3, x).otherwise(F.when(x.isNotNull(), clipped))
-
-
-def population_z(c: str, w: WindowSpec) -> Column:
-    """z with the population deviation; 0 where all values are the same, null for null."""
-    x, sd = F.col(c), F.stddev_pop(c).over(w)
-    return F.when(F.coalesce(sd, F.lit(0.0)) == 0, x * 0.0).otherwise((x - F.avg(x).over(w)) / sd)
-
-
-def pct_rank(c: str, keys: Sequence[str] = ()) -> Column:
-    """Average rank of ties (to nine digits) over the number of values, within keys; null for null."""
-    value = F.round(c, 9)
-    order = Window.partitionBy(*keys, F.col(c).isNull()).orderBy(value)
-    ties = Window.partitionBy(*keys, F.col(c).isNull(), value)
-    n = F.count(c).over(Window.partitionBy(*keys))
-    return F.when(F.col(c).isNotNull(), (F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2.0) / n)

@@ -1,17 +1,24 @@
 """As-of joins: each left row with the latest right row that was known on its date.
 
 Row semantics throughout: the latest row counts, also where its values are null. Right rows without a date never match.
+
+Time is cut into slices. The right rows of a key and slice become one row, an array in order of date that begins with
+the row carried in from before; a left row meets the array of its own slice and takes the last entry on or before its
+date. So neither side is ordered as a whole: left rows are joined by key and slice, each for itself, and those of a hot
+key, or of a join without a key, spread over the slices (and, as left rows, over the parts of a skewed join). Nothing
+runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Days of an unkeyed validity calendar that are broadcast at most: two hundred years.
-CALENDAR_DAYS = 73_050
+#: Days of a slice: of a join by key, whose right side has a few rows a year, and of one without, with a row a day.
+KEYED_DAYS, CALENDAR_DAYS = 368, 16
 
 
 def value_before(value: str, key: str, date: str, interval: str = "INTERVAL 1 YEAR"):
@@ -19,37 +26,49 @@ def value_before(value: str, key: str, date: str, interval: str = "INTERVAL 1 YE
     return F.expr(f"last_value(`{value}`) OVER (PARTITION BY `{key}` ORDER BY `{date}` RANGE BETWEEN UNBOUNDED PRECEDING AND {interval} PRECEDING)")
 
 
-def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str, right_date: str, take: Sequence[str]) -> DataFrame:
-    """left with the columns take of the latest right row of the same keys whose right_date is not after left_date.
+def slice_of(date: Column | str, days: int) -> Column:
+    """The number of the slice that a date lies in."""
+    return F.floor(F.unix_date(F.col(date) if isinstance(date, str) else date) / days).cast("int")
+
+
+def sliced(right: DataFrame, keys: Sequence[str], right_date: str, take: Sequence[str], days: int) -> DataFrame:
+    """(keys, _slice): _rows, the right rows of the slice by date (day, got), after the last row before the slice.
 
-    Both sides are stacked and read in date order once, so a key's history is sorted, never paired with itself. Of right
-    rows with equal keys and date, the one with the largest taken values counts.
+    Slices without rows of their own are filled in up to the last one of all of right. Of rows with equal keys and date,
+    the one with the largest taken values counts.
     """
     keys = list(keys)
-    spare = [c for c in left.columns if c not in keys]
-    r = right.where(F.col(right_date).isNotNull()).select(*keys, F.col(right_date).alias("_at"), F.lit(0).alias("_side"), F.struct(*take).alias("_got"), *[F.lit(None).cast(left.schema[c].dataType).alias(f"_l_{c}") for c in spare])
-    x = left.select(*keys, F.col(left_date).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(r.schema["_got"].dataType).alias("_got"), *[F.col(c).alias(f"_l_{c}") for c in spare])
-    order = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), "_side", "_got").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = r.unionByName(x).withColumn("_got", F.last("_got", ignorenulls=True).over(order)).where("_side = 1")
-    return found.select(*[F.col(c) if c in keys else F.col(f"_l_{c}").alias(c) for c in left.columns], *[F.when(F.col("_at").isNotNull(), F.col(f"_got.{c}")).alias(c) for c in take])
+    dated = right.where(F.col(right_date).isNotNull())
+    once = dated.groupBy(*keys, F.col(right_date).cast("date").alias("day")).agg(F.max(F.struct(*take)).alias("got"))
+    own = once.groupBy(*keys, slice_of("day", days).alias("_slice")).agg(F.sort_array(F.collect_list(F.struct("day", "got"))).alias("_own"))
+    last = dated.agg(F.max(slice_of(F.col(right_date).cast("date"), days))).scalar()  # inside the plan
+    order = Window.partitionBy(*keys).orderBy("_slice")  # a row for each slice
+    final = F.element_at("_own", -1)
+    spans = own.withColumns({"_carried": F.lag(final).over(order), "_until": F.coalesce(F.lead("_slice").over(order) - 1, last)})
+    filled = spans.select(*keys, "_slice", "_own", "_carried", F.explode(F.sequence("_slice", "_until")).alias("_at"))
+    begun = F.when(F.col("_carried").isNull(), F.col("_own")).otherwise(F.concat(F.array("_carried"), F.col("_own")))
+    return filled.select(*keys, F.col("_at").alias("_slice"), F.when(F.col("_at") == F.col("_slice"), begun).otherwise(F.array(final)).alias("_rows"))
 
 
-def asof_calendar(left: DataFrame, right: DataFrame, left_date: str, right_date: str, take: Sequence[str]) -> DataFrame:
-    """left with the columns take of the latest right row whose right_date is not after left_date; no key.
+def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str, right_date: str, take: Sequence[str], days: int) -> DataFrame:
+    """left with the columns take of the latest right row of the same keys (null equals null) whose right_date is not
+    after left_date. Left rows after the last right row meet its slice."""
+    keys, names = list(keys), list(left.columns)
+    r = sliced(right, keys, right_date, take, days).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_r_slice"), "_rows")
+    last = right.where(F.col(right_date).isNotNull()).agg(F.max(slice_of(F.col(right_date).cast("date"), days))).scalar()
+    day = F.col(left_date).cast("date")
+    x = left.withColumn("_slice", F.when(day.isNotNull(), F.least(slice_of(day, days), last)))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_slice") == F.col("_r_slice"))
+    known = F.filter("_rows", lambda x: x["day"] <= day)
+    found = x.join(r, on, "left").withColumn("_got", F.when(F.size(known) > 0, F.element_at(known, -1)["got"]))
+    return found.select(*names, *[F.col(f"_got.{c}").alias(c) for c in take])
 
-    right holds one row for a date at most. It becomes a calendar with a row for each day up to its last date; later
-    days of left count as that date. So the join is by equal day and no window runs over all rows in one task; left is
-    not read to find its bounds. The calendar is broadcast as long as it is within CALENDAR_DAYS.
-    """
-    names = list(left.columns)
-    dated = right.where(F.col(right_date).isNotNull())
-    first, last = dated.agg(F.min(right_date), F.max(right_date)).first()
-    if first is None:
-        return left.select(*names, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in take])
-    until = F.coalesce(F.date_sub(F.lead(right_date).over(Window.orderBy(right_date)), 1), F.col(right_date))
-    valid = dated.select(F.col(right_date).alias("_from"), until.alias("_until"), F.struct(*take).alias("_got"))
-    calendar = valid.select(F.explode(F.sequence("_from", "_until")).alias("_day"), "_got")
-    if (last - first).days <= CALENDAR_DAYS:
-        calendar = F.broadcast(calendar)
-    at = F.least(F.col(left_date), F.lit(last))
-    return left.join(calendar, F.when(F.col(left_date).isNotNull(), at) == F.col("_day"), "left").select(*names, *[F.col(f"_got.{c}").alias(c) for c in take])
+
+def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str, right_date: str, take: Sequence[str]) -> DataFrame:
+    """The as-of join by keys, whose right side has a few rows a year for each."""
+    return asof(left, right, keys, left_date, right_date, take, KEYED_DAYS)
+
+
+def asof_calendar(left: DataFrame, right: DataFrame, left_date: str, right_date: str, take: Sequence[str]) -> DataFrame:
+    """The as-of join without a key: right holds one row for a date, such as the rates of a day."""
+    return asof(left, right, [], left_date, right_date, take, CALENDAR_DAYS)

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import formats
-from tidemark.functions.stats import pct_rank, weighted_mean
+from tidemark.functions.stats import weighted_mean
 from tidemark.operators import dedupe, upsert
 from tidemark.operators.pivot import pivot_last
+from tidemark.operators.ranks import pct_ranks
 from tidemark.plans import gold, insights, marts, payload_queries, regime, registry, security
 from tidemark.plans.flags_oracle import FLAGS
 from tidemark.plans.oracle import ASOF_DATE
@@ -155,7 +156,7 @@ STATISTICS = {
     "series_measures": Query(lambda v: insights.latest_measures(v("series"), "obs_date", "value", "series_id"), "series_id n", "last mean std low high z_latest pctile_latest", _measures("{g_series}", "series_id", "obs_date", "value")),
     "series_changes": Query(lambda v: marts.change_over(v("series_obs"), "series_id", "obs_date", "value", 5), "series_id", "last change pct_change", "SELECT series_id, v[-1] AS last, v[-1] - v[-6] AS change, v[-1] / nullif(v[-6], 0) - 1 AS pct_change FROM (SELECT series_id, list(value ORDER BY obs_date) AS v FROM {series_obs} WHERE value IS NOT NULL GROUP BY 1)"),
     "pivot_last": Query(lambda v: pivot_last(v("event_batches"), ["user_id"], "event_type", "value", "event_id", {t: t for t in _TYPES}), "user_id", " ".join(_TYPES), "SELECT user_id, " + ", ".join(f"arg_max(value, event_id) FILTER (event_type = '{t}') AS {t}" for t in _TYPES) + " FROM {event_batches} WHERE event_type IN ('click', 'view', 'purchase') AND value IS NOT NULL GROUP BY 1"),
-    "percentile_ranks": Query(lambda v: v("customer").withColumn("pct", pct_rank("c_acctbal", ["c_mktsegment"])), "c_custkey", "pct", f"SELECT c_custkey, {_PCT} AS pct FROM {{customer}}"),
+    "percentile_ranks": Query(lambda v: pct_ranks(v("customer"), ["c_mktsegment"], "c_acctbal", "pct"), "c_custkey", "pct", f"SELECT c_custkey, {_PCT} AS pct FROM {{customer}}"),
     "weighted_composite": Query(lambda v: v("factors").select("ticker", weighted_mean({"value_z": 0.5, "momentum_z": 0.3, "quality_z": 0.2}).alias("composite")), "ticker", "composite", "SELECT ticker, (coalesce(value_z * 0.5, 0) + coalesce(momentum_z * 0.3, 0) + coalesce(quality_z * 0.2, 0)) / nullif(CASE WHEN value_z IS NULL THEN 0 ELSE 0.5 END + CASE WHEN momentum_z IS NULL THEN 0 ELSE 0.3 END + CASE WHEN quality_z IS NULL THEN 0 ELSE 0.2 END, 0) AS composite FROM {g_factors_u}"),
 }
 

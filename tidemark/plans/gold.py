@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.functions.stats import by, change, expanding, growth, row_mean, safe_div, trailing, zscore_over
 from tidemark.operators.asof import asof_calendar, asof_keyed, value_before
 from tidemark.operators.dedupe import first_by
 from tidemark.operators.pivot import pivot_max
+from tidemark.operators.ranks import dominance, matched
 
 # fixed values: public series codes and the columns they fill
 CURVE = {"DGS3MO": "y3m", "DGS2": "y2", "DGS5": "y5", "DGS10": "y10", "DGS30": "y30", "T10Y2Y": "slope_2s10s", "T10Y3M": "slope_3m10y", "DFII10": "real_10y", "T10YIE": "breakeven_10y", "THREEFYTP10": "term_premium_10y", "DFII5": "real_5y", "T5YIE": "breakeven_5y", "T5YIFR": "breakeven_5y5y"}
@@ -128,35 +126,14 @@ def vol_term(obs: DataFrame) -> DataFrame:
     return wide.withColumn("ts_state", F.when(r >= 1.0, "backwardation").when(r >= 0.95, "flat").when(r.isNotNull(), "contango"))
 
 
-def _shares_so_far(values: np.ndarray, step: int = 1024) -> np.ndarray:
-    """For each value the share of values up to its place that are not above it; 0 for NaN.
-
-    A block is searched in the sorted values before it and compared with itself: no loop over rows.
-    """
-    out = np.zeros(len(values))
-    before = np.empty(0)
-    for at in range(0, len(values), step):
-        block = values[at : at + step]
-        known = ~np.isnan(block)
-        x = block[known]
-        not_above = np.searchsorted(before, x, side="right") + np.tril(x[None, :] <= x[:, None]).sum(axis=1)
-        out[at : at + step][known] = not_above / (np.flatnonzero(known) + at + 1)
-        before = np.sort(np.concatenate([before, x]), kind="stable")
-    return out
-
-
 def expanding_percentile(df: DataFrame, key: str, date: str, value: str, out: str) -> DataFrame:
     """Share of a key's history, the current row included, that is not above the current value; 0 for null.
 
-    A key's history, one row a date, is read once in blocks, instead of being counted anew for each row.
+    A key's history has one row a date. It is counted by dominance over places and values, so that a long one spreads.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date, kind="stable")
-        pdf[out] = _shares_so_far(pdf[value].to_numpy(dtype="float64", na_value=np.nan))
-        return pdf
-
-    return df.groupBy(key).applyInPandas(run, StructType([*df.schema.fields, StructField(out, DoubleType())]))
+    counts = dominance(df, key, date, value)
+    share = F.coalesce(F.col("not_above") / (F.col("place") + 1), F.lit(0.0))
+    return matched(df, counts.select(key, date, share.alias(out)), [key, date], [out])
 
 
 def positioning(cot: DataFrame) -> DataFrame:

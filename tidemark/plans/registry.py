@@ -8,21 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.hold import hold, release
 from tidemark.plans import fixtures, gold, regime, security
 from tidemark.plans.oracle import ASOF_DATE, STEPS
 
 View = Callable[[str], DataFrame]
 
-#: Gold tables held for the query asked for last; the next one lets them go, so that storage doesn't grow with queries.
-_held: list[DataFrame] = []
-
-
-def release() -> None:
-    """Lets go of held tables. A frame that was built on them still gives its rows, computed anew."""
-    while _held:
-        _held.pop().unpersist()
-
-
 @dataclass
 class Query:
     """run: from the relations to a result. The result's columns are exact (plain) or doubles, which are rounded; sql is
@@ -45,7 +36,7 @@ class Query:
             if name not in kept:
                 df = GOLD[name](view) if name in GOLD else fixtures.view(spark, sf_dir, name)
                 if held and name in SHARED:
-                    _held.append(df.persist())
+                    hold(df)
                 kept[name] = df
             return kept[name]
 

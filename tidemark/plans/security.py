@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.stats import no_nan, pct_rank, percentile_bounds, population_z, row_mean, safe_div, sane, weighted_mean
+from tidemark.functions.stats import no_nan, safe_div, sane, weighted_mean
 from tidemark.operators.dedupe import first_by
+from tidemark.operators.hold import cut
+from tidemark.operators.ranks import matched, pct_ranks, quantiles
 
 # fixed values: metrics, bounds, factors and screens
 FLOWS = ["revenue", "net_income", "gross_profit", "operating_income", "op_cash_flow", "capex", "eps_diluted"]
@@ -73,27 +75,49 @@ def security_metrics(prices: DataFrame, facts: DataFrame, dim: DataFrame, asof:
     return x.select("ticker", F.lit(asof).cast("date").alias("asof_date"), "sector", "last_close", "market_cap", *[sane(*v).alias(k) for k, v in ratio.items()], "ret_1m", "ret_6m", "ret_12_1m", "dist_52w_high")
 
 
+def _long(df: DataFrame, keys: list[str], names: list[str], name: str, value: str) -> DataFrame:
+    """A row for each of the columns names, with its name and value."""
+    cells = F.array(*[F.struct(F.lit(n).alias(name), F.col(n).alias(value)) for n in names])
+    return df.select(*keys, F.explode(cells).alias("_c")).select(*keys, f"_c.{name}", f"_c.{value}")
+
+
+def _standardised(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """df with value as its z in its group, by the population deviation; 0 where all values are the same, null for null."""
+    stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))
+    x, sd = F.col(value), F.coalesce("_sd", F.lit(0.0))
+    z = F.when(sd == 0, x * 0.0).otherwise((x - F.col("_mean")) / F.col("_sd"))
+    return matched(df, stats, keys, ["_mean", "_sd"]).withColumn(value, z).drop("_mean", "_sd")
+
+
 def security_factors(metrics: DataFrame, sector_neutral: bool = False, weights: dict[str, float] | None = None) -> DataFrame:
     """(ticker, date): z and percentile of each factor and of the composite, across the universe of a date.
 
     Metrics are winsorised and standardised (by sector if wanted), oriented, averaged where present and standardised
-    again. A metric column that is missing counts as null.
+    again. A metric column that is missing counts as null. Metrics and factors are rows, not columns, and a date's
+    universe is measured by partial aggregates, exact quantiles and ranks over buckets of values: no window holds it.
     """
     weights = weights or WEIGHTS
-    names = [m for ms in FACTORS.values() for m in ms]
-    x = metrics.select("ticker", "asof_date", "sector", *[no_nan(F.col(m).cast("double")).alias(m) if m in metrics.columns else F.lit(None).cast("double").alias(m) for m in names])
-    day = Window.partitionBy("asof_date")
-    group = Window.partitionBy("asof_date", "sector") if sector_neutral else day
-    x = x.withColumns({f"{m}_w": percentile_bounds(m, group) for m in names})
-    z = {m: population_z(f"{m}_w", group) for m in names}
-    if sector_neutral:
-        z = {m: F.when(F.col("sector").isNotNull(), c) for m, c in z.items()}
-    x = x.withColumns({f"{m}_s": c for m, c in z.items()})
-    x = x.withColumns({f"{f}_raw": row_mean(*[F.col(f"{m}_s") * d for m, d in ms.items()]) for f, ms in FACTORS.items()})
-    x = x.withColumns({f"{f}_z": F.when(F.col(f"{f}_raw").isNotNull(), population_z(f"{f}_raw", day)) for f in FACTORS})
-    x = x.withColumn("composite_z", weighted_mean({f"{f}_z": weights.get(f, 0.0) for f in FACTORS}))
-    x = x.withColumns({f"{f}_pct": pct_rank(f"{f}_z", ["asof_date"]) for f in [*FACTORS, "composite"]})
-    return x.select("ticker", "asof_date", "sector", *[f"{f}_z" for f in FACTORS], *[f"{f}_pct" for f in FACTORS], "composite_z", "composite_pct")
+    every = {m: (f, d) for f, ms in FACTORS.items() for m, d in ms.items()}
+    row = ["ticker", "asof_date", "sector"]
+    wide = metrics.select(*row, *[no_nan(F.col(m).cast("double")).alias(m) if m in metrics.columns else F.lit(None).cast("double").alias(m) for m in every])
+    x = _long(wide, row, list(every), "metric", "v").where("v IS NOT NULL")
+    x = cut(x.where("sector IS NOT NULL") if sector_neutral else x)
+    group = ["asof_date", "metric", *(["sector"] if sector_neutral else [])]
+    bounds = quantiles(x, group, "v", {"low": 0.01, "high": 0.99})
+    x = matched(x, bounds, group, ["total", "low", "high"])
+    x = x.withColumn("v", F.when(F.col("total") < 3, F.col("v")).otherwise(F.least(F.greatest("v", "low"), "high"))).drop("total", "low", "high")
+    x = _standardised(cut(x), group, "v")
+    factor, sign = (F.element_at(F.create_map(*[F.lit(y) for m, pair in every.items() for y in (m, pair[k])]), F.col("metric")) for k in (0, 1))
+    raw = x.groupBy("ticker", "asof_date", factor.alias("factor")).agg(F.avg(F.col("v") * sign).alias("z"))
+    z = _standardised(cut(raw), ["asof_date", "factor"], "z")
+    side = z.groupBy("ticker", "asof_date").agg(*[F.max(F.when(F.col("factor") == f, F.col("z"))).alias(f"{f}_z") for f in FACTORS])
+    scored = matched(metrics.select(*row), side, ["ticker", "asof_date"], [f"{f}_z" for f in FACTORS])
+    scored = cut(scored.withColumn("composite_z", weighted_mean({f"{f}_z": weights.get(f, 0.0) for f in FACTORS})))
+    names = [*FACTORS, "composite"]
+    ranked = pct_ranks(_long(scored, ["ticker", "asof_date"], [f"{f}_z" for f in names], "factor", "z").where("z IS NOT NULL"), ["asof_date", "factor"], "z", "pct")
+    shares = ranked.groupBy("ticker", "asof_date").agg(*[F.max(F.when(F.col("factor") == f"{f}_z", F.col("pct"))).alias(f"{f}_pct") for f in names])
+    out = matched(scored, shares, ["ticker", "asof_date"], [f"{f}_pct" for f in names])
+    return out.select(*row, *[f"{f}_z" for f in FACTORS], *[f"{f}_pct" for f in FACTORS], "composite_z", "composite_pct")
 
 
 SCREENS = {
