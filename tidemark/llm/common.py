@@ -131,14 +131,16 @@ def large_groups(keys: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> lis
     return [(r[key], -(-r["n"] // size)) for r in found if not r["every"] and r["n"] > size]
 
 
-def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+def repeated(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS, rows: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The rows of df whose key (a long column) occurs more than once; those of hot keys apart, None if there are none.
 
+    rows: for how many occurrences a row stands, one where it isn't given.
+
     Hot are the 4 x partitions keys at most with more than split_rows rows. Their list is bounded and broadcast; their
     rows are never brought together. df is read twice.
     """
     spark = df.sparkSession
-    many = cut(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).alias("many_key"), "n"))
+    many = cut(df.groupBy(key).agg(F.sum(F.lit(1) if rows is None else rows).alias("n")).where("n > 1").select(F.col(key).alias("many_key"), "n"))
     hot = many.where(F.col("n") > split_rows).orderBy(F.col("n").desc(), "many_key").limit(4 * partitions(spark)).collect()
     if not hot:
         return df.join(many, F.col(key) == F.col("many_key"), "left_semi"), None

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPLIT_ROWS, all_repeated, cut, packed, partitions, repeated, row_keys
+from tidemark.llm.common import DERIVED, SPLIT_ROWS, cut, packed, partitions, repeated, row_keys
 
 #: An odd factor: another hash of a hash, one to one.
 SPREAD = 0xC2B2AE3D27D4EB4F
@@ -34,8 +34,8 @@ SPREAD = 0xC2B2AE3D27D4EB4F
 SPAN, GRAM = 200, 64
 #: Suffixes in one sorted run at most, and those judged at once.
 RUN_ROWS, JUDGED_ROWS = 131_072, 16_384
-#: Bytes hashed at once.
-CHUNK = 1 << 18
+#: Bytes hashed at once, and of a longer text at a time; windows hashed at once.
+CHUNK, PIECE, WINDOWS = 1 << 18, 1 << 20, 500_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -91,6 +91,47 @@ def anchors(codes: np.ndarray, lengths: np.ndarray, span: int = SPAN, gram: int
     return at, h[at]
 
 
+def anchors_of(text: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """anchors() of one text, in pieces: which grams are chosen near a place depends on span bytes around it only."""
+    reach, found = span - gram, []
+    for lo in range(0, max(1, len(text)), PIECE):
+        start, hi = max(0, lo - reach), min(len(text), lo + PIECE)
+        piece = np.frombuffer(text, np.uint8)[start : hi + span]
+        at, h = anchors(piece, np.array([len(piece)]), span, gram)
+        inside = (at + start >= lo) & (at + start < hi)
+        found.append((at[inside] + start, h[inside]))
+    return np.concatenate([at for at, _ in found]), np.concatenate([h for _, h in found])
+
+
+def runs_of(at: np.ndarray, h: np.ndarray, ends: np.ndarray, most_step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of one gram at even steps become a run: the index of each run's first anchor, and step << 16 | anchors.
+
+    ends: of each anchor's text, so that no run leaves it. A text of one repeated string has few runs, however long.
+    """
+    n = len(at)
+    step = np.diff(at, prepend=0)
+    linked = np.zeros(n, bool)
+    linked[1:] = (h[1:] == h[:-1]) & (ends[1:] == ends[:-1]) & (step[1:] <= most_step)
+    uneven = np.zeros(n, bool)
+    uneven[2:] = linked[1:-1] & (step[2:] != step[1:-1])
+    first = np.flatnonzero(~linked | uneven)
+    sizes = np.diff(first, append=n)
+    parts = -(-sizes // 0xFFFF)  # the number of a run's anchors has 16 bits
+    first = np.repeat(first, parts) + 0xFFFF * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+    sizes = np.diff(first, append=n)
+    steps = np.where(sizes > 1, step[np.minimum(first + 1, n - 1)], 1)
+    return first, (steps << 16 | sizes).astype(np.int32)
+
+
+def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The union of the intervals from starts to stops, those that touch joined, in order."""
+    order = np.argsort(starts, kind="stable")
+    starts, reached = starts[order], np.maximum.accumulate(stops[order])
+    opens = np.ones(len(starts), bool)
+    opens[1:] = starts[1:] > reached[:-1]
+    return starts[opens], np.append(reached[:-1][opens[1:]], reached[-1:])
+
+
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about CHUNK bytes."""
     a = size = 0
@@ -221,20 +262,20 @@ def repeated_offsets(strings: np.ndarray, prefix: np.ndarray, right: np.ndarray,
     return low, high
 
 
-Marked = tuple[int, int, bytes, np.ndarray, np.ndarray, np.ndarray]
+Marked = tuple[int, int, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def each_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[Marked]:
-    """(k1, k2, bytes, grams, places, hot) of the rows that have marks; rows that stand for several come twice."""
+    """(k1, k2, bytes, grams, places, runs, hot) of the rows that have marks; rows that stand for several come twice."""
     for b in batches:
         lists, copies = b.column("marks"), b.column("copies").to_numpy()
         k1, k2, texts = b.column("k1").to_numpy(), b.column("k2").to_numpy(), b.column("packed")
         ends, found = lists.offsets.to_numpy(), lists.values
-        h, at, hot = (found.field(n).to_numpy(zero_copy_only=False) for n in ("h", "at", "hot"))
+        h, at, run, hot = (found.field(n).to_numpy(zero_copy_only=False) for n in ("h", "at", "run", "hot"))
         for i in np.flatnonzero(np.diff(ends)).tolist():
             part = slice(ends[i], ends[i + 1])
             for _ in range(min(int(copies[i]), 2)):
-                yield int(k1[i]), int(k2[i]), zstandard.decompress(texts[i].as_py()), h[part], at[part], hot[part]
+                yield int(k1[i]), int(k2[i]), zstandard.decompress(texts[i].as_py()), h[part], at[part], run[part], hot[part]
 
 
 def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: int = GRAM, split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -251,26 +292,30 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
             raw = [t.encode() for t in pdf["text"].array]
             for a, b in _chunks(raw):
                 sizes = np.array([len(t) for t in raw[a:b]], np.int64)
-                at, h = anchors(np.frombuffer(b"".join(raw[a:b]), np.uint8), sizes, span, gram)
+                at, h = anchors_of(raw[a], span, gram) if b == a + 1 else anchors(np.frombuffer(b"".join(raw[a:b]), np.uint8), sizes, span, gram)
                 if not len(at):
                     continue
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 doc = np.searchsorted(starts, at, "right") - 1
+                first, run = runs_of(at, h, doc, reach + 1)
+                at, h, doc = at[first], h[first], doc[first]
                 # of empty documents at one start, the last one is found, which is the one with bytes
                 where = np.flatnonzero(np.diff(doc, prepend=-1))
                 of = pdf.iloc[a:b].iloc[doc[where]]
-                yield pd.DataFrame({"k1": of["k1"].array, "k2": of["k2"].array, "h": np.split(h.view(np.int64), where[1:]), "at": np.split((at - starts[doc]).astype(np.int32), where[1:])})
+                lists = {"h": h.view(np.int64), "at": (at - starts[doc]).astype(np.int32), "run": run}
+                yield pd.DataFrame({"k1": of["k1"].array, "k2": of["k2"].array} | {n: np.split(x, where[1:]) for n, x in lists.items()})
 
-    marked = cut(read.select("k1", "k2", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(mark, "k1 long, k2 long, h array<long>, at array<int>"))
-    total = marked.agg(F.sum(F.size("h"))).first()[0] or 0
-    each = marked.select("k1", "k2", F.explode(F.arrays_zip("h", "at")).alias("x")).select("k1", "k2", "x.h", "x.at")
+    marked = cut(read.select("k1", "k2", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(mark, "k1 long, k2 long, h array<long>, at array<int>, run array<int>"))
+    each = marked.select("k1", "k2", F.explode(F.arrays_zip("h", "at", "run")).alias("x")).select("k1", "k2", "x.h", "x.at", "x.run")
+    suffixes = F.col("run").bitwiseAND(F.lit(0xFFFF)).cast("long")
+    total = each.agg(F.sum(suffixes)).first()[0] or 0
     # a gram is hot if its suffixes are more than a quarter of a task's share
-    usual, hot = repeated(each, "h", max(split_rows, total // (4 * parts)))
-    wanted = usual.select("k1", "k2", "h", "at", F.lit(False).alias("hot"))
+    usual, hot = repeated(each, "h", max(split_rows, total // (4 * parts)), suffixes)
+    wanted = usual.select("k1", "k2", "h", "at", "run", F.lit(False).alias("hot"))
     if hot is not None:
-        wanted = wanted.unionByName(hot.select("k1", "k2", "h", "at", F.lit(True).alias("hot")))
+        wanted = wanted.unionByName(hot.select("k1", "k2", "h", "at", "run", F.lit(True).alias("hot")))
     # a set, as equal rows of several batches mark the same places
-    of_doc = wanted.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_set(F.struct("h", "at", "hot")).alias("marks"))
+    of_doc = wanted.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_set(F.struct("h", "at", "run", "hot")).alias("marks"))
     joined = texts.join(of_doc, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")), "left").select("id", "k1", "k2", "packed", "copies", "marks")
     receivers = 4 * parts
 
@@ -293,10 +338,12 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["receiver", "n", "blob", "places"])
 
-        for k1, k2, raw, hs, places, hots in each_marked(batches):
+        for k1, k2, raw, hs, places, runs, hots in each_marked(batches):
             # anchors have the smallest hashes of their windows, so these are mixed anew to spread over the receivers
-            for h, at, is_hot in zip((hs.view(np.uint64) * np.uint64(SPREAD)).tolist(), places.tolist(), hots.tolist(), strict=True):
-                if not is_hot:
+            for h, first, run, is_hot in zip((hs.view(np.uint64) * np.uint64(SPREAD)).tolist(), places.tolist(), runs.tolist(), hots.tolist(), strict=True):
+                if is_hot:
+                    continue
+                for at in range(first, first + (run >> 16) * (run & 0xFFFF), run >> 16):
                     r, b = raw[at : at + span], raw[max(0, at - reach) : at][::-1]
                     rows.append((h.to_bytes(8, "big") + r.ljust(span, b"\0") + b.ljust(reach, b"\0"), k1, k2, at, len(r), len(b)))
                     if len(rows) >= RUN_ROWS:
@@ -335,19 +382,29 @@ def repeated_spans(read: DataFrame, texts: DataFrame, span: int = SPAN, gram: in
         return found
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k1, k2, raw, _, places, hots in each_marked(batches):
+        names = ["k1", "k2", "start", "stop", "key", "n"]
+        for k1, k2, raw, _, places, runs, hots in each_marked(batches):
             if not hots.any():
                 continue
-            starts = np.unique(np.concatenate([np.arange(max(0, at - reach), min(at, len(raw) - span) + 1) for at in places[hots].tolist()]))
-            keys = np.fromiter((xxhash.xxh3_64_intdigest(raw[i : i + span]) for i in starts.tolist()), np.uint64, len(starts)).view(np.int64)
-            for a in range(0, len(starts), 200_000):
-                part = keys[a : a + 200_000]
-                columns = [np.full(len(part), k1), np.full(len(part), k2), starts[a : a + 200_000], part]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "start", "key"])
-
-    # the windows around hot grams are too many for one receiver: each is a key of its own
-    both = all_repeated(joined.mapInArrow(windows, "k1 long, k2 long, start long, key long"), "key")
-    return found.unionByName(both.select("k1", "k2", "start", (F.col("start") + span).alias("stop")))
+            at, run = places[hots].astype(np.int64), runs[hots].astype(np.int64)
+            # the anchors of a run are so near that the windows around them leave no gap
+            low, high = merged(np.maximum(at - reach, 0), np.minimum(at + (run >> 16) * ((run & 0xFFFF) - 1), len(raw) - span) + 1)
+            for lo, hi in ((x, min(y, x + WINDOWS)) for x0, y in zip(low.tolist(), high.tolist(), strict=True) for x in range(x0, y, WINDOWS)):
+                keys = np.fromiter((xxhash.xxh3_64_intdigest(raw[i : i + span]) for i in range(lo, hi)), np.uint64, hi - lo).view(np.int64)
+                own, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+                again = lo + np.flatnonzero(n[which] > 1)  # repeated in this text already
+                x, y = merged(again, again + span) if len(again) else (again, again)
+                none = pa.nulls(len(x), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k1)), pa.array(np.full(len(x), k2)), pa.array(x), pa.array(y), none, none], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (np.full(len(own), k1), np.full(len(own), k2), lo + first, lo + first + span, own, n)], names=names)
+
+    # the windows around hot grams are too many for one receiver: each is a key of its own, that a text sends once; those
+    # that a text itself repeats are sent as the intervals they cover
+    told = joined.mapInArrow(windows, "k1 long, k2 long, start long, stop long, key long, n long")
+    key = F.col("key").bitwiseXOR(F.lit(DERIVED))  # so that adaptive execution can split a hot key
+    many = told.where(F.col("key").isNotNull()).groupBy(key.alias("many_key")).agg(F.sum("n").alias("many")).where("many > 1")
+    both = told.withColumn("own_key", F.coalesce(key, F.xxhash64("k1", "k2", "start"))).join(many, F.col("own_key") == F.col("many_key"), "left")
+    return found.unionByName(both.where("key IS NULL OR many_key IS NOT NULL").select("k1", "k2", "start", "stop"))
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -357,9 +414,9 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     starts anywhere else, in the same document or another; overlaps count, and the input decides, not what is left.
     Texts shorter than span lose nothing. What is kept may not be valid UTF-8. Every row counts for itself, whether it
     has an identifier of its own, one that other rows have, or none; rows equal in identifier and text are copies of
-    each other like any copies. A text's marks are gathered in its row: a few for each span bytes, up to one for each
-    byte in a text of a single repeated character. An empty table gives an empty result; other columns of docs play
-    no part.
+    each other like any copies. A text's marks are gathered in its row: a few for each span bytes, and one run for each
+    65,535 repetitions in a text that repeats one string. An empty table gives an empty result; other columns of docs
+    play no part.
     """
     ident, text = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"].cast("string")
     k1, k2 = row_keys(ident, text)
