@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import partitions
 
 #: Characters of text from which a block is full; a single longer text is a block of its own.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 #: Words whose ids a task that encodes remembers in each of two generations; beyond that a word may be encoded again.
 WORD_ENTRIES = 1_000_000
 #: Words of a block that have codes of one byte.
