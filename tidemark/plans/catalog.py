@@ -14,7 +14,7 @@ from tidemark.operators.pivot import pivot_last
 from tidemark.operators.ranks import pct_ranks
 from tidemark.plans import gold, insights, marts, payload_queries, regime, registry, security
 from tidemark.plans.flags_oracle import FLAGS
-from tidemark.plans.oracle import ASOF_DATE
+from tidemark.plans.oracle import ASOF_DATE, PANEL
 from tidemark.plans.registry import Query, View
 from tidemark.sources import parse
 
@@ -174,6 +174,13 @@ MARTS = {
     "kpi_tail": Query(lambda v: marts.kpi_tail(v("macro"), "date", _KPIS).withColumn("tail_sum", F.aggregate("tail", F.lit(0.0), lambda a, b: a + F.coalesce(b, F.lit(0.0)))).withColumn("n", F.size("tail")), "measure n", "last z_latest pctile_latest tail_sum", f"WITH long AS (SELECT date, measure, value FROM (SELECT * FROM {{g_macro}}) UNPIVOT INCLUDE NULLS (value FOR measure IN ({', '.join(_KPIS)}))), m AS ({_measures('long', 'measure', 'date', 'value')}), t AS (SELECT measure, date, value FROM long QUALIFY row_number() OVER (PARTITION BY measure ORDER BY date DESC) <= 90) SELECT t.measure, CAST(count(*) AS INT) AS n, arg_max_null(t.value, t.date) AS last, any_value(z_latest) AS z_latest, any_value(pctile_latest) AS pctile_latest, coalesce(sum(t.value), 0) AS tail_sum FROM t JOIN m ON m.measure = t.measure GROUP BY 1 HAVING arg_max_null(t.value, t.date) IS NOT NULL"),
     "valuation_table": Query(lambda v: marts.valuation_table(v("value")), "ticker", "earnings_yield sales_yield fcf_yield market_cap_bn", "SELECT ticker, earnings_yield, sales_yield, fcf_yield, market_cap_gbp / 1e9 AS market_cap_bn FROM {g_value} WHERE price_date = (SELECT max(price_date) FROM {g_value})"),
     "metrics_panel": Query(lambda v: security.latest_asof(security.metrics_panel(v("universe_prices"), v("universe_facts"), v("dim_instrument"), ["1997-06-30", ASOF_DATE])), "ticker asof_date", "last_close market_cap roe", "SELECT ticker, asof_date, last_close, market_cap, roe FROM {g_security}", digits=4),
+    "metrics_panel_months": Query(
+        lambda v: security.metrics_panel(v("universe_prices"), v("universe_facts"), v("dim_instrument"), PANEL),
+        "ticker asof_date sector",
+        "last_close market_cap earnings_yield pe roe rev_growth_yoy eps_growth_yoy ret_1m ret_12_1m dist_52w_high",
+        "g_panel",
+        digits=4,
+    ),
     "formatted": Query(lambda v: dedupe.latest(v("series").where("value IS NOT NULL"), ["series_id"], "obs_date").select("series_id", formats.num("value").alias("num"), formats.pct("chg_pct", 0).alias("pct"), formats.sigma("zscore").alias("sigma"), formats.signed("chg", 1).alias("signed"), formats.day("obs_date").alias("day")), "series_id num pct sigma signed day", "", _FORMATTED),
     "reconciliation": Query(lambda v: marts.reconciliation(v("series_obs"), v("series"), v("dim_series"), "series_id"), "staged gold unknown matched explained", "", "SELECT *, staged = gold AS matched, staged - unknown = gold AS explained FROM (SELECT count(*) AS staged, count(*) FILTER (series_id NOT IN (SELECT series_id FROM {dim_series})) AS unknown, (SELECT count(*) FROM {g_series}) AS gold FROM {series_obs})"),
     "vol_vs_history": Query(lambda v: marts.level_vs_history(v("vol"), "date", list(gold.VOL.values())), "measure n", "last mean std low high z_latest pctile_latest", "WITH long AS (SELECT date, measure, value FROM (SELECT * FROM {g_vol}) UNPIVOT (value FOR measure IN (" + ", ".join(gold.VOL.values()) + "))) " + _measures("long", "measure", "date", "value")),

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import by, change, expanding, growth, row_mean, safe_div, trailing, zscore_over
-from tidemark.operators.asof import asof_calendar, asof_keyed, value_before
+from tidemark.operators.asof import asof, asof_calendar, asof_keyed, value_before
 from tidemark.operators.dedupe import first_by
+from tidemark.operators.hold import cut
 from tidemark.operators.pivot import pivot_max
 from tidemark.operators.ranks import dominance, matched
+from tidemark.operators.scan import BLOCK_ROWS, block_window, expanding_z, in_blocks, with_moments
 
 # fixed values: public series codes and the columns they fill
 CURVE = {"DGS3MO": "y3m", "DGS2": "y2", "DGS5": "y5", "DGS10": "y10", "DGS30": "y30", "T10Y2Y": "slope_2s10s", "T10Y3M": "slope_3m10y", "DFII10": "real_10y", "T10YIE": "breakeven_10y", "THREEFYTP10": "term_premium_10y", "DFII5": "real_5y", "T5YIE": "breakeven_5y", "T5YIFR": "breakeven_5y5y"}
@@ -20,6 +22,8 @@ FUNDAMENTALS = {"Total Revenue": "revenue", "Gross Profit": "gross_profit", "Ope
 BENCHMARK = "^GSPC"
 ETF_GROUPS = ("sector_etfs", "style_etfs", "country_etfs")
 WATCHLIST = "watchlist"
+#: Days of a slice of the series in which their year-old values are looked up.
+SERIES_DAYS = 32
 
 
 def series_analytics(obs: DataFrame, dim: DataFrame) -> DataFrame:
@@ -36,6 +40,23 @@ def series_analytics(obs: DataFrame, dim: DataFrame) -> DataFrame:
     return x.select("series_id", "obs_date", "value", "prev_value", "chg", "chg_pct", "value_1y_ago", "chg_yoy", "zscore", "primary_value", "primary_zscore", "roll_vol_21", "freq", "intended_transform")
 
 
+def series_analytics_blocks(obs: DataFrame, dim: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """As series_analytics, for series of any length: by blocks of rows, with the moments of earlier blocks carried in.
+
+    The year-old value is an as-of join of the series with itself. obs has one row a date for each series.
+    """
+    known = obs.join(F.broadcast(dim.select("series_id", "freq", F.col("transform").alias("intended_transform"))), "series_id")
+    aged = asof(known.withColumn("_back", F.add_months("obs_date", -12)), known.select("series_id", F.col("obs_date").alias("_then"), F.col("value").alias("value_1y_ago")), ["series_id"], "_back", "_then", ["value_1y_ago"], SERIES_DAYS)
+    w = block_window("series_id", "obs_date")
+    x = in_blocks(aged.drop("_back"), "series_id", "obs_date", 22, block_rows)  # a change, and 21 of them
+    x = x.withColumns({"prev_value": F.lag("value").over(w), "chg": change("value", w), "chg_pct": growth("value", w)})
+    x = x.withColumns({"roll_vol_21": F.stddev_samp("chg_pct").over(trailing(w, 21)), "chg_yoy": safe_div("value", "value_1y_ago") - 1}).where("_own")
+    x = cut(x.withColumn("primary_value", F.when(F.col("intended_transform") == "yoy", F.col("chg_yoy")).when(F.col("intended_transform") == "mom", F.col("chg")).otherwise(F.col("value"))))
+    x = with_moments(x, "series_id", ["value", "primary_value"])
+    x = x.withColumns({"zscore": expanding_z("value", w), "primary_zscore": expanding_z("primary_value", w)})
+    return x.select("series_id", "obs_date", "value", "prev_value", "chg", "chg_pct", "value_1y_ago", "chg_yoy", "zscore", "primary_value", "primary_zscore", "roll_vol_21", "freq", "intended_transform")
+
+
 def _wide(obs: DataFrame, names: dict[str, str]) -> DataFrame:
     return pivot_max(obs, ["obs_date"], "series_id", "value", names).withColumnRenamed("obs_date", "date")
 

@@ -141,4 +141,19 @@ STEPS: dict[str, str] = {
 }
 STEPS |= _factor_steps("g_security", "asof_date", "u") | _factor_steps("g_security", "asof_date, sector", "n")
 
-__all__ = ["ASOF_DATE", "SERIES", "STEPS"]
+#: Month ends of the metrics panel.
+PANEL = ["1998-07-31", "1998-08-31", "1998-09-30", "1998-10-31", "1998-11-30", "1998-12-31", "1999-01-31", "1999-02-28", "1999-03-31", "1999-04-30", "1999-05-31", ASOF_DATE]
+
+
+def _on_date(name: str, k: int) -> str:
+    """A step of the metrics as of PANEL[k]."""
+    text = STEPS[name].replace(f"'{ASOF_DATE}'", f"'{PANEL[k]}'")
+    for other in ("known_facts", "closes", "facts_wide", "sec_1"):
+        text = text.replace(f"{{{other}}}", f"{{{other}_{k}}}")
+    return text
+
+
+STEPS |= {f"{n}_{k}": _on_date(n, k) for k in range(len(PANEL)) for n in ("known_facts", "closes", "facts_wide", "sec_1", "g_security")}
+STEPS["g_panel"] = " UNION ALL ".join(f"SELECT * FROM {{g_security_{k}}}" for k in range(len(PANEL)))
+
+__all__ = ["ASOF_DATE", "PANEL", "SERIES", "STEPS"]

@@ -95,7 +95,11 @@ _MACRO = "dgs2 dgs10 slope_2s10s ig_oas hy_oas ig_hy_spread vix usd_broad oil_wt
 _FACTOR_COLS = "value_z momentum_z quality_z growth_z value_pct momentum_pct quality_pct growth_pct composite_z composite_pct"
 _SECURITY = "earnings_yield pe pb ps fcf_yield roe gross_margin op_margin net_margin debt_to_equity rev_growth_yoy eps_growth_yoy ret_1m ret_6m ret_12_1m dist_52w_high last_close"
 
+_SERIES = "value prev_value chg chg_pct value_1y_ago chg_yoy zscore primary_value primary_zscore roll_vol_21"
+
 QUERIES: dict[str, Query] = {
+    # blocks of few rows, so that the given series have several
+    "series_analytics_blocks": Query(lambda v: gold.series_analytics_blocks(v("series_obs"), v("dim_series"), 128), "series_id obs_date freq intended_transform", _SERIES, "g_series"),
     "series_analytics": Query(lambda v: v("series"), "series_id obs_date freq intended_transform", "value prev_value chg chg_pct value_1y_ago chg_yoy zscore primary_value primary_zscore roll_vol_21", "g_series"),
     "curve": Query(lambda v: v("curve"), "date", " ".join(gold.CURVE.values()) + " slope_2s10s_calc", "g_curve"),
     "credit": Query(lambda v: v("credit"), "date", " ".join(gold.CREDIT.values()) + " ig_hy_spread quality_spread ig_hy_spread_z quality_spread_z", "g_credit"),

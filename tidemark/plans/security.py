@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.stats import no_nan, safe_div, sane, weighted_mean
+from tidemark.functions.stats import by, no_nan, safe_div, sane, trailing, weighted_mean
+from tidemark.operators.asof import asof
 from tidemark.operators.dedupe import first_by
 from tidemark.operators.hold import cut
 from tidemark.operators.ranks import matched, pct_ranks, quantiles
@@ -24,6 +25,8 @@ FACTORS = {
 }
 WEIGHTS = {"value": 0.25, "momentum": 0.25, "quality": 0.25, "growth": 0.25}
 SCREEN_ROWS = 25
+#: Days of a slice of prices in which a panel's dates are looked up.
+PANEL_DAYS = 32
 
 
 def momentum(prices: DataFrame, asof: str) -> DataFrame:
@@ -54,6 +57,11 @@ def facts_known(facts: DataFrame, asof: str) -> DataFrame:
 def security_metrics(prices: DataFrame, facts: DataFrame, dim: DataFrame, asof: str) -> DataFrame:
     """(ticker): all metrics as of a date; implausible values are null, tickers without a price are left out."""
     x = momentum(prices, asof).join(facts_known(facts, asof), "ticker", "full_outer").where("last_close IS NOT NULL")
+    return _measured(x.withColumn("asof_date", F.lit(asof).cast("date")), dim)
+
+
+def _measured(x: DataFrame, dim: DataFrame) -> DataFrame:
+    """The metrics of rows with a price, momentum and known facts."""
     x = x.join(F.broadcast(dim.select("ticker", "sector")), "ticker", "left")
     cap = F.when(F.col("shares") > 0, F.col("last_close") * F.col("shares"))
     x = x.withColumn("market_cap", F.when(cap >= CAP_FLOOR, cap))
@@ -72,7 +80,7 @@ def security_metrics(prices: DataFrame, facts: DataFrame, dim: DataFrame, asof:
         "rev_growth_yoy": (safe_div(F.col("revenue") - F.col("revenue_prev"), "revenue_prev"), -1, 10),
         "eps_growth_yoy": (safe_div(F.col("eps_diluted") - F.col("eps_prev"), F.abs("eps_prev")), -10, 10),
     }
-    return x.select("ticker", F.lit(asof).cast("date").alias("asof_date"), "sector", "last_close", "market_cap", *[sane(*v).alias(k) for k, v in ratio.items()], "ret_1m", "ret_6m", "ret_12_1m", "dist_52w_high")
+    return x.select("ticker", "asof_date", "sector", "last_close", "market_cap", *[sane(*v).alias(k) for k, v in ratio.items()], "ret_1m", "ret_6m", "ret_12_1m", "dist_52w_high")
 
 
 def _long(df: DataFrame, keys: list[str], names: list[str], name: str, value: str) -> DataFrame:
@@ -152,9 +160,43 @@ def sector_summary(factors: DataFrame) -> DataFrame:
     return named.groupBy("sector").agg(F.count(F.lit(1)).alias("n"), F.avg("composite_z").alias("avg_composite")).orderBy(F.col("avg_composite").desc_nulls_last(), "sector")
 
 
+def _closes(prices: DataFrame) -> DataFrame:
+    """(ticker, date): what momentum() measures, on every date with a close."""
+    w = by("ticker", "date")
+    c = {k: F.lag("close", k).over(w) for k in (21, 126, 252)}
+    x = prices.where("close IS NOT NULL").select("ticker", "date", "close", *[e.alias(f"c{k}") for k, e in c.items()], F.max("close").over(trailing(w, 252)).alias("high"))
+    returns = {"ret_1m": safe_div("close", "c21") - 1, "ret_6m": safe_div("close", "c126") - 1, "ret_12_1m": F.when(F.col("c21") != 0, safe_div("c21", "c252") - 1), "dist_52w_high": safe_div("close", "high") - 1}
+    return x.select("ticker", "date", F.col("close").alias("last_close"), *[e.alias(n) for n, e in returns.items()])
+
+
+def _filings(facts: DataFrame) -> DataFrame:
+    """(ticker): for each metric its facts as an array of (period_end, filed_date, value)."""
+    fact = F.struct("period_end", "filed_date", "value")
+    wanted = {m: (F.col("metric") == m) & (F.col("fiscal_period") == "FY") for m in FLOWS} | {m: F.col("metric") == m for m in STOCKS}
+    return facts.where(F.col("filed_date").isNotNull()).groupBy("ticker").agg(*[F.collect_list(F.when(c, fact)).alias(f"_{m}") for m, c in wanted.items()])
+
+
 def metrics_panel(prices: DataFrame, facts: DataFrame, dim: DataFrame, dates: list[str]) -> DataFrame:
-    """security_metrics on each of a short list of dates."""
-    return reduce(DataFrame.unionByName, [security_metrics(prices, facts, dim, d) for d in dates])
+    """security_metrics on each of many dates, in one pass over prices and facts.
+
+    A date takes the last close on or before it, with what the rows up to that one say, by an as-of join; and of each
+    metric's filings (a few hundred at most for a ticker) those made by then: the latest period's, and the one before.
+    """
+    closes = _closes(prices)
+    days = F.array(*[F.lit(d).cast("date") for d in dates])
+    grid = closes.select("ticker").distinct().select("ticker", F.explode(days).alias("asof_date"))
+    names = ["last_close", "ret_1m", "ret_6m", "ret_12_1m", "dist_52w_high"]
+    x = asof(grid, closes, ["ticker"], "asof_date", "date", names, PANEL_DAYS).where("last_close IS NOT NULL")
+    x = matched(x, _filings(facts), ["ticker"], [f"_{m}" for m in FLOWS + STOCKS])
+
+    def latest(m: str, before: Column | None = None) -> Column:
+        """The last of the filings of m known on the date, for a period before another."""
+        made = F.filter(f"_{m}", lambda f: f["filed_date"] <= F.col("asof_date"))
+        return F.array_max(made if before is None else F.filter(made, lambda f: f["period_end"] < before))
+
+    x = x.withColumns({m: latest(m) for m in FLOWS + STOCKS})
+    x = x.withColumns({n: latest(m, F.col(m)["period_end"])["value"] for m, n in (("revenue", "revenue_prev"), ("eps_diluted", "eps_prev"))})
+    return _measured(x.withColumns({m: F.col(m)["value"] for m in FLOWS + STOCKS}), dim)
 
 
 def latest_asof(df: DataFrame) -> DataFrame:
