@@ -12,9 +12,9 @@ from tidemark.functions.stats import weighted_mean
 from tidemark.operators import dedupe, upsert
 from tidemark.operators.pivot import pivot_last
 from tidemark.operators.ranks import pct_ranks
-from tidemark.plans import gold, insights, marts, payload_queries, regime, registry, security
+from tidemark.plans import gold, insights, marts, payload_queries, regime, registry, roundtrips, security
 from tidemark.plans.flags_oracle import FLAGS
-from tidemark.plans.oracle import ASOF_DATE, PANEL
+from tidemark.plans.oracle import ASOF_DATE, PANEL, STEPS
 from tidemark.plans.registry import Query, View
 from tidemark.sources import parse
 
@@ -205,8 +205,8 @@ QUERIES: dict[str, Query] = registry.QUERIES | WHOLE | LOADS | PAYLOADS | payloa
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: q.frame for n, q in QUERIES.items()} | payload_queries.STREAMS
+    return {n: q.frame for n, q in QUERIES.items()} | payload_queries.STREAMS | roundtrips.queries()
 
 
 def oracles() -> dict[str, str]:
-    return {n: s for n, q in QUERIES.items() if (s := q.oracle()) is not None} | payload_queries.STREAM_ORACLES
+    return {n: s for n, q in QUERIES.items() if (s := q.oracle()) is not None} | payload_queries.STREAM_ORACLES | roundtrips.oracles(STEPS)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import latest, top_n
 from tidemark.plans.insights import latest_measures
+from tidemark.sources.files import write_observed
 
 
 def coverage(frames: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -77,6 +78,23 @@ def reconciliation(staged: DataFrame, gold: DataFrame, dim: DataFrame, key: str)
     return counted.join(built, "one").select("staged", "gold", "unknown", (F.col("staged") == F.col("gold")).alias("matched"), (F.col("staged") - F.col("unknown") == F.col("gold")).alias("explained"))
 
 
+def build_reconciled(staged: DataFrame, dim: DataFrame, key: str, build: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """Builds a gold table at path and reconciles it with its staging rows, which are counted as they pass.
+
+    build reads staged once. Rows that a lost executor makes Spark compute again count again in such passing counts, so
+    where these don't account for gold, both are counted once more; else neither is read a second time.
+    """
+    known = F.broadcast(dim.select(F.col(key).alias("_k")).distinct().withColumn("_known", F.lit(1)))
+    seen = Observation()
+    marked = staged.join(known, F.col(key) == F.col("_k"), "left").observe(seen, F.count(F.lit(1)).alias("staged"), F.count_if(F.col("_known").isNull()).alias("unknown"))
+    gold = write_observed(build(marked.drop("_k", "_known")), path, gold=F.count(F.lit(1)))["gold"]
+    n, unknown = seen.get["staged"], seen.get["unknown"]
+    if n - unknown != gold:
+        return reconciliation(staged, staged.sparkSession.read.parquet(path), dim, key)
+    row = (n, gold, unknown, n == gold, True)
+    return staged.sparkSession.createDataFrame([row], "staged long, gold long, unknown long, matched boolean, explained boolean")
+
+
 def level_vs_history(wide: DataFrame, date: str, columns: Sequence[str]) -> DataFrame:
     """(measure): last, mean, deviation, range, z and percentile of each column. Long first, so measures run in parallel."""
     return latest_measures(wide.unpivot([date], list(columns), "measure", "value"), date, "value", "measure")

@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidemark.sources.parse import outcome
 
@@ -31,13 +31,13 @@ def save_raw(df: DataFrame, path: str, run_date: str, key: str) -> bool:
 def land_payloads(df: DataFrame, path: str, run_date: str, key: str, body: str) -> bool:
     """Raw JSON or XML bodies under their run date and keys, as they came; null and empty ones land nowhere.
 
-    Landing again on the same date replaces the keys that come again. Bodies of one key go to one file, so a key should
-    have one body a run.
+    Landing again on the same date replaces the keys that come again. Each body has a file of its own, also those of
+    one key.
     """
     x = df.where(F.length(body) > 0).select(F.lit(run_date).alias("run_date"), safe_key(F.col(key).cast("string")).alias("key"), F.col(body).alias("value"))
     if x.isEmpty():
         return False
-    x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").partitionBy("run_date", "key").text(path)
+    x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").option("maxRecordsPerFile", 1).partitionBy("run_date", "key").text(path)
     return True
 
 
@@ -87,6 +87,35 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
+#: The column of a row's text as it came, where it doesn't fit the schema.
+CORRUPT = "_corrupt"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: str, rules: Mapping[str, Column] | None = None, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a CSV, and the quarantined ones as (path, line, reason).
+
+    A row is quarantined that has other columns than the schema or values of other types ("not a row of the schema"), or
+    for the first of the rules (reason to condition) that it doesn't meet; a condition that is null is not met. No row
+    is lost: good and quarantined rows are those of the files.
+    """
+    fields = StructType.fromDDL(schema)
+    names = fields.names
+    x = spark.read.schema(StructType([*fields.fields, StructField(CORRUPT, StringType())])).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").csv(path)
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("not a row of the schema"))
+    for name, met in (rules or {}).items():
+        reason = reason.when(~F.coalesce(met, F.lit(False)), F.lit(name))
+    x = x.withColumns({"path": F.input_file_name(), "reason": reason})
+    line = F.coalesce(CORRUPT, F.to_csv(F.struct(*names)))
+    return x.where("reason IS NULL").select(*names), x.where("reason IS NOT NULL").select("path", line.alias("line"), "reason")
+
+
+def write_observed(df: DataFrame, path: str, **counted: Column) -> dict[str, int]:
+    """Writes df and returns aggregates of its rows, taken as they pass: the table isn't read again to be counted."""
+    seen = Observation()
+    df.observe(seen, *[c.alias(n) for n, c in counted.items()]).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemark.operators.buckets import BUCKETS, upsert_touched
 from tidemark.operators.dedupe import first_by, first_wins, latest_filed_wins
 from tidemark.operators.upsert import anti
 
@@ -131,6 +132,18 @@ def each_batch(stream: DataFrame, load: Callable[[DataFrame, int], None], checkp
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def upsert_buckets(stream: DataFrame, keys: list[str], ord_col: str, root: str, checkpoint: str, n_buckets: int = BUCKETS) -> StreamingQuery:
+    """Upserts each batch into a bucketed table, rewriting the buckets that the batch touches; counts by batch lie beside
+    it. A replayed batch has its version again: it starts from what was there before it and replaces what it wrote."""
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        counts = upsert_touched(root, batch, batch_id, keys, ord_col, n_buckets)
+        row = batch.sparkSession.createDataFrame([(batch_id, *(counts[c] for c in ("n_seen", "n_new", "n_buckets")))], "batch_id long, n_seen long, n_new long, n_buckets long")
+        row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/counts")
+
+    return each_batch(stream, load, checkpoint)
+
+
 def windowed_counts(stream: DataFrame, event_time: str, key: str, window: str = "1 day", delay: str = "2 days") -> DataFrame:
     """Events by key and window; windows close once the watermark has passed them."""
     return stream.withWatermark(event_time, delay).groupBy(F.window(event_time, window), key).agg(F.count(F.lit(1)).alias("n"))
