@@ -188,7 +188,53 @@ def test_extraction_without_hints_of_names():
     rows = [html_text.features(html_text.blocks(html_text._SPELLED.sub("w", p))) for p in html_text.PAGES]
     of = np.concatenate([[k] * (len(r) * scales) for k, r in enumerate(rows)])
     half = html_text.grow(x[of % 2 == 0], y[of % 2 == 0])
-    assert pages > 15 and (html_text.classify(half, x[of % 2 == 1]) == y[of % 2 == 1]).mean() > 0.8
+    assert pages > 15 and (html_text.classify(half, x[of % 2 == 1]) == y[of % 2 == 1]).mean() > 0.95
+    used = set()
+
+    def walk(node):
+        if len(node) > 1:
+            used.add(html_text.FEATURES[node[0]])
+            walk(node[2]), walk(node[3])
+
+    walk(tree)
+    assert {"words", "link_density", "article", "named"} <= used and used & {"words_before", "density_before"} and used & {"words_after", "density_after"}
+
+
+def test_names_are_read_by_their_parts_and_never_drop_an_article():
+    tree, text = html_text.trained_tree(), "plain words of a longer paragraph " * 10
+    text = text.strip()
+    body = f"<p>{text}</p>"
+    for name in ("disqus_thread", "user-comments", "reader-comments", "comments", "ad-slot", "top-ad", "ads_box", "cookie-banner", "site-footer", "related", "social-links"):
+        for attribute in ("class", "id"):
+            page = f"<article>{body}<div {attribute}='{name}'><p>{text}</p></div></article>"
+            assert html_text.main_text(page, tree) == text, name
+    for name in ("post social", "comment", "related", "ad", "sidebar-left"):
+        assert html_text.main_text(f"<article class='{name}'>{body}</article>", tree) == text, name
+        assert html_text.main_text(f"<main id='{name}'>{body}</main>", tree) == text, name
+    for name in ("related", "social", "promo", "notice", "social-science", "comment-policy-essay", "advertising-history"):
+        assert html_text.main_text(f"<article><section class='{name}'>{body}</section></article>", tree) == text, name
+    # a reply is an article within the article
+    assert html_text.main_text(f"<article>{body}<article class='comment'><p>{text}</p></article></article>", tree) == text
+
+
+def test_pages_that_mark_nothing():
+    """Layouts unlike the labelled ones, told apart by words and links of a block and of its neighbours."""
+    tree, r, right, total = html_text.trained_tree(), np.random.default_rng(12), 0, 0
+    for _ in range(60):
+        rows = [("L", int(r.integers(1, 4))) for _ in range(r.integers(2, 7))]
+        rows += [("*", int(r.integers(2, 10)))] + [("*", int(r.integers(25, 140))) for _ in range(r.integers(1, 4))]
+        if r.random() < 0.5:
+            rows += [("*", int(r.integers(2, 9))), ("*", int(r.integers(30, 90)))]
+        tag = r.choice(["p", "div"])
+        if tag == "div" and r.random() < 0.5:
+            rows += [("T", int(r.integers(1, 6)))]
+        rows += [("L", int(r.integers(2, 9))) for _ in range(r.integers(2, 6))]
+        page = "".join(f"<{tag}>" + (f"<a href=x>{'w ' * n}</a>" if k == "L" else (html_text.MAIN if k == "*" else "") + "w " * n) + f"</{tag}>" for k, n in rows)
+        found = html_text.blocks(page)
+        keep = html_text.classify(tree, html_text.features(found))
+        right += sum(bool(k) == b.text.startswith(html_text.MAIN) for b, k in zip(found, keep, strict=True))
+        total += len(found)
+    assert right / total > 0.95, right / total
 
 
 def test_extraction_is_linear():

@@ -30,13 +30,28 @@ ASIDES = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldse
 ARTICLES = {"article", "main"}
 CONTAINERS = ASIDES | ARTICLES | {"header", "section", "div", "ul", "ol", "dl", "table", "figure", "blockquote", "details", "body", "span"}
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "td"}
-#: Whole tokens of a container's class, id or role that hint at an aside: one of the tree's features.
-ASIDE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "sponsored", "banner", "promo", "sidebar", "comment", "comments", "comment-list", "respond", "cookie", "cookies", "cookie-notice", "cookie-banner", "consent", "notice", "popup", "modal", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "share", "share-links", "share-buttons", "social", "social-links", "related", "related-posts", "related-articles", "newsletter", "subscribe", "search-form", "contentinfo", "complementary", "pagination", "pager", "widget", "toolbar", "login"}
+#: Parts of a container's class, id or role that name an aside; those that hint at one, but stand on main text as well;
+#: and those that say nothing either way.
+NAMED = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsored", "sidebar", "comment", "comments", "commentlist", "disqus", "respond", "replies", "cookie", "cookies", "consent", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "newsletter", "subscribe", "contentinfo", "complementary", "pagination", "pager"}
+HINTED = {"banner", "promo", "notice", "popup", "modal", "menu", "share", "sharing", "social", "related", "recommended", "widget", "toolbar", "login", "search"}
+NEUTRAL = {"list", "section", "area", "box", "slot", "unit", "container", "wrapper", "wrap", "block", "inner", "outer", "item", "items", "thread", "top", "bottom", "left", "right", "user", "users", "reader", "readers", "site", "page", "posts", "articles", "links", "buttons", "icons", "form", "bar", "js", "id"}
+#: Words of text outside of hinted containers from which hints count; they also do beside shorter hinted text. Where there
+#: is less, the hinted text is the page.
+ENOUGH = 25
 
 
-def _names(rest: str) -> set[str]:
-    """The whole tokens of a tag's class, id and role, in lower case, - for _."""
-    return {w for v in _NAMES.findall(rest) for w in "".join(v).lower().replace("_", "-").split()}
+def _name_kind(rest: str) -> int:
+    """2 if a token of a tag's class, id or role names an aside, 1 if one hints at it, else 0.
+
+    A token is read by its parts: those that say nothing are left out, and all others must be known ones.
+    """
+    kind = 0
+    for v in _NAMES.findall(rest):
+        for token in "".join(v).lower().replace("_", "-").split():
+            parts = {x for x in token.split("-") if x and not x.isdigit() and x not in NEUTRAL}
+            if parts and parts <= NAMED | HINTED:
+                kind = max(kind, 1 if parts.isdisjoint(NAMED) else 2)
+    return kind
 
 
 class Block(NamedTuple):
@@ -47,20 +62,20 @@ class Block(NamedTuple):
     linked: int
     article: bool
     aside: bool
-    named: bool
+    named: int
     prose: bool
 
 
 class Container(NamedTuple):
-    """An open container: its element, and whether it lies in an article, in an aside, in one named like an aside."""
+    """An open container: its element, whether it lies in an article or in an aside, and how it is named (_name_kind)."""
 
     element: str
     article: bool
     aside: bool
-    named: bool
+    named: int
 
 
-PAGE_ = Container("", False, False, False)
+PAGE_ = Container("", False, False, 0)
 
 
 def blocks(page: str) -> list[Block]:
@@ -124,11 +139,13 @@ def blocks(page: str) -> list[Block]:
                     break
         elif not rest.endswith("/"):
             around = stack[-1]
-            named = name not in {"body", "main"} and bool(rest) and not _names(rest).isdisjoint(ASIDE_NAMES)
+            # a name on the page, or on an article that is no reply within another one, says nothing of its text
+            whole = name in {"body", "main"} or (name == "article" and not around.article)
+            named = 0 if whole or not rest else _name_kind(rest)
             aside = name in ASIDES or (name == "header" and not around.article)
             if name == "span" and named and not around.named:
                 flush()
-            stack.append(Container(name, around.article or (name in ARTICLES and not around.aside), around.aside or aside, around.named or named))
+            stack.append(Container(name, around.article or (name in ARTICLES and not around.aside), around.aside or aside, max(around.named, named)))
             open_[name] += 1
     if at < len(page):
         say(page[at:])
@@ -148,7 +165,11 @@ def features(found: list[Block]) -> np.ndarray:
         out[:, 0] = [b.words for b in found]
         out[:, 1] = [b.linked / b.words for b in found]
         out[1:, 2:4], out[:-1, 4:6] = out[:-1, 0:2], out[1:, 0:2]
-        out[:, 6:10] = [(b.article, b.aside, b.named, b.prose) for b in found]
+        # a hint counts beside enough text that has none, in the article if there is one
+        article = any(b.article and not b.aside for b in found)
+        plain, hinted = (sum(b.words - b.linked for b in found if b.named == k and not b.aside and b.article == article) for k in (0, 1))
+        bar = 1 if plain >= min(ENOUGH, hinted) else 2
+        out[:, 6:10] = [(b.article, b.aside, b.named >= bar, b.prose) for b in found]
         out[:, 10] = out[:, 6].max()
     return out
 
@@ -186,6 +207,18 @@ PAGES = [
     "<div>L2</div><div>L3</div><p>L1</p><div>L2</div><p>L5</p><ul><li>L8</li><li>L25</li></ul><td>L3</td>",
     # paragraphs with many links, and a paragraph of one
     "<p>*T40 L8 T30</p><p>*T12 L6</p><p>L4</p><p>L7</p><div>*T45 L12</div><h2>L3</h2>",
+    # marked by nothing: a heading stands between links and text, a label between text and links (a paragraph there is text)
+    "<div>L2</div><div>L1</div><div>L3</div><div>*T5</div><div>*T60</div><div>*T4</div><div>*T45</div><div>T2</div><div>L4</div><div>L6</div><div>L5</div>",
+    "<p>L1</p><p>L2</p><p>*T9</p><p>*T30</p><p>*T8</p><p>*T120</p><p>*T6</p><p>L7</p><p>L5</p><p>T1</p><p>L3</p>",
+    "<div>L3</div><div>L2</div><div>*T3</div><div>*T50</div><div>T9</div><div>L2</div><div>L8</div><div>T3</div><div>L2</div>",
+    "<div>L1</div><div>T3</div><div>L2</div><div>*T10</div><div>*T90</div><div>*T2</div><div>*T33</div><div>*T12</div><div>T5</div><div>L9</div><div>L4</div>",
+    "<p>*T7</p><p>*T80</p><p>*T6</p><p>*T40 L3</p><p>*T70</p><p>*T1</p><p>L2</p><p>L2</p><p>L3</p><p>T7</p><p>L1</p>",
+    "<ul><li>L2</li><li>L2</li><li>L1</li></ul><div>*T6</div><div>*T48 L4</div><div>*T9</div><div>*T64</div><div>L6</div><div>T2</div><div>L6</div><div>T2</div><div>L5</div>",
+    "<div>L1</div><div>L1</div><div>*T4</div><div>*T35</div><div>*T75</div><div>*T3</div><div>*T28</div><div>T8</div><div>L3</div><div>L3</div>",
+    "<p>L4</p><p>T2</p><p>L2</p><p>*T7</p><p>*T55</p><p>*T60</p><p>*T2</p><p>*T1</p><p>L5</p><p>L2</p>",
+    # hints on what is all the text there is
+    "<article><section class=related><h2>*T4</h2><p>*T60</p></section></article>",
+    "<nav>L1 L1</nav><main><div class=social><p>*T44</p><p>*T7</p></div></main><footer>T8</footer>",
     "<table><tr><td>L1</td><td>L1</td></tr></table><table><tr><td>*T70</td></tr><tr><td>*T15</td></tr></table><table><tr><td>L1</td></tr></table>",
 ]
 _SPELLED = re.compile(r"([TL])(\d+)")
