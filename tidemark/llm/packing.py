@@ -24,6 +24,8 @@ GROUP_DOCS = 4096
 #: Words, and pieces of text between white space, whose ids a worker remembers in each of two generations.
 WORD_ENTRIES, CHUNK_ENTRIES = 700_000, 300_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: The column that tells repeated rows apart: how many equal ones the task met before.
+NTH = ", nth long"
 #: Characters of a word from which it counts as long.
 LONG_WORD = 64
 #: Characters that Python takes for white space and the tokenizer doesn't.
@@ -154,25 +156,29 @@ def tokenizer(path: str) -> WordTokenizer:
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document's ids and end_id, cut into pieces of at most sequence_tokens: doc_id, start, length, ids_crc32, doc_tokens.
+    """Each document's ids and end_id, cut into pieces of at most sequence_tokens: doc_id, start, length, ids_crc32, doc_tokens,
+    and nth, which counts the rows of equal identifier and ids within a task; so it doesn't depend on their order.
 
     A null or empty text has the one id end_id.
     """
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        met: dict[tuple[int | None, int, int], int] = {}
         for b in batches:
             rows = []
-            for row, text in enumerate(b.column("t").to_pylist()):
+            for row, (ident, text) in enumerate(zip(b.column("i").to_pylist(), b.column("t").to_pylist(), strict=True)):
                 ids = tok.ids(text) + end
                 n = len(ids) // 4
+                same = (ident, zlib.crc32(ids), n)
+                nth = met[same] = met.get(same, -1) + 1
                 for at in range(0, n, sequence_tokens):
                     part = ids[4 * at : 4 * (at + sequence_tokens)]
-                    rows.append((row, at, len(part) // 4, zlib.crc32(part), n))
-            of, *made = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 5)]
-            yield pa.RecordBatch.from_arrays([b.column("i").take(of), *made], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    rows.append((row, at, len(part) // 4, zlib.crc32(part), n, nth))
+            of, *made = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 6)]
+            yield pa.RecordBatch.from_arrays([b.column("i").take(of), *made], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth"])
 
-    return docs.select(docs[f"`{id_col}`"].cast("long").alias("i"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("t")).mapInArrow(cut_up, PIECES)
+    return docs.select(docs[f"`{id_col}`"].cast("long").alias("i"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("t")).mapInArrow(cut_up, PIECES + NTH)
 
 
 class FirstFit:
@@ -227,9 +233,10 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = 4096, end_
     n = docs.count()
     groups = max(1, -(-n // group_docs))
     pieces = tokenised_pieces(docs, tokenizer_path, sequence_tokens, end_id, id_col, text_col)
-    # rows without an identifier are dealt out by content, so that no group grows with them
+    # rows without an identifier are dealt out by content, and equal rows by their number, so that no group grows with them
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("ids_crc32", "doc_tokens", F.lit(seed))).otherwise(F.xxhash64("doc_id", F.lit(seed)))
-    pieces = pieces.withColumn("grp", F.pmod(key, F.lit(groups)))
+    key = F.when(F.col("nth") > 0, F.xxhash64(key, "nth")).otherwise(key)
+    pieces = pieces.withColumn("grp", F.pmod(key, F.lit(groups))).drop("nth")
 
     def fill(found: pa.Table) -> pa.Table:
         found = found.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
