@@ -14,7 +14,7 @@ from tidemark.operators.pivot import pivot_last
 from tidemark.operators.ranks import pct_ranks
 from tidemark.plans import gold, insights, marts, payload_queries, regime, registry, roundtrips, security
 from tidemark.plans.flags_oracle import FLAGS
-from tidemark.plans.oracle import ASOF_DATE, PANEL, STEPS
+from tidemark.plans.oracle import ASOF_DATE, CURVE, PANEL, STEPS, VOL
 from tidemark.plans.registry import Query, View
 from tidemark.sources import parse
 
@@ -183,8 +183,8 @@ MARTS = {
     ),
     "formatted": Query(lambda v: dedupe.latest(v("series").where("value IS NOT NULL"), ["series_id"], "obs_date").select("series_id", formats.num("value").alias("num"), formats.pct("chg_pct", 0).alias("pct"), formats.sigma("zscore").alias("sigma"), formats.signed("chg", 1).alias("signed"), formats.day("obs_date").alias("day")), "series_id num pct sigma signed day", "", _FORMATTED),
     "reconciliation": Query(lambda v: marts.reconciliation(v("series_obs"), v("series"), v("dim_series"), "series_id"), "staged gold unknown matched explained", "", "SELECT *, staged = gold AS matched, staged - unknown = gold AS explained FROM (SELECT count(*) AS staged, count(*) FILTER (series_id NOT IN (SELECT series_id FROM {dim_series})) AS unknown, (SELECT count(*) FROM {g_series}) AS gold FROM {series_obs})"),
-    "vol_vs_history": Query(lambda v: marts.level_vs_history(v("vol"), "date", list(gold.VOL.values())), "measure n", "last mean std low high z_latest pctile_latest", "WITH long AS (SELECT date, measure, value FROM (SELECT * FROM {g_vol}) UNPIVOT (value FOR measure IN (" + ", ".join(gold.VOL.values()) + "))) " + _measures("long", "measure", "date", "value")),
-    "rates_vs_history": Query(lambda v: marts.level_vs_history(v("curve"), "date", list(gold.CURVE.values())), "measure n", "last mean std low high z_latest pctile_latest", "WITH long AS (SELECT date, measure, value FROM (SELECT * FROM {g_curve}) UNPIVOT (value FOR measure IN (" + ", ".join(gold.CURVE.values()) + "))) " + _measures("long", "measure", "date", "value")),
+    "vol_vs_history": Query(lambda v: marts.level_vs_history(v("vol"), "date", list(gold.VOL.values())), "measure n", "last mean std low high z_latest pctile_latest", "WITH long AS (SELECT date, measure, value FROM (SELECT * FROM {g_vol}) UNPIVOT (value FOR measure IN (" + ", ".join(VOL.values()) + "))) " + _measures("long", "measure", "date", "value")),
+    "rates_vs_history": Query(lambda v: marts.level_vs_history(v("curve"), "date", list(gold.CURVE.values())), "measure n", "last mean std low high z_latest pctile_latest", "WITH long AS (SELECT date, measure, value FROM (SELECT * FROM {g_curve}) UNPIVOT (value FOR measure IN (" + ", ".join(CURVE.values()) + "))) " + _measures("long", "measure", "date", "value")),
     "rebased_prices": Query(lambda v: marts.rebased(v("prices"), "ticker", "price_date", "adj_close"), "ticker price_date", "rebased", "SELECT ticker, price_date, 100 * adj_close / first_value(adj_close) OVER (PARTITION BY ticker ORDER BY price_date) AS rebased FROM {prices}"),
     "tail_90": Query(lambda v: marts.tail(v("prices"), "ticker", "price_date"), "ticker price_date", "adj_close", "SELECT * FROM {prices} QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY price_date DESC) <= 90"),
     "factor_matrix": Query(lambda v: marts.factor_matrix(v("scores"), _SCORES), "ticker factor", "z", "SELECT ticker, factor, z FROM (SELECT ticker, mom_z, lowvol_z, trend_z, quality_z, growth_z, value_z FROM {g_scores} WHERE price_date = (SELECT max(price_date) FROM {g_scores}) AND composite_z IS NOT NULL ORDER BY round(abs(composite_z), 9) DESC, ticker LIMIT 12) UNPIVOT INCLUDE NULLS (z FOR factor IN (mom_z, lowvol_z, trend_z, quality_z, growth_z, value_z))"),
