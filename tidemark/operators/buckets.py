@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,38 +34,48 @@ def versions(spark: SparkSession, root: str, before: int | None = None) -> dict[
     return {r[0]: r[1] for r in x.groupBy("bucket").agg(F.max("version")).collect()}
 
 
-def _read(spark: SparkSession, root: str, schema: StructType, held: dict[int, int]) -> DataFrame:
+def _read(spark: SparkSession, root: str, schema: StructType | str, held: dict[int, int]) -> DataFrame:
     if not held:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[f"{root}/data/bucket={b}/version={v}" for b, v in sorted(held.items())])
 
 
-def current(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The table's rows as of its last commits; only their folders are listed and read."""
-    return _read(spark, root, schema, versions(spark, root))
+def current(spark: SparkSession, root: str, schema: StructType | str, only: set[int] | None = None) -> DataFrame:
+    """The table's rows as of its last commits, or those of some buckets; only their folders are listed and read."""
+    return _read(spark, root, schema, {b: v for b, v in versions(spark, root).items() if only is None or b in only})
 
 
-def upsert_touched(root: str, batch: DataFrame, version: int, keys: Sequence[str], ord_col: str, buckets: int = BUCKETS) -> dict[str, int]:
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def buckets_of(keys_df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> set[int]:
+    """The buckets that hold the keys of a frame: a number for each at most."""
+    return {r[0] for r in keys_df.select(bucket_of(keys, buckets)).distinct().collect()}
+
+
+def upsert_touched(root: str, batch: DataFrame, version: int, keys: Sequence[str], ord_col: str, buckets: int = BUCKETS, bucket_by: Sequence[str] | None = None) -> dict[str, int]:
     """Upserts batch under a version and returns n_seen and n_new of its keys and n_buckets, those that were rewritten.
 
     Within the batch the last row of a key by ord_col wins, and it replaces the stored one. Keys are compared null-safely;
-    versions ascend from batch to batch. The batch and the touched buckets meet in one join by key, which counts as it
+    versions ascend from batch to batch. bucket_by: those of the keys that tell a row's bucket, if not all. The batch and the touched buckets meet in one join by key, which counts as it
     writes.
     """
     spark, names = batch.sparkSession, batch.columns
-    rows = last_wins(batch, list(keys), ord_col).withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = [r[0] for r in rows.select("_b").distinct().collect()]  # a number for each bucket at most
+    place = bucket_of(bucket_by or keys, buckets)
+    rows = last_wins(batch, list(keys), ord_col).withColumn("_b", place)
+    touched = buckets_of(batch, bucket_by or keys, buckets)
     if not touched:
         return {"n_seen": 0, "n_new": 0, "n_buckets": 0}
-    held = {b: v for b, v in versions(spark, root, version).items() if b in set(touched)}
+    held = {b: v for b, v in versions(spark, root, version).items() if b in touched}
     old = _read(spark, root, batch.schema, held)
-    old = old.select(*[F.col(c).alias(f"_o_{c}") for c in names], F.lit(True).alias("_old"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_ob"))
+    old = old.select(*[F.col(c).alias(f"_o_{c}") for c in names], F.lit(True).alias("_old"), place.alias("_ob"))
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
     both = rows.withColumn("_new", F.lit(True)).join(old, on, "full_outer")
     seen = Observation()
     both = both.observe(seen, F.count("_new").alias("n_seen"), F.count_if(F.col("_new").isNotNull() & F.col("_old").isNull()).alias("n_new"))
     merged = both.select(*[F.when(F.col("_new"), F.col(c)).otherwise(F.col(f"_o_{c}")).alias(c) for c in names], F.coalesce("_b", "_ob").alias("bucket"), F.lit(version).alias("version"))
     merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(f"{root}/data")
-    commit = spark.createDataFrame([(b, version) for b in touched], "bucket int, version long").coalesce(1)
+    commit = spark.createDataFrame([(b, version) for b in sorted(touched)], "bucket int, version long").coalesce(1)
     commit.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{root}/commits")
     return {**seen.get, "n_buckets": len(touched)}

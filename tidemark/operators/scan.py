@@ -57,14 +57,24 @@ def with_moments(own: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     return matched(own, parts.select(*carried), [key, "_block"], [f"_{c}_{v}" for v in values for c in "nmq"], "inner")
 
 
-def expanding_z(value: str, w: WindowSpec) -> Column:
-    """z of a value against all values of its key up to it: those of its block by the window w, those before as carried in
-    by with_moments(). Null where the sample deviation is null or nothing but what adding up leaves."""
+def running_moments(value: str, w: WindowSpec) -> tuple[Column, Column, Column]:
+    """Count, mean and sum of squares around it of a value's history up to each row: the rows of the window w, and those
+    before as carried in by _n_, _m_ and _q_ of the value."""
     x, run = F.col(value), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     n0, m0, q0 = (F.col(f"_{c}_{value}") for c in "nmq")
     n1, m1, q1 = F.count(x).over(run), F.avg(x).over(run), F.var_pop(x).over(run) * F.count(x).over(run)
     n, gap = n0 + n1, F.coalesce(m1 - m0, F.lit(0.0))
     mean = F.when(n0 == 0, m1).when(n1 == 0, m0).otherwise(m0 + gap * n1 / n)
-    squares = F.coalesce(q0, F.lit(0.0)) + F.coalesce(q1, F.lit(0.0)) + gap * gap * n0 * n1 / n
+    return n, mean, F.coalesce(q0, F.lit(0.0)) + F.coalesce(q1, F.lit(0.0)) + F.coalesce(F.try_divide(gap * gap * n0 * n1, n), F.lit(0.0))
+
+
+def z_of(x: Column, n: Column, mean: Column, squares: Column) -> Column:
+    """z by the sample deviation; null where that is null or nothing but what adding up leaves."""
     sd = F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1)))
     return F.when(sd > F.abs(mean) * NOISE, (x - mean) / sd)
+
+
+def expanding_z(value: str, w: WindowSpec) -> Column:
+    """z of a value against all values of its key up to it: those of its block by the window w, those before as carried in
+    by with_moments()."""
+    return z_of(F.col(value), *running_moments(value, w))

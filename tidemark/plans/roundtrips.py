@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import fixtures, gold, marts
+from tidemark.plans.incremental import DOUBLES, analytics, update_series
 from tidemark.plans.payload_queries import LANDING_DAYS, _folder
 from tidemark.sources import files, parse
 from tidemark.streaming import loads
@@ -162,6 +163,18 @@ def reconciled_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.build_reconciled(staged, dim, "series_id", lambda rows: gold.series_analytics(rows, dim), f"{_folder(spark)}/series")
 
 
+def series_analytics_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series analytics by updates: a first load with wrong values in places and without the last years, then revisions of
+    single dates, then the rows that came late."""
+    root, dim = _folder(spark), _table(spark, sf_dir, "dim_series")
+    obs = _table(spark, sf_dir, "series_obs").withColumn("late", F.year("obs_date") >= 1997)
+    wrong = (F.dayofmonth("obs_date") == 15) & (F.month("obs_date") == 7) & (F.year("obs_date") > 1993)
+    first = obs.where(~F.col("late")).withColumn("value", F.when(wrong, F.col("value") * 1.5).otherwise(F.col("value")))
+    for version, batch in enumerate((first, obs.where(wrong & ~F.col("late")), obs.where("late"))):
+        update_series(batch, dim, root, version, 8)
+    return analytics(spark, root).select("series_id", "obs_date", "freq", "intended_transform", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in DOUBLES])
+
+
 def _upserted(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Events that land part by part, each part a run of the upserting stream; the table's folder and an empty batch."""
     at = _folder(spark)
@@ -205,6 +218,7 @@ ROUNDTRIPS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "checked_prices": (checked_prices, f"SELECT ticker, price_date AS date, round(close, 6) AS close, CAST({_V} AS DOUBLE) AS volume FROM {{prices}} WHERE {_REASON} = 'good'"),
     "quarantined_prices": (quarantined_prices, f"SELECT {_REASON} AS reason, count(*) AS n FROM {{prices}} GROUP BY 1"),
     "reconciled_build": (reconciled_build, "SELECT *, staged = gold AS matched, staged - unknown = gold AS explained FROM (SELECT count(*) AS staged, count(*) FILTER (series_id NOT IN (SELECT series_id FROM {dim_series})) AS unknown, (SELECT count(*) FROM {g_series}) AS gold FROM {series_obs})"),
+    "series_analytics_updated": (series_analytics_updated, "SELECT series_id, obs_date, freq, intended_transform, " + ", ".join(f"round({c}, 6) + CAST(0 AS DOUBLE) AS {c}" for c in DOUBLES) + " FROM {g_series}"),
     "stream_upsert_buckets": (stream_upsert_buckets, f"SELECT user_id, event_type, event_id, round(value, 6) AS value, part FROM (SELECT *, {PART_SQL} AS part FROM {{events}}) QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY part DESC, event_id DESC) = 1"),
     "stream_upsert_counts": (stream_upsert_counts, f"WITH keys AS (SELECT DISTINCT user_id, event_type, {PART_SQL} AS part FROM {{events}}), parts AS (SELECT part, CAST(dense_rank() OVER (ORDER BY part) - 1 AS BIGINT) AS batch_id, part = min(part) OVER (PARTITION BY user_id, event_type) AS fresh FROM keys) SELECT batch_id, count(*) AS n_seen, count(*) FILTER (fresh) AS n_new FROM parts GROUP BY 1"),
 }
