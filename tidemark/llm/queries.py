@@ -130,4 +130,21 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
                sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
                sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256 FROM pieces""",
+    # steps and crc_table make the byte table of CRC-32; hashed folds each distinct feature's bytes over it
+    "op13_importance_resampling": r"""
+        WITH RECURSIVE steps(b, c, k) AS (SELECT b, b, 0 FROM (SELECT unnest(range(256)) AS b) UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+        crc_table AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+        texts AS (SELECT 'd' AS side, doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents UNION ALL SELECT 'b', NULL, row_number() OVER (), coalesce(text, '') FROM benchmark),
+        worded AS (SELECT side, doc_id, r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+        features AS (SELECT side, doc_id, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM worded),
+        counted AS (SELECT side, doc_id, r, f, count(*) AS n FROM features GROUP BY ALL),
+        hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)),
+        hashed AS (SELECT f, xor(list_reduce(list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT), lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket FROM hexed, crc_table),
+        found AS (SELECT side, doc_id, r, bucket, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+        counts AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t FROM found GROUP BY 1),
+        gains AS (SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counts) + 10000) / ((s + 1) * ((SELECT sum(t) FROM counts) + 10000))))::BIGINT AS gain FROM counts),
+        weighed AS (SELECT w.doc_id, w.r, len(w.w)::BIGINT AS n_words, coalesce(sum(n), 0)::BIGINT AS n_features, coalesce(sum(n * gain), 0)::BIGINT AS weight FROM (SELECT * FROM worded WHERE side = 'd') w LEFT JOIN found f ON f.side = 'd' AND f.r = w.r LEFT JOIN gains g ON g.bucket = f.bucket GROUP BY 1, 2, 3),
+        scored AS (SELECT *, weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM weighed),
+        ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS place, count(*) OVER () AS able FROM scored WHERE n_words >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * able // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (r)""",
 }
