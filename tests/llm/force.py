@@ -5,7 +5,7 @@ import struct
 
 import xxhash
 
-from tidemark.llm import mixing
+from tidemark.llm import line_dedup, mixing
 
 
 def grams(text):
@@ -90,3 +90,31 @@ def drawn_by_force(rows, max_repeats=mixing.MAX_REPEATS, evenness=mixing.EVENNES
                     left -= d[2]
             rest -= size
     return held
+
+
+def lines_by_force(docs: list[tuple[int | None, str | None]]) -> list[list[str]]:
+    """The lines that stay in each row by comparing all with all."""
+
+    def near(a: str, b: str) -> bool:
+        if abs(len(a) - len(b)) > 1:
+            return False
+        p = 0
+        while p < min(len(a), len(b)) and a[p] == b[p]:
+            p += 1
+        s = 0
+        while s < min(len(a), len(b)) - p and a[-1 - s] == b[-1 - s]:
+            s += 1
+        return max(len(a), len(b)) - p - s <= 1
+
+    def order(i: int) -> tuple:
+        ident, text = docs[i][0], docs[i][1] or ""
+        return ident is None, signed(xxhash.xxh64_intdigest((text + "\0").encode(), 42)) if ident is None else ident, signed(xxhash.xxh64_intdigest(text.encode(), 42)), i
+
+    places = sorted((order(i), at, i, line) for i, (_, text) in enumerate(docs) for at, line in enumerate((text or "").split("\n")) if line.strip(line_dedup.BLANK))
+    first: dict[str, tuple[int, int]] = {}
+    for _, at, i, line in places:
+        first.setdefault(line, (i, at))
+    order_of = {line: k for k, line in enumerate(first)}
+    gone = {a for a in first if any(order_of[b] < order_of[a] and near(a, b) for b in first)}
+    kept = {place for line, place in first.items() if line not in gone}
+    return [[x for at, x in enumerate((text or "").split("\n")) if not x.strip(line_dedup.BLANK) or (i, at) in kept] for i, (_, text) in enumerate(docs)]

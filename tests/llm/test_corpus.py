@@ -267,6 +267,14 @@ def test_extraction_odd_rows(spark):
     assert out.count() == 3 and out.columns == ["page_id", "text", "n_chars"] and html_text.extract_text(x.limit(0)).count() == 0
 
 
+def test_clashing_columns_of_extraction_and_url_filter(spark):
+    x = spark.createDataFrame([(1, "http://a.com/en/", "<p>plain words</p>", "old", 7, "h", "p", "v")], "page_id long, url string, html string, TEXT string, n_chars int, host string, path string, verdict string")
+    out = html_text.extract_text(x)
+    assert out.columns == ["page_id", "url", "host", "path", "verdict", "text", "n_chars"] and out.first().text == "plain words" and out.first().n_chars == 11
+    r = url_filter.judge_urls(x, URL_RULES)
+    assert len({c.lower() for c in r.columns}) == len(r.columns) and tuple(r.select("host", "path", "rule", "verdict").first()) == ("a.com", "/en/", "com/en/", "block")
+
+
 def slow_verdict(url):
     host = path = ""
     if url and "://" in url:

@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 import xxhash
 
+from force import lines_by_force
+
 from tidemark.llm import line_dedup, simhash, suffix_dedup
 from tidemark.llm.exact_dedup import distinct_documents, exact_dedup
 
@@ -142,7 +144,7 @@ def test_lines(spark):
     # short lines of all lengths, rows without an identifier, with the same one, and equal rows
     rows += [(60 + i, "\n".join("".join(r.choice("abé") for _ in range(r.randint(0, 9))) for _ in range(6))) for i in range(12)]
     rows += [(None, rows[3][1]), (None, "only here, of no one"), (None, "only here, of no one"), (61, "another text of sixty-one\nab"), (61, "another text of sixty-one\nab"), (BIG + 1, "of the large"), (BIG, "of the larger")]
-    want = Counter(zip([i for i, _ in rows], ["\n".join(x) for x in line_dedup.brute_force(rows)], strict=True))
+    want = Counter(zip([i for i, _ in rows], ["\n".join(x) for x in lines_by_force(rows)], strict=True))
     for parts in (1, 5):
         out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
         assert Counter((x.doc_id, x.text or "") for x in out) == want
