@@ -5,8 +5,9 @@ Row semantics throughout: the latest row counts, also where its values are null.
 Time is cut into slices. The right rows of a key and slice become one row, an array in order of date that begins with
 the row carried in from before; a left row meets the array of its own slice and takes the last entry on or before its
 date. So neither side is ordered as a whole: left rows are joined by key and slice, each for itself, and those of a hot
-key, or of a join without a key, spread over the slices (and, as left rows, over the parts of a skewed join). Nothing
-runs while the plan is built.
+key spread over the slices (and, as left rows, over the parts of a skewed join). A right side without a key is a calendar,
+whose size no data can grow, and is broadcast, so that the left side stays where it is. Nothing runs while the plan is
+built.
 """
 
 from __future__ import annotations
@@ -43,18 +44,22 @@ def sliced(right: DataFrame, keys: Sequence[str], right_date: str, take: Sequenc
     own = once.groupBy(*keys, slice_of("day", days).alias("_slice")).agg(F.sort_array(F.collect_list(F.struct("day", "got"))).alias("_own"))
     last = dated.agg(F.max(slice_of(F.col(right_date).cast("date"), days))).scalar()  # inside the plan
     order = Window.partitionBy(*keys).orderBy("_slice")  # a row for each slice
-    final = F.element_at("_own", -1)
-    spans = own.withColumns({"_carried": F.lag(final).over(order), "_until": F.coalesce(F.lead("_slice").over(order) - 1, last)})
-    filled = spans.select(*keys, "_slice", "_own", "_carried", F.explode(F.sequence("_slice", "_until")).alias("_at"))
+    spans = own.withColumn("_last", F.element_at("_own", -1))
+    spans = spans.withColumns({"_carried": F.lag("_last").over(order), "_until": F.coalesce(F.lead("_slice").over(order) - 1, last)})
+    filled = spans.select(*keys, "_slice", "_own", "_last", "_carried", F.explode(F.sequence("_slice", "_until")).alias("_at"))
     begun = F.when(F.col("_carried").isNull(), F.col("_own")).otherwise(F.concat(F.array("_carried"), F.col("_own")))
-    return filled.select(*keys, F.col("_at").alias("_slice"), F.when(F.col("_at") == F.col("_slice"), begun).otherwise(F.array(final)).alias("_rows"))
+    return filled.select(*keys, F.col("_at").alias("_slice"), F.when(F.col("_at") == F.col("_slice"), begun).otherwise(F.array("_last")).alias("_rows"))
 
 
 def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str, right_date: str, take: Sequence[str], days: int) -> DataFrame:
     """left with the columns take of the latest right row of the same keys (null equals null) whose right_date is not
     after left_date. Left rows after the last right row meet its slice."""
     keys, names = list(keys), list(left.columns)
-    r = sliced(right, keys, right_date, take, days).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_r_slice"), "_rows")
+    r = sliced(right, keys, right_date, take, days)
+    if not keys:
+        # a calendar: one row a day, which is some ten thousand in a century and 3.7 million in all that a date can be
+        r = F.broadcast(r)
+    r = r.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_r_slice"), "_rows")
     last = right.where(F.col(right_date).isNotNull()).agg(F.max(slice_of(F.col(right_date).cast("date"), days))).scalar()
     day = F.col(left_date).cast("date")
     x = left.withColumn("_slice", F.when(day.isNotNull(), F.least(slice_of(day, days), last)))
