@@ -22,7 +22,7 @@ from tidemark.llm.common import partitions
 #: Mean number of documents in a packing group.
 GROUP_DOCS = 4096
 #: Words, and pieces of text between white space, whose ids a worker remembers in each of two generations.
-WORD_ENTRIES, CHUNK_ENTRIES = 700_000, 300_000
+WORD_ENTRIES, CHUNK_ENTRIES = 300_000, 120_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: The column that tells repeated rows apart: how many equal ones the task met before.
 NTH = ", nth long"
