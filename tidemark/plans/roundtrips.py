@@ -11,14 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import matched
 from tidemark.plans import fixtures, gold, marts
 from tidemark.plans.incremental import DOUBLES, analytics, update_series
 from tidemark.plans.payload_queries import LANDING_DAYS, _folder
 from tidemark.sources import files, parse
 from tidemark.streaming import loads
 
-#: Rows that go into one landed body or feed.
-BODY_ROWS = 500
+#: Rows that go into one landed body or feed, about.
+BODY_ROWS, FEED_ROWS = 500, 200
 #: How the day of an event tells the batch that it lands with, and the same for the oracle.
 PART = f"floor(datediff(to_date(ts), DATE '2024-01-01') / {LANDING_DAYS})"
 PART_SQL = f"CAST(floor((CAST(ts AS DATE) - DATE '2024-01-01') / {LANDING_DAYS}) AS BIGINT)"
@@ -28,11 +29,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return fixtures.view(spark, sf_dir, name)
 
 
+def _dealt(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """rows with the part of their key's bodies that they go into: a key has one for each n rows, so that the files are as
+    many as the rows ask for, however many keys there are."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / n).alias("_bodies"))
+    return matched(rows, F.broadcast(sizes), keys, ["_bodies"], "inner").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("_bodies"))).drop("_bodies")
+
+
 def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' sizes as JSON bodies, several of a key, landed twice and parsed from their files."""
     at = _folder(spark)
-    group = [F.concat("source", F.lit("/"), "lang").alias("key"), F.floor(F.col("doc_id") / BODY_ROWS).alias("part")]
-    bodies = _table(spark, sf_dir, "documents").groupBy(*group).agg(F.to_json(F.collect_list(F.struct("doc_id", "n_chars"))).alias("body"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.concat("source", F.lit("/"), "lang").alias("key"))
+    bodies = _dealt(docs, ["key"], BODY_ROWS).groupBy("key", "part").agg(F.to_json(F.collect_list(F.struct("doc_id", "n_chars"))).alias("body"))
     for _ in range(2):  # the second landing replaces the first
         files.land_payloads(bodies, f"{at}/raw", "2024-01-31", "key", "body")
     rows = F.explode(F.from_json("body", "array<struct<doc_id long, n_chars long>>")).alias("x")
@@ -109,9 +117,8 @@ def _feeds(spark: SparkSession, sf_dir: str, at: str) -> None:
     rss_day = F.date_format(F.expr("timestamp_seconds(1704067200 + doc_id % 300 * 86400)"), "EEE, dd MMM yyyy")
     rss = F.concat(F.lit("<item><guid>g"), n, F.lit("</guid><title>"), title, F.lit("</title><link>https://example.com/"), n, F.lit("</link><pubDate>"), rss_day, F.lit(" 08:30:00 GMT</pubDate></item>"))
     atom = F.concat(F.lit("<entry><id>g"), n, F.lit("</id><title>"), title, F.lit('</title><link rel="self" href="https://example.com/self"/><link href="https://example.com/'), n, F.lit('"/><updated>'), day, F.lit("T08:30:00Z</updated></entry>"))
-    group = [F.col("source"), F.floor(F.col("doc_id") / BODY_ROWS).alias("part")]
     for kind, odd, item, head, tail in (("rss", 0, rss, "<rss><channel>", "</channel></rss>"), ("atom", 1, atom, '<feed xmlns="http://www.w3.org/2005/Atom">', "</feed>")):
-        some = docs.where(F.abs(F.col("doc_id")) % 2 == odd).groupBy(*group).agg(F.concat(F.lit(head), F.array_join(F.collect_list(item), ""), F.lit(tail)).alias("body"))
+        some = _dealt(docs.where(F.abs(F.col("doc_id")) % 2 == odd), ["source"], FEED_ROWS).groupBy("source", "part").agg(F.concat(F.lit(head), F.array_join(F.collect_list(item), ""), F.lit(tail)).alias("body"))
         files.land_payloads(some, f"{at}/{kind}", "2024-01-31", "source", "body")
     other = [("broken", "<rss><channel><item>"), ("empty", "<rss><channel/></rss>")]
     files.land_payloads(spark.createDataFrame(other, "source string, body string"), f"{at}/rss", "2024-01-31", "source", "body")

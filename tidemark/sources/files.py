@@ -35,10 +35,9 @@ def land_payloads(df: DataFrame, path: str, run_date: str, key: str, body: str)
     one key.
     """
     x = df.where(F.length(body) > 0).select(F.lit(run_date).alias("run_date"), safe_key(F.col(key).cast("string")).alias("key"), F.col(body).alias("value"))
-    if x.isEmpty():
-        return False
-    x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").option("maxRecordsPerFile", 1).partitionBy("run_date", "key").text(path)
-    return True
+    seen = Observation()  # rows are counted as they land, so that none is computed twice
+    x.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").option("maxRecordsPerFile", 1).partitionBy("run_date", "key").text(path)
+    return seen.get["n"] > 0
 
 
 def raw_payloads(spark: SparkSession, path: str) -> DataFrame:
