@@ -8,8 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -60,16 +59,10 @@ class FirstRows(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "flag boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        known, best = self.seen.exists(), None
-        for part in rows:  # a key's rows come in parts, of which one row is held
-            if not known and len(part):
-                first = part.sort_values(self.order, kind="stable", na_position="last").head(1)
-                both = [x for x in (best, first) if x is not None]
-                best = pd.concat(both).sort_values(self.order, kind="stable", na_position="last").head(1)
-        if best is not None:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        if not self.seen.exists():
             self.seen.update((True,))
-            yield best
+            yield min(rows, key=lambda r: (r[self.order] is None, r[self.order]))  # the first of equals; one row is held
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
         self.seen.update((True,))
@@ -87,7 +80,7 @@ def append_keyed(stream: DataFrame, id_col: str, ord_col: str, out: str, checkpo
     """
     rows = stream.where(F.col(id_col).isNotNull())
     seen = None if stored is None else stored.where(F.col(id_col).isNotNull()).select(id_col).distinct().groupBy(id_col)
-    once = rows.groupBy(id_col).transformWithStateInPandas(statefulProcessor=FirstRows(ord_col), outputStructType=rows.schema, outputMode="append", timeMode="none", initialState=seen)
+    once = rows.groupBy(id_col).transformWithState(statefulProcessor=FirstRows(ord_col), outputStructType=rows.schema, outputMode="append", timeMode="none", initialState=seen)
     with keyed_state(stream.sparkSession):
         return once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
