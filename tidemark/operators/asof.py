@@ -57,8 +57,7 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str,
     keys, names = list(keys), list(left.columns)
     r = sliced(right, keys, right_date, take, days)
     if not keys:
-        # a calendar: one row a day, which is some ten thousand in a century and 3.7 million in all that a date can be
-        r = F.broadcast(r)
+        return _on_days(left, r, left_date, right, right_date, take, days)
     r = r.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_r_slice"), "_rows")
     last = right.where(F.col(right_date).isNotNull()).agg(F.max(slice_of(F.col(right_date).cast("date"), days))).scalar()
     day = F.col(left_date).cast("date")
@@ -69,6 +68,22 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str,
     return found.select(*names, *[F.col(f"_got.{c}").alias(c) for c in take])
 
 
+def _on_days(left: DataFrame, r: DataFrame, left_date: str, right: DataFrame, right_date: str, take: Sequence[str], days: int) -> DataFrame:
+    """The as-of join without a key: the slices r are filled in by day and broadcast, so that a left row looks up one.
+
+    A row a day is some forty thousand in a century and 3.7 million in all that a date can be.
+    """
+    begin, day = F.col("_slice") * days, F.date_from_unix_date(F.col("_day"))
+    each = r.select("_rows", F.explode(F.sequence(begin, begin + (days - 1))).alias("_day"))
+    known = F.filter("_rows", lambda x: x["day"] <= day)
+    each = each.select("_day", F.when(F.size(known) > 0, F.element_at(known, -1)["got"]).alias("_got"))
+    last = right.where(F.col(right_date).isNotNull()).agg(F.max(F.unix_date(F.col(right_date).cast("date")))).scalar()
+    at = F.col(left_date).cast("date")
+    x = left.withColumn("_at", F.when(at.isNotNull(), F.least(F.unix_date(at), last)))
+    found = x.join(F.broadcast(each), F.col("_at") == F.col("_day"), "left")
+    return found.select(*left.columns, *[F.col(f"_got.{c}").alias(c) for c in take])
+
+
 def asof_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str, right_date: str, take: Sequence[str]) -> DataFrame:
     """The as-of join by keys, whose right side has a few rows a year for each."""
     return asof(left, right, keys, left_date, right_date, take, KEYED_DAYS)

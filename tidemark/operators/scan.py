@@ -7,7 +7,9 @@ blocks is carried in as their moments. So one long history spreads over as many
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -20,6 +22,47 @@ BLOCK_ROWS = 65_536
 NOISE = 1e-13
 
 
+#: Rows (or parts) that one part of a trailing frame is put together from.
+PART = 8
+
+
+def _parts(df: DataFrame, w: WindowSpec, value: Column, rows: int, join: Callable[[list[Column]], Column], none: float | None, name: str) -> tuple[DataFrame, list[tuple[int, str]]]:
+    """df with trailing parts of 1, 8, 64, ... rows (to rows at most), each joined from eight of the one before; their
+    lengths and columns."""
+    x, size, parts = df.withColumn(f"{name}1", value), 1, [(1, f"{name}1")]
+    while size * PART <= rows:
+        below, size = parts[-1], size * PART
+        x = x.withColumn(f"{name}{size}", join([F.lag(below[1], k * below[0], none).over(w) if k else F.col(below[1]) for k in range(PART)]))
+        parts.append((size, f"{name}{size}"))
+    return x, parts
+
+
+def trailing_means(df: DataFrame, w: WindowSpec, value: str, names: Mapping[str, int]) -> DataFrame:
+    """df with the mean of value over each number of trailing rows (the current one included), null where none has one.
+
+    A frame is added up from parts of 8 and 64 rows that the rows before have as well, so a row's cost grows with the
+    logarithm of the frame; nothing is subtracted, so that no digits are lost.
+    """
+    x, parts = _parts(df.withColumn("_n", F.count(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))), w, F.coalesce(F.col(value).cast("double"), F.lit(0.0)), max(names.values()), lambda cs: reduce(add, cs), 0.0, "_s")
+    out = {}
+    for name, rows in names.items():
+        cells, at = [], 0
+        for size, c in reversed(parts):
+            while rows - at >= size:
+                cells.append(F.lag(c, at, 0.0).over(w) if at else F.col(c))
+                at += size
+        out[name] = F.try_divide(reduce(add, cells), F.col("_n") - F.lag("_n", rows, 0).over(w))
+    return x.withColumns(out).drop("_n", *[c for _, c in parts])
+
+
+def trailing_max(df: DataFrame, w: WindowSpec, value: str, name: str, rows: int) -> DataFrame:
+    """df with the largest value of so many trailing rows, from the largest of parts; the last part may overlap."""
+    x, parts = _parts(df, w, F.col(value), rows, lambda cs: F.greatest(*cs), None, "_g")
+    size, c = parts[-1]
+    cells = [F.lag(c, at).over(w) if at else F.col(c) for at in sorted({*range(0, rows - size, size), rows - size})]
+    return x.withColumn(name, F.greatest(*cells) if len(cells) > 1 else cells[0]).drop(*[c for _, c in parts])
+
+
 def in_blocks(df: DataFrame, key: str, order: str, halo: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The rows of df with _block and _own; the last halo rows of a block come once more in the next one, not its own.
 

@@ -11,7 +11,7 @@ from tidemark.operators.dedupe import first_by
 from tidemark.operators.hold import cut
 from tidemark.operators.pivot import pivot_max
 from tidemark.operators.ranks import dominance, matched
-from tidemark.operators.scan import BLOCK_ROWS, block_window, expanding_z, in_blocks, with_moments
+from tidemark.operators.scan import BLOCK_ROWS, block_window, expanding_z, in_blocks, trailing_means, with_moments
 
 # fixed values: public series codes and the columns they fill
 CURVE = {"DGS3MO": "y3m", "DGS2": "y2", "DGS5": "y5", "DGS10": "y10", "DGS30": "y30", "T10Y2Y": "slope_2s10s", "T10Y3M": "slope_3m10y", "DFII10": "real_10y", "T10YIE": "breakeven_10y", "THREEFYTP10": "term_premium_10y", "DFII5": "real_5y", "T5YIE": "breakeven_5y", "T5YIFR": "breakeven_5y5y"}
@@ -84,7 +84,8 @@ def equity_analytics(prices: DataFrame, dim: DataFrame, rates: DataFrame) -> Dat
     c = F.col("currency")
     pounds = F.when(c == "GBP", F.col("adj_close")).when(c == "GBp", F.col("adj_close") / 100).when(c == "USD", F.col("adj_close") * F.col("gbp_per_usd")).when(c == "EUR", F.col("adj_close") * F.col("gbp_per_eur"))
     w = by("ticker", "price_date")
-    x = px.withColumn("gbp_adj_close", pounds).withColumns({f"ret_{n}d": growth("adj_close", w, n) for n in (1, 21, 63, 252)} | {f"ma_{n}": F.avg("adj_close").over(trailing(w, n)) for n in (50, 200)})
+    x = px.withColumn("gbp_adj_close", pounds).withColumns({f"ret_{n}d": growth("adj_close", w, n) for n in (1, 21, 63, 252)})
+    x = trailing_means(x, w, "adj_close", {f"ma_{n}": n for n in (50, 200)})
     x = x.withColumn("vol_21d", F.stddev_samp("ret_1d").over(trailing(w, 21)))
     return x.select("ticker", "price_date", "close", "adj_close", "currency", "group", "sector", "gbp_adj_close", "ret_1d", "ret_21d", "ret_63d", "ret_252d", "vol_21d", "ma_50", "ma_200")
 
