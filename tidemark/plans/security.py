@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.stats import by, no_nan, safe_div, sane, trailing, weighted_mean
+from tidemark.functions.stats import by, no_nan, safe_div, sane, weighted_mean
 from tidemark.operators.asof import asof
 from tidemark.operators.dedupe import first_by
 from tidemark.operators.hold import cut
 from tidemark.operators.ranks import matched, pct_ranks, quantiles
+from tidemark.operators.scan import trailing_max
 
 # fixed values: metrics, bounds, factors and screens
 FLOWS = ["revenue", "net_income", "gross_profit", "operating_income", "op_cash_flow", "capex", "eps_diluted"]
@@ -164,7 +165,8 @@ def _closes(prices: DataFrame) -> DataFrame:
     """(ticker, date): what momentum() measures, on every date with a close."""
     w = by("ticker", "date")
     c = {k: F.lag("close", k).over(w) for k in (21, 126, 252)}
-    x = prices.where("close IS NOT NULL").select("ticker", "date", "close", *[e.alias(f"c{k}") for k, e in c.items()], F.max("close").over(trailing(w, 252)).alias("high"))
+    x = prices.where("close IS NOT NULL").select("ticker", "date", "close", *[e.alias(f"c{k}") for k, e in c.items()])
+    x = trailing_max(x, w, "close", "high", 252)
     returns = {"ret_1m": safe_div("close", "c21") - 1, "ret_6m": safe_div("close", "c126") - 1, "ret_12_1m": F.when(F.col("c21") != 0, safe_div("c21", "c252") - 1), "dist_52w_high": safe_div("close", "high") - 1}
     return x.select("ticker", "date", F.col("close").alias("last_close"), *[e.alias(n) for n, e in returns.items()])
 
