@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stats import by, trailing
 from tidemark.operators.scan import trailing_max, trailing_means
-from tidemark.plans import gold
+from tidemark.plans import fixtures, gold, registry
 
 
 def test_trailing_frames_equal_sliding_ones(spark):
@@ -31,3 +31,19 @@ def test_no_long_frame_slides(spark):
     rates = spark.createDataFrame([], "date date, gbp_per_usd double, gbp_per_eur double")
     plan = gold.equity_analytics(prices, dim, rates)._jdf.queryExecution().optimizedPlan().toString()
     assert "RowFrame, -20, currentrow" in plan and not any(f"RowFrame, {-n}, currentrow" in plan for n in (49, 199))
+
+
+def test_results_of_some_groups_do_not_build_all_of_equity(spark):
+    asked = []
+
+    def view(name, held=True):
+        asked.append(name)
+        return registry.GOLD[name](view) if name in registry.GOLD else fixtures.view(spark, "/root/testdata/sf0.001", name)
+
+    for name in ("value", "scores", "strength", "sector_strength", "index_equity", "equity_block"):
+        registry.GOLD[name](view)
+    assert "lineitem" in asked and "equity" not in asked and "prices" not in asked
+    whole = gold.equity_analytics(view("prices"), view("dim_instrument"), view("fx")).where("`group` = 'watchlist'")
+    some = registry.GOLD["watch_equity"](view)
+    key = ["ticker", "price_date"]
+    assert [tuple(r) for r in some.orderBy(*key).select(*key, F.round("ma_200", 6), F.round("vol_21d", 6)).collect()] == [tuple(r) for r in whole.orderBy(*key).select(*key, F.round("ma_200", 6), F.round("vol_21d", 6)).collect()]

@@ -20,7 +20,7 @@ from tidemark.sources import parse
 
 
 def _flags(v: View) -> DataFrame:
-    names = ("regimes", "curve", "credit", "vol", "positions", "skews", "equity", "strength", "scores", "value", "series", "stories")
+    names = ("regimes", "curve", "credit", "vol", "positions", "skews", "index_equity", "sector_strength", "scores", "value", "series", "stories")
     return insights.flags(*[v(n) for n in names])
 
 

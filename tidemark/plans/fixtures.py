@@ -106,8 +106,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or one of VIEWS, as a data frame."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    template = VIEWS[name].replace('"group"', "`group`")
-    return spark.sql(template, **{n: view(spark, sf_dir, n) for n in names_in(template)})
+    return over(spark, name, {n: view(spark, sf_dir, n) for n in names_in(VIEWS[name])})
+
+
+def over(spark: SparkSession, name: str, frames: dict[str, DataFrame]) -> DataFrame:
+    """One of VIEWS over given frames."""
+    return spark.sql(VIEWS[name].replace('"group"', "`group`"), **frames)
 
 
 def ctes(names: list[str], more: dict[str, str] | None = None) -> str:

@@ -12,7 +12,7 @@ from tidemark.operators.hold import hold, release
 from tidemark.plans import fixtures, gold, regime, security
 from tidemark.plans.oracle import ASOF_DATE, STEPS
 
-View = Callable[[str], DataFrame]
+View = Callable[..., DataFrame]
 
 @dataclass
 class Query:
@@ -52,6 +52,13 @@ class Query:
         return f"{fixtures.ctes([name], more)} SELECT {', '.join(cols)} FROM {name}"
 
 
+def _equity_of(v: View, *groups: str, tickers: tuple[str, ...] = ()) -> DataFrame:
+    """equity of these groups and tickers only: others' rows fall away when lineitem meets the instruments, before they are
+    grouped. Each ticker's values come from its own rows, so they are those of equity."""
+    dim = v("dim_instrument").where(F.col("group").isin(*groups) | F.col("ticker").isin(*tickers))
+    return gold.equity_analytics(fixtures.over(dim.sparkSession, "prices", {"lineitem": v("lineitem"), "dim_instrument": dim}), dim, v("fx"))
+
+
 #: Gold tables by the name under which other queries read them.
 GOLD: dict[str, Callable[[View], DataFrame]] = {
     "series": lambda v: gold.series_analytics(v("series_obs"), v("dim_series")),
@@ -60,16 +67,19 @@ GOLD: dict[str, Callable[[View], DataFrame]] = {
     "fx": lambda v: gold.fx(v("series_obs")),
     "vol": lambda v: gold.vol_term(v("series_obs")),
     "equity": lambda v: gold.equity_analytics(v("prices"), v("dim_instrument"), v("fx")),
-    "strength": lambda v: gold.relative_strength(v("equity")),
+    "strength": lambda v: gold.relative_strength(_equity_of(v, *gold.ETF_GROUPS, tickers=(gold.BENCHMARK,))),
+    "sector_strength": lambda v: gold.relative_strength(_equity_of(v, "sector_etfs", tickers=(gold.BENCHMARK,))),
+    "index_equity": lambda v: _equity_of(v, tickers=tuple(regime.INDICES)),
+    "watch_equity": lambda v: _equity_of(v, gold.WATCHLIST),
     "funds": lambda v: gold.fundamentals(v("fundamentals_eav")),
-    "value": lambda v: gold.valuation(v("equity"), v("funds"), v("company_meta"), v("fx")),
-    "scores": lambda v: gold.factor_scores(v("equity"), v("funds"), v("value")),
+    "value": lambda v: gold.valuation(v("watch_equity", False), v("funds"), v("company_meta"), v("fx")),
+    "scores": lambda v: gold.factor_scores(v("watch_equity"), v("funds"), v("value", False)),
     "stories": lambda v: gold.headlines(v("headline_items"), v("news_feeds")),
     "positions": lambda v: gold.positioning(v("cot")),
     "skews": lambda v: gold.skew(v("skew_captures")),
     "regimes": lambda v: regime.regime(v("series"), v("vol")),
     "macro": lambda v: regime.macro_snapshot(v("series"), v("regimes")),
-    "equity_block": lambda v: regime.equity_block(v("equity"), v("strength"), v("scores")),
+    "equity_block": lambda v: regime.equity_block(v("index_equity"), v("sector_strength"), v("scores")),
     "headline_block": lambda v: regime.headline_block(v("stories")),
     "vol_block": lambda v: regime.vol_block(v("vol")),
     "positioning_block": lambda v: regime.positioning_block(v("positions")),
@@ -82,7 +92,7 @@ GOLD: dict[str, Callable[[View], DataFrame]] = {
 
 
 #: Gold tables that several others read.
-SHARED = {"series", "fx", "vol", "equity", "strength", "funds", "value", "scores", "stories", "positions", "skews", "security", "factors", "regimes"}
+SHARED = {"series", "fx", "vol", "watch_equity", "sector_strength", "funds", "value", "scores", "stories", "positions", "skews", "security", "factors", "regimes"}
 
 
 def _stamp(df: DataFrame, *names: str) -> DataFrame:
