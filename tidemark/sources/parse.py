@@ -37,12 +37,22 @@ TARGET_DTE = 30
 MONEYNESS = {"put": 0.90, "atm": 1.00, "call": 1.10}
 
 
+#: Texts that are decoded at a time, so that few of a batch's are Python strings at once.
+DECODED_ROWS = 128
+
+
+def _decoded(texts: pa.Array) -> pa.Array:
+    parts = (texts.slice(i, DECODED_ROWS).to_pylist() for i in range(0, len(texts), DECODED_ROWS))
+    done = [pa.array([None if t is None else html.unescape(t).strip() or None for t in part], pa.string()) for part in parts]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
+
+
 def clean(c: Column) -> Column:
     """All references decoded once, named and numeric, then trimmed of white space; empty becomes null."""
 
     @F.arrow_udf("string")
     def decoded(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else html.unescape(t).strip() or None for t in texts.to_pylist()], pa.string())
+        return _decoded(texts)
 
     return decoded(c)
 
