@@ -45,6 +45,44 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a few numbers each that one task may write: smaller frames aren't spread over more.
+FILE_ROWS = 1 << 15
+
+
+def few(df: DataFrame, rows: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """df, which has at most so many rows, in no more partitions than they need.
+
+    A partition that is cut becomes a file, for which local folders start processes. Nothing is exchanged; larger
+    frames keep their partitions.
+    """
+    return df.coalesce(max(1, -(-rows // file_rows)))
+
+
+#: Texts of a batch that are decoded at a time.
+SLICE_ROWS = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in their order, so many at a time: what is made of a batch's texts doesn't grow with the batch."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+#: Rows of an Arrow batch in a job whose Python stages all read whole texts.
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches hold BATCH_ROWS rows at most; fewer, if that is what it has.
+
+    A batch lies in the executor's native memory and in the worker's at once, and both keep what the largest took.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def row_keys(ident: Column, text: Column) -> tuple[Column, Column]:
     """Two longs that tell a row from all others but those equal in identifier and text.
 

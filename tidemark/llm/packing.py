@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions
+from tidemark.llm.common import partitions, slices
 
 #: Mean number of documents in a packing group.
 GROUP_DOCS = 4096
@@ -165,7 +165,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, sequence_tokens: int
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
         met: dict[tuple[int | None, int, int], int] = {}
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for row, (ident, text) in enumerate(zip(b.column("i").to_pylist(), b.column("t").to_pylist(), strict=True)):
                 ids = tok.ids(text) + end
