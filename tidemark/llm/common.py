@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -115,15 +115,6 @@ def packed(rows: DataFrame, merge: bool = False) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("packed", T.BinaryType()), T.StructField("copies", T.LongType())]))
 
 
-#: Rows of a side of a few numbers each that may be broadcast.
-BROADCAST_ROWS = 1_000_000
-
-
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df (a written table of a few numbers a row), to be broadcast if it has at most so many rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def fresh(taken: Iterable[str], *bases: str) -> list[str]:
     """Column names like bases that clash with none of taken (names don't differ by case)."""
     seen, out = {x.lower() for x in taken}, []
@@ -136,6 +127,34 @@ def fresh(taken: Iterable[str], *bases: str) -> list[str]:
     return out
 
 
+#: Bits of a filter of keys: for each key, at least, and at most (8 MB).
+FILTER_BITS = (64, 1 << 20, 1 << 26)
+#: Bits that a row of a filter holds, as bitmap_construct_agg makes them.
+_ROW_BITS = 1 << 15
+
+
+def marked(rows: DataFrame, mark: str, key: Sequence[str], keys: DataFrame, n: int) -> DataFrame:
+    """rows with the boolean column mark, which is false only where the row's key (columns of rows) isn't in keys.
+
+    Nothing is exchanged but the keys. Each of them sets one bit of a filter, and the filter is broadcast: what the driver
+    and the executors hold of it is bounded. Of the rows whose key isn't there one in 64 is marked too, more if so many
+    bits for each of the n keys are beyond the bound; so a mark asks for an exact join, or for a use that bears more rows.
+    """
+    each, least, most = FILTER_BITS
+    size = min(most, max(least, 1 << (each * n - 1).bit_length()))
+    at, own, bits = fresh([*rows.columns, mark], "flt_at", "flt_row", "flt_bits")
+
+    def placed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        return df.withColumn(at, F.pmod(F.xxhash64(*names), F.lit(size)).cast("int"))
+
+    held = placed(keys, keys.columns).select(F.shiftright(at, 15).alias(own), (F.col(at) % _ROW_BITS).alias(at)).repartition(own)
+    held = held.groupBy(own).agg(F.bitmap_construct_agg(at).alias(bits))  # FILTER_BITS[2] / _ROW_BITS rows at most
+    place = F.col(at) % _ROW_BITS
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    both = placed(rows, key).join(F.broadcast(held), F.shiftright(at, 15) == F.col(own), "left")
+    return both.withColumn(mark, F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False))).drop(at, own, bits)
+
+
 def hot_keys(keys: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> list[tuple[int, int]]:
     """The keys that hold more than split_rows rows, with their rows: 4 x partitions of them at most, the largest.
 
